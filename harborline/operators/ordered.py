@@ -22,8 +22,9 @@ ROWS_PER_RANGE = 250_000
 MAX_RANGES = 16_384  # bounds the cut points, the seam rows and the offsets alike
 SAMPLES_PER_RANGE = 8
 SAMPLE_SEED = 17
+COPIES_PER_TASK = 100_000
 
-_RANGE, _SEAM, _TIE = "__range", "__seam", "__tie"
+_RANGE, _SEAM, _TIE, _COPIES = "__range", "__seam", "__tie", "__copies"
 
 
 def _sql_literal(value, kind: T.DataType) -> str:
@@ -42,19 +43,23 @@ def _sql_literal(value, kind: T.DataType) -> str:
     return f"cast('{text}' as {kind.simpleString()})"
 
 
-def _cut_points(keyed: DataFrame, rows_per_range: int) -> list[str]:
-    """Sorted cut points of ``keyed`` as SQL struct constants; empty where one range is enough."""
+def _cut_points(keyed: DataFrame, rows_per_range: int) -> tuple[list[str], bool]:
+    """Sorted cut points of ``keyed`` as SQL struct constants, and whether one key spans several of them.
+
+    There are none where one range is enough.
+    """
     total = keyed.count()
     ranges = min(MAX_RANGES, -(-total // rows_per_range))
     if ranges <= 1:
-        return []
+        return [], False
     wanted = ranges * SAMPLES_PER_RANGE
     sample = keyed if total <= wanted else keyed.sample(min(1.0, 1.1 * wanted / total), seed=SAMPLE_SEED)
     drawn = sample.orderBy(*keyed.columns).collect()  # about `wanted` rows, whatever the table holds
     picks = [drawn[len(drawn) * i // ranges] for i in range(1, ranges)] if drawn else []
     kinds = [f.dataType for f in keyed.schema.fields]
     texts = ["struct(" + ", ".join(map(_sql_literal, row, kinds)) + ")" for row in picks]
-    return list(dict.fromkeys(texts))
+    cuts = list(dict.fromkeys(texts))
+    return cuts, len(cuts) < len(texts)
 
 
 def _range_of(key: Column, cuts: Sequence[str]) -> Column:
@@ -77,13 +82,28 @@ def _comparable(df: DataFrame) -> list[str]:
 
 
 def _ranged(df: DataFrame, keys: Sequence[str], unique: bool,
-            rows_per_range: int) -> tuple[DataFrame, list[str], bool]:
-    """``df`` with a tie-breaking hash and its range number, the full key, and whether there are ranges."""
+            rows_per_range: int) -> tuple[DataFrame, list[str], bool, bool]:
+    """``df`` with a tie-breaking hash and its range number, the full key, and two facts about the ranges.
+
+    The facts: are there several ranges, and does one full key (so a pile of equal rows) span more than one.
+    """
     tied = df.withColumn(_TIE, F.lit(0) if unique else F.xxhash64(*_comparable(df)))
     full = [*keys, _TIE]
-    cuts = _cut_points(tied.select(*full), rows_per_range)
+    cuts, piled = _cut_points(tied.select(*full), rows_per_range)
     number = _range_of(F.struct(*full), cuts) if cuts else F.lit(0)
-    return tied.withColumn(_RANGE, number), full, bool(cuts)
+    return tied.withColumn(_RANGE, number), full, bool(cuts), piled
+
+
+def repeat_rows(df: DataFrame, times: str, index: str) -> DataFrame:
+    """Each row ``times`` times, numbered 0.. in ``index``.
+
+    A row asked for more than ``COPIES_PER_TASK`` times is first cut into blocks that are spread over the tasks.
+    """
+    block = F.explode(F.sequence(F.lit(0), ((F.col(times) - 1) / COPIES_PER_TASK).cast("int"))).alias("__block")
+    first = F.col("__block").cast("bigint") * COPIES_PER_TASK
+    last = F.least(first + COPIES_PER_TASK, F.col(times)) - 1
+    blocks = df.filter(F.col(times) > 0).select("*", block).repartition(*df.columns, "__block")
+    return blocks.select(*df.columns, F.explode(F.sequence(first, last)).alias(index))
 
 
 def dense_ids(df: DataFrame, order_by: Sequence[str], name: str, start: int = 1, unique: bool = False,
@@ -93,30 +113,53 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], name: str, start: int = 1,
     ``unique=True`` says that ``order_by`` identifies a row, so the passes that find the ranges read
     these columns only.
     """
-    ranged, keys, _ = _ranged(df, order_by, unique, rows_per_range)
+    ranged, _, _, piled = _ranged(df, order_by, unique, rows_per_range)
+    if not piled:
+        return _ids_in_ranges(ranged, [*order_by, _TIE], name, start, F.lit(1))
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    ranged, *_ = _ranged(counted, order_by, unique, rows_per_range)
+    firsts = _ids_in_ranges(ranged, [*order_by, _TIE], name, start, F.col(_COPIES))
+    return (repeat_rows(firsts, _COPIES, "__copy")
+            .withColumn(name, F.col(name) + F.col("__copy")).drop(_COPIES, "__copy"))
+
+
+def _ids_in_ranges(ranged: DataFrame, keys: Sequence[str], name: str, start: int, weight: Column) -> DataFrame:
+    """First id of every row, where a row uses up ``weight`` ids."""
     # One row per range (at most MAX_RANGES), so both the global window and the broadcast are bounded.
-    before = F.sum("n").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n"))
-               .select(_RANGE, F.coalesce(before, F.lit(0)).alias("__before")))
-    local = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*keys))
-    return (ranged.withColumn(name, local)
+    earlier = F.sum("n").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (ranged.groupBy(_RANGE).agg(F.sum(weight).alias("n"))
+               .select(_RANGE, F.coalesce(earlier, F.lit(0)).alias("__before")))
+    upto = Window.partitionBy(_RANGE).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    return (ranged.withColumn(name, F.sum(weight).over(upto) - weight)
             .join(F.broadcast(offsets), _RANGE)
-            .withColumn(name, (F.col(name) + F.col("__before") + (start - 1)).cast("bigint"))
+            .withColumn(name, (F.col(name) + F.col("__before") + start).cast("bigint"))
             .drop(_RANGE, _TIE, "__before"))
 
 
 def _neighbour(df: DataFrame, values: Sequence[str], order_by: Sequence[str], partition_by: Sequence[str],
                name: str, ahead: bool, rows_per_range: int) -> DataFrame:
-    ranged, keys, split = _ranged(df, [*partition_by, *order_by], False, rows_per_range)
-    keys = [*partition_by, *order_by, _TIE]
-    look, pick = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
+    ranged, keys, split, piled = _ranged(df, [*partition_by, *order_by], False, rows_per_range)
+    if not piled:
+        return _neighbour_in_ranges(ranged, values, keys, partition_by, name, ahead, split)
+    # Piles of equal rows: within a pile the neighbour is an equal row, so only one row of each has to look.
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    ranged, keys, split, _ = _ranged(counted, [*partition_by, *order_by], False, rows_per_range)
+    lone = _neighbour_in_ranges(ranged, values, keys, partition_by, name, ahead, split).drop(_COPIES)
+    more = counted.withColumn(_COPIES, F.col(_COPIES) - 1)
+    copies = repeat_rows(more, _COPIES, "__copy").drop(_COPIES, "__copy")
+    return lone.unionByName(copies.withColumn(name, F.struct(*values)))
+
+
+def _neighbour_in_ranges(ranged: DataFrame, values: Sequence[str], keys: Sequence[str],
+                         partition_by: Sequence[str], name: str, ahead: bool, split: bool) -> DataFrame:
+    look, pick, towards = (F.lead, F.min_by, F.lag) if ahead else (F.lag, F.max_by, F.lead)
     rows = ranged.withColumn(_SEAM, F.lit(False))
     if split:
         # The first (last) row of every range also goes to the nearest range before (after) it.
         kept = list(dict.fromkeys([*keys, *values]))
         edges = (ranged.groupBy(_RANGE)
                  .agg(pick(F.struct(*kept), F.struct(*keys)).alias("edge"))
-                 .withColumn(_RANGE, (F.lag if ahead else F.lead)(_RANGE).over(Window.orderBy(_RANGE)))
+                 .withColumn(_RANGE, towards(_RANGE).over(Window.orderBy(_RANGE)))
                  .filter(F.col(_RANGE).isNotNull())
                  .select(_RANGE, "edge.*", F.lit(True).alias(_SEAM)))
         rows = rows.unionByName(edges, allowMissingColumns=True)
