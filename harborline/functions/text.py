@@ -70,7 +70,8 @@ def address(first: Column, *more: Column) -> Column:
 
 
 def upper_trim(col: Column) -> Column:
-    return F.upper(F.trim(col))
+    """Upper case without white space at the ends."""
+    return F.upper(F.regexp_replace(col, r"^\s+|\s+$", ""))
 
 
 def int_or(col: Column, default: int) -> Column:

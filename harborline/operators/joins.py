@@ -40,35 +40,41 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.when(any_null(keys), F.xxhash64(*row)).otherwise(F.xxhash64(*keys))
 
 
-def _right_keys(other: DataFrame, pairs: Sequence[tuple[str, str]], left: DataFrame) -> DataFrame:
-    """Key columns of ``other`` under fresh names, in the types of the left keys."""
-    kinds = {f.name: f.dataType for f in left.schema.fields}
-    return other.select([F.col(r).cast(kinds[l]).alias(f"__k{i}") for i, (l, r) in enumerate(pairs)])
+def _keyed(df: DataFrame, other: DataFrame, on: Keys, ci: bool) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with comparable key columns ``__l0..`` and ``__r0..``; the right side has nothing else."""
+    pairs = key_pairs(on)
+    kinds = [df.select(l).schema.fields[0].dataType for l, _ in pairs]
+
+    def key(name: str, kind: T.DataType) -> Column:
+        col = F.col(name).cast(kind)
+        return ci_key(col) if ci and isinstance(kind, T.StringType) else col
+
+    left = df.withColumns({f"__l{i}": key(l, kinds[i]) for i, (l, _) in enumerate(pairs)})
+    right = other.select([key(r, kinds[i]).alias(f"__r{i}") for i, (_, r) in enumerate(pairs)])
+    return left, right, [str(i) for i in range(len(pairs))]
 
 
-def keep_known(df: DataFrame, known: DataFrame, on: Keys) -> DataFrame:
+def keep_known(df: DataFrame, known: DataFrame, on: Keys, ci: bool = False) -> DataFrame:
     """Rows whose key occurs in ``known``."""
-    pairs = key_pairs(on)
-    right = _right_keys(known, pairs, df)
-    match = reduce(and_, [F.col(l) == F.col(f"__k{i}") for i, (l, _) in enumerate(pairs)])
-    return df.join(right, match, "left_semi")
+    left, right, ids = _keyed(df, known, on, ci)
+    match = reduce(and_, [F.col(f"__l{i}") == F.col(f"__r{i}") for i in ids])
+    return left.join(right, match, "left_semi").drop(*[f"__l{i}" for i in ids])
 
 
-def find_missing(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False) -> DataFrame:
+def find_missing(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False, ci: bool = False) -> DataFrame:
     """Rows whose key does not occur in ``other``.
 
     A NULL key matches nothing and stays, unless ``null_safe`` lets NULL equal NULL.
     """
-    pairs = key_pairs(on)
-    right = _right_keys(other, pairs, df)
+    left, right, ids = _keyed(df, other, on, ci)
+    lefts, rights = [f"__l{i}" for i in ids], [f"__r{i}" for i in ids]
     if null_safe:
-        match = reduce(and_, [F.col(l).eqNullSafe(F.col(f"__k{i}")) for i, (l, _) in enumerate(pairs)])
-        return df.join(right, match, "left_anti")
-    left = df.withColumn("__spread", key_hash(df, [l for l, _ in pairs]))
-    fresh = [f"__k{i}" for i in range(len(pairs))]
-    right = right.withColumn("__kspread", F.xxhash64(*fresh))
-    match = reduce(and_, [F.col(l) == F.col(k) for (l, _), k in zip(pairs, fresh)])
-    return left.join(right, match & (F.col("__spread") == F.col("__kspread")), "left_anti").drop("__spread")
+        match = reduce(and_, [F.col(l).eqNullSafe(F.col(r)) for l, r in zip(lefts, rights)])
+        return left.join(right, match, "left_anti").drop(*lefts)
+    left = left.withColumn("__lh", key_hash(left, lefts))
+    right = right.withColumn("__rh", F.xxhash64(*rights))
+    match = reduce(and_, [F.col(l) == F.col(r) for l, r in zip([*lefts, "__lh"], [*rights, "__rh"])])
+    return left.join(right, match, "left_anti").drop(*lefts, "__lh")
 
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:

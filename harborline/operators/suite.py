@@ -116,8 +116,8 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
             total = F.expr(_calc(check) or "count(*)").cast("bigint").alias("failures")
             counted.append(failing_rows(check, tables).agg(total).select(F.lit(check.name).alias("check"), "failures"))
     for table, numbers in fused.items():
-        wide = tables[table].agg(*[n.cast("bigint").alias(name) for name, n in numbers])
-        counted.append(wide.unpivot([], [name for name, _ in numbers], "check", "failures"))
+        pairs = [F.struct(F.lit(name).alias("check"), n.cast("bigint").alias("failures")) for name, n in numbers]
+        counted.append(tables[table].agg(F.array(*pairs).alias("found")).select(F.inline("found")))
     results = reduce(DataFrame.union, counted)
     return results.withColumn("status", _status(checks))
 
