@@ -13,7 +13,6 @@ from harborline.functions.text import (ci_key, fixed_width, flag_unless, flag_wh
                                        storage_kind, storage_number, upper_trim)
 from harborline.operators.aggregate import distinct_ci
 from harborline.operators.joins import decode, find_missing, keep_known
-from harborline.operators.load import new_rows
 from harborline.operators.project import with_constants
 from harborline.plans import lookups as L
 from harborline.sources.files import read_json_lines
@@ -150,8 +149,3 @@ def current_year_packages(landing: DataFrame, as_of: dt.date) -> DataFrame:
         "last_seen_datetime": join_text(F.col("DateLastSeen"), F.lit(" "), F.col("TimeLastSeen")),
         "Notes": fixed_width(F.col("Notes"), L.NOTES_WIDTH),
     }).drop("DateFirstSeen", "TimeFirstSeen", "DateLastSeen", "TimeLastSeen", "LocationLastSeen")
-
-
-def append_packages(target: DataFrame | None, packages: DataFrame) -> DataFrame:
-    """Packages the target lacks, in the target's columns."""
-    return new_rows(target, packages, ["PackageNumber"])

@@ -23,7 +23,7 @@ def stream_append_new(spark: SparkSession, landing: str, schema: T.StructType, t
     Stops once the files present at the start are loaded.  ``checkpoint`` lies in a shared folder.
     """
     def load(batch: DataFrame, _: int) -> None:
-        append_new(batch.sparkSession, transform(batch).dropDuplicates(list(keys)), target, keys)
+        append_new(batch.sparkSession, transform(batch).distinct(), target, keys)
 
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch).parquet(landing)
             .writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
