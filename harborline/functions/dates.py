@@ -21,8 +21,8 @@ def _known(part: str) -> str:
 
 def combine(day: Column, clock: Column) -> Column:
     """Timestamp from a date and a ``HH:mm:ss`` text; NULL where either is missing."""
-    text = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), F.left(clock, F.lit(8)))
-    return F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    text = F.concat(day.cast("date").cast("string"), F.lit(" "), F.left(clock, F.lit(8)))
+    return text.cast("timestamp_ntz")
 
 
 def shift(moment: Column, part: str, amount: Column | int) -> Column:

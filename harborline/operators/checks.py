@@ -139,7 +139,7 @@ def columns_match_set(df: DataFrame, names: Iterable[str]) -> DataFrame:
     spark = df.sparkSession
 
     def listing(found: Iterable[str]) -> DataFrame:
-        return spark.createDataFrame([(n.upper(),) for n in found], "column_name string")
+        return spark.range(1).select(F.explode(F.array(*[F.lit(n.upper()) for n in found])).alias("column_name"))
 
     return one_sided_keys(listing(df.columns), listing(names), ["column_name"])
 
@@ -158,14 +158,14 @@ def relationships_where(df: DataFrame, column: str, to: DataFrame, field: str,
     child = df.filter(from_condition) if from_condition else df
     parent = to.filter(to_condition) if to_condition else to
     ids = child.filter(F.col(column).isNotNull()).select(F.col(column).alias("id"))
-    return find_missing(ids, parent, {"id": field})
+    return find_missing(ids, parent, {"id": field}, spread_nulls=False)
 
 
 def multi_column_relationship(df: DataFrame, to: DataFrame, from_columns: Sequence[str],
                               to_columns: Sequence[str]) -> DataFrame:
     """Distinct key tuples without NULLs that ``to`` does not have."""
     tuples = df.select(*from_columns).filter(~any_null(from_columns)).distinct()
-    return find_missing(tuples, to, dict(zip(from_columns, to_columns, strict=True)))
+    return find_missing(tuples, to, dict(zip(from_columns, to_columns, strict=True)), spread_nulls=False)
 
 
 def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,20 +61,24 @@ def keep_known(df: DataFrame, known: DataFrame, on: Keys, ci: bool = False) -> D
     return left.join(right, match, "left_semi").drop(*[f"__l{i}" for i in ids])
 
 
-def find_missing(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False, ci: bool = False) -> DataFrame:
+def find_missing(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False, ci: bool = False,
+                 spread_nulls: bool = True) -> DataFrame:
     """Rows whose key does not occur in ``other``.
 
-    A NULL key matches nothing and stays, unless ``null_safe`` lets NULL equal NULL.
+    A NULL key matches nothing and stays, unless ``null_safe`` lets NULL equal NULL.  ``spread_nulls=False``
+    saves the hash that spreads such rows where the caller knows that there are none.
     """
     left, right, ids = _keyed(df, other, on, ci)
     lefts, rights = [f"__l{i}" for i in ids], [f"__r{i}" for i in ids]
     if null_safe:
         match = reduce(and_, [F.col(l).eqNullSafe(F.col(r)) for l, r in zip(lefts, rights)])
         return left.join(right, match, "left_anti").drop(*lefts)
-    left = left.withColumn("__lh", key_hash(left, lefts))
-    right = right.withColumn("__rh", F.xxhash64(*rights))
-    match = reduce(and_, [F.col(l) == F.col(r) for l, r in zip([*lefts, "__lh"], [*rights, "__rh"])])
-    return left.join(right, match, "left_anti").drop(*lefts, "__lh")
+    if spread_nulls:
+        left = left.withColumn("__lh", key_hash(left, lefts))
+        right = right.withColumn("__rh", F.xxhash64(*rights))
+        lefts, rights = [*lefts, "__lh"], [*rights, "__rh"]
+    match = reduce(and_, [F.col(l) == F.col(r) for l, r in zip(lefts, rights)])
+    return left.join(right, match, "left_anti").drop(*lefts)
 
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -82,11 +86,11 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
 
     One NULL in ``other`` leaves no row; an empty ``other`` leaves all; otherwise NULL values drop.
     """
-    listed = other.agg(F.count(F.lit(1)).alias("n"), F.count(other_column).alias("known"))
-    empty = listed.select(F.col("n") == 0).scalar()
-    has_null = listed.select(F.col("n") > F.col("known")).scalar()
-    rows = df.filter(~has_null & (F.col(column).isNotNull() | empty))
-    return find_missing(rows, other, {column: other_column})
+    n, known = F.count(F.lit(1)), F.count(other_column)
+    sort = F.when(n == 0, F.lit("empty")).when(n > known, F.lit("null")).otherwise(F.lit("plain"))
+    listed = other.agg(sort.alias("sort")).scalar()
+    rows = df.filter((listed == "empty") | ((listed == "plain") & F.col(column).isNotNull()))
+    return find_missing(rows, other, {column: other_column}, spread_nulls=False)
 
 
 def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -117,9 +121,9 @@ def decode(df: DataFrame, column: str, mapping: Mapping | DataFrame, name: str,
         if len(mapping) > MAX_LITERAL_MAP:
             raise ValueError(f"give a mapping of more than {MAX_LITERAL_MAP} entries as a DataFrame")
         rows = [(ci_text(k) if ci else k, v) for k, v in mapping.items()]
-        if len({k for k, _ in rows}) < len(rows):
-            raise ValueError("lookup key is not unique")
-        lookup = F.broadcast(df.sparkSession.createDataFrame(rows, ["__code", "__value"]))
+        if not rows or len({k for k, _ in rows}) < len(rows):
+            raise ValueError("the lookup needs entries, and its keys must be unique")
+        lookup = F.broadcast(_literal_table(df.sparkSession, rows))
     else:
         lookup = _unique_lookup(mapping, key, value, ci)
     code = ci_key(F.col(column)) if ci else F.col(column)
@@ -127,6 +131,15 @@ def decode(df: DataFrame, column: str, mapping: Mapping | DataFrame, name: str,
     return joined.select(*[c for c in df.columns if c != name], F.col("__value").alias(name))
 
 
+def _literal_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """A map as a constant of the plan; whole numbers are 64-bit."""
+    def constant(value) -> Column:
+        return F.lit(value).cast("bigint") if type(value) is int else F.lit(value)
+
+    pairs = [F.struct(constant(k).alias("__code"), constant(v).alias("__value")) for k, v in rows]
+    return spark.range(1).select(F.inline(F.array(*pairs)))
+
+
 def ci_text(text: str) -> str:
     """Driver-side twin of ``ci_key``."""
     return text.rstrip(" ").lower()

@@ -18,14 +18,18 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, requir
     A line is rejected if it is not valid JSON of the schema, lacks a required key (a key with NULL counts
     as present), or has NULL in a required value.  Blank lines are skipped.
     """
-    parsed = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    record = F.from_json("value", full, options).alias("r")
+    keys = F.json_object_keys("value").alias("keys") if required_keys else F.lit(None).alias("keys")
+    # Exploding a one-element array keeps the parse in one place: the filters below read its result, where
+    # a plain projection would be copied into every condition that uses it.
     lines = (spark.read.text(path).filter(F.trim("value") != "")
-             .select(F.col("value").alias("line"), F.from_json("value", parsed, options).alias("r")))
+             .select(F.col("value").alias("line"), F.explode(F.array(F.struct(record, keys))).alias("p"))
+             .select("line", "p.r", "p.keys"))
     reason = F.when(F.col(f"r.{_CORRUPT}").isNotNull() | F.col("r").isNull(), F.lit("malformed"))
     if required_keys:
-        wanted = F.array(*map(F.lit, required_keys))
-        absent = F.array_except(wanted, F.coalesce(F.json_object_keys("line"), F.array().cast("array<string>")))
+        absent = F.array_except(F.array(*map(F.lit, required_keys)), "keys")
         reason = reason.when(F.size(absent) > 0, F.concat(F.lit("missing: "), F.array_join(absent, ", ")))
     for name in required_values:
         reason = reason.when(F.col(f"r.`{name}`").isNull(), F.lit(f"null: {name}"))

@@ -17,7 +17,9 @@ class Tables:
         self.spark, self.root = spark, root
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.root, name)
+        table = read_table(self.spark, self.root, name)
+        setattr(self, name, table)  # look the file up once
+        return table
 
 
 @dataclass(frozen=True)
