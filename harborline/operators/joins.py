@@ -54,11 +54,13 @@ def _keyed(df: DataFrame, other: DataFrame, on: Keys, ci: bool) -> tuple[DataFra
     return left, right, [str(i) for i in range(len(pairs))]
 
 
-def keep_known(df: DataFrame, known: DataFrame, on: Keys, ci: bool = False) -> DataFrame:
-    """Rows whose key occurs in ``known``."""
+def keep_known(df: DataFrame, known: DataFrame, on: Keys, null_safe: bool = False, ci: bool = False) -> DataFrame:
+    """Rows whose key occurs in ``known``; NULL equals nothing unless ``null_safe``."""
     left, right, ids = _keyed(df, known, on, ci)
-    match = reduce(and_, [F.col(f"__l{i}") == F.col(f"__r{i}") for i in ids])
-    return left.join(right, match, "left_semi").drop(*[f"__l{i}" for i in ids])
+    lefts, rights = [f"__l{i}" for i in ids], [f"__r{i}" for i in ids]
+    match = reduce(and_, [F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r)
+                          for l, r in zip(lefts, rights)])
+    return left.join(right, match, "left_semi").drop(*lefts)
 
 
 def find_missing(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False, ci: bool = False,

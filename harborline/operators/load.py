@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.operators.joins import any_null, find_missing, key_hash
+from harborline.operators.joins import any_null, find_missing, keep_known, key_hash
 from harborline.operators.ordered import dense_ids
 from harborline.operators.project import conform
 from harborline.session import staging_path
@@ -40,37 +40,50 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], insert_onl
            check_unique: bool = True) -> DataFrame:
     """Target after an upsert in which the ``insert_only`` columns are written for new keys only.
 
-    A matched row takes every other column from the source, even where that is NULL.
+    A matched row takes every other column from the source, even where that is NULL.  Updates and inserts are
+    two joins rather than one full join: each has the source, or keys of the source, on the side
+    Spark may broadcast, so a small source leaves a large target unshuffled.
     """
     keep = {c.lower() for c in (*insert_only, *keys)}
     source = require_unique(source, keys) if check_unique else source
     given = {c.lower() for c in source.columns}
     new = conform(source, target.schema)
-    old = target.withColumns({"__match": key_hash(target, keys), "__old": F.lit(True)}).alias("t")
-    new = new.withColumns({"__match": key_hash(new, keys), "__new": F.lit(True)}).alias("s")
+    old = target.withColumn("__match", key_hash(target, keys)).alias("t")
     match = reduce(and_, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in (*keys, "__match")])
+    right = new.withColumns({"__match": key_hash(new, keys), "__new": F.lit(True)}).alias("s")
 
-    def result(name: str):
-        from_source = F.col("s.__new").isNotNull()
+    def updated(name: str):
         if name.lower() in keep or name.lower() not in given:
-            from_source = from_source & F.col("t.__old").isNull()
-        return F.when(from_source, F.col(f"s.`{name}`")).otherwise(F.col(f"t.`{name}`")).alias(name)
+            return F.col(f"t.`{name}`").alias(name)
+        return F.when(F.col("s.__new"), F.col(f"s.`{name}`")).otherwise(F.col(f"t.`{name}`")).alias(name)
 
-    return old.join(new, match, "full").select([result(c) for c in target.columns])
+    updates = old.join(right, match, "left").select([updated(c) for c in target.columns])
+    return updates.unionByName(new_rows(target, new, keys))
 
 
-def new_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Source rows whose key the target lacks; all of them on the first run.
+def new_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str], null_safe: bool = False,
+             ci: bool = False, prune_by: str | None = None) -> DataFrame:
+    """Source rows whose key the target lacks, in the target's columns; all of them on the first run.
 
-    A NULL in the key matches nothing, so such rows are new every time unless ``null_safe``.
+    A NULL in the key matches nothing, so such rows are new every time unless ``null_safe``.  The target is
+    first cut down to the keys of the source, as it is the larger side and the source is the one Spark may
+    broadcast.  ``prune_by`` names a key column whose range in the source then limits the scan of the target.
     """
     if target is None:
         return source
-    return conform(find_missing(source, target, keys, null_safe), target.schema)
+    seen = target.select(*keys)
+    if prune_by is not None:
+        if prune_by not in keys:
+            raise ValueError("prune_by must be one of the keys")
+        ends = source.agg(F.min(prune_by).alias("low"), F.max(prune_by).alias("high")).first()
+        inside = F.col(prune_by).between(F.lit(ends["low"]), F.lit(ends["high"]))
+        seen = seen.filter(inside | F.col(prune_by).isNull() if null_safe else inside)
+    seen = keep_known(seen, source, keys, null_safe, ci)
+    return conform(find_missing(source, seen, keys, null_safe, ci), target.schema)
 
 
 def append_new(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-               null_safe: bool = False, full_refresh: bool = False) -> DataFrame:
+               null_safe: bool = False, prune_by: str | None = None, full_refresh: bool = False) -> DataFrame:
     """Append the new rows of ``source`` to the parquet table at ``path`` and return the table.
 
     The first run, and a full refresh, write the whole source.
@@ -78,7 +91,8 @@ def append_new(spark: SparkSession, source: DataFrame, path: str, keys: Sequence
     if full_refresh or not path_exists(spark, path):
         source.write.mode("overwrite").parquet(path)
     else:
-        new_rows(spark.read.parquet(path), source, keys, null_safe).write.mode("append").parquet(path)
+        fresh = new_rows(spark.read.parquet(path), source, keys, null_safe, prune_by=prune_by)
+        fresh.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -133,7 +147,9 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     """
     seen = _versions(df.sparkSession, root)
     path = _version(root, seen[-1][0] + 1 if seen else 1)
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    # The rebalance hint evens out the files: small partitions share a task, a hot one is split.
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -158,6 +174,7 @@ def merge_touched_partitions(spark: SparkSession, path: str, source: DataFrame,
     merged = merge_by_key(touched.select(target.columns), source, keys)
     stage = staging_path(spark, "merge")
     merged.write.parquet(stage)
-    (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    staged = spark.read.schema(merged.schema).parquet(stage).hint("rebalance", partition_column)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_column).parquet(path))
     return spark.read.schema(target.schema).parquet(path)

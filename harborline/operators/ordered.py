@@ -13,6 +13,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,11 +72,13 @@ def _range_of(key: Column, cuts: Sequence[str]) -> Column:
         steps.insert(0, step)
         step *= 2
 
-    def advance(position: Column, step: Column) -> Column:
+    def search(wanted: Column) -> Column:
         # An index past the end reads as NULL, and a NULL comparison keeps the position.
-        return F.when(F.get(bounds, position + step - 1) <= key, position + step).otherwise(position)
+        return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda position, step: F.when(
+            F.get(bounds, position + step - 1) <= wanted, position + step).otherwise(position))
 
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), advance)
+    # The key goes in as the element of a one-element array, so that it is built once and not in every step.
+    return F.transform(F.array(key), search)[0]
 
 
 def _comparable(df: DataFrame) -> list[str]:
@@ -102,7 +106,9 @@ def repeat_rows(df: DataFrame, times: str, index: str) -> DataFrame:
     block = F.explode(F.sequence(F.lit(0), ((F.col(times) - 1) / COPIES_PER_TASK).cast("int"))).alias("__block")
     first = F.col("__block").cast("bigint") * COPIES_PER_TASK
     last = F.least(first + COPIES_PER_TASK, F.col(times)) - 1
-    blocks = df.filter(F.col(times) > 0).select("*", block).repartition(*df.columns, "__block")
+    # A fixed number of partitions: blocks are small until they are written out, so merging them would be wrong.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = df.filter(F.col(times) > 0).select("*", block).repartition(tasks, *df.columns, "__block")
     return blocks.select(*df.columns, F.explode(F.sequence(first, last)).alias(index))
 
 
@@ -164,12 +170,14 @@ def _neighbour_in_ranges(ranged: DataFrame, values: Sequence[str], keys: Sequenc
                  .select(_RANGE, "edge.*", F.lit(True).alias(_SEAM)))
         rows = rows.unionByName(edges, allowMissingColumns=True)
     window = Window.partitionBy(_RANGE).orderBy(*keys)
-    group = F.struct(*partition_by) if partition_by else F.lit(0)
-    found = look(F.struct(group.alias("g"), F.struct(*values).alias("v"))).over(window)
-    return (rows.withColumn(name, found)
-            .filter(~F.col(_SEAM))
-            .withColumn(name, F.when(F.col(f"{name}.g").eqNullSafe(group), F.col(f"{name}.v")))
-            .drop(_RANGE, _TIE, _SEAM))
+    groups = {f"__g{i}": c for i, c in enumerate(partition_by)}
+    found = {f"__v{i}": c for i, c in enumerate(values)}
+    rows = rows.withColumns({"__there": look(F.lit(1)).over(window),
+                             **{n: look(c).over(window) for n, c in {**groups, **found}.items()}})
+    same = reduce(and_, [F.col(n).eqNullSafe(F.col(c)) for n, c in groups.items()], F.col("__there").isNotNull())
+    neighbour = F.struct(*[F.col(n).alias(c) for n, c in found.items()])
+    return (rows.filter(~F.col(_SEAM)).withColumn(name, F.when(same, neighbour))
+            .drop(_RANGE, _TIE, _SEAM, "__there", *groups, *found))
 
 
 def with_previous(df: DataFrame, values: Sequence[str], order_by: Sequence[str], partition_by: Sequence[str] = (),

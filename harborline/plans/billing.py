@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions.text import fixed_width, flag_unless, flag_when, same_text
-from harborline.operators.joins import decode, find_missing
-from harborline.operators.load import add_identity, merge_by_key
+from harborline.operators.joins import decode
+from harborline.operators.load import add_identity, merge_by_key, new_rows
 from harborline.operators.project import with_constants
 from harborline.plans import lookups as L
 
@@ -50,7 +50,7 @@ def invoice_lines(landing: DataFrame, loaded: DataFrame | None = None) -> DataFr
         fixed_width(F.col("ChargeDescription"), 100).alias("InvoiceDetailChargeName"),
         F.col("ChargeValue").cast("decimal(19,4)").alias("InvoiceDetailChargeAmount"),
         F.lit(0).cast("decimal(19,4)").alias("InvoiceDetailChargeVat"))
-    return lines if loaded is None else find_missing(lines, loaded, ["InvoiceNumber", "InvoiceDetailId"])
+    return new_rows(loaded, lines, ["InvoiceNumber", "InvoiceDetailId"])
 
 
 def payments(landing: DataFrame, users: Lookup, routes: Lookup = L.ROUTE_IDS) -> DataFrame:

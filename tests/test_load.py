@@ -46,6 +46,19 @@ def test_new_rows(spark, rows):
     assert load.new_rows(None, source, ["k"]).count() == 3
 
 
+def test_new_rows_pruned_by_a_key(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, "k int, day int", (1, 1), (2, 5), (3, None), (4, 9)).write.parquet(path)
+    target, source = spark.read.parquet(path), frame(spark, "k int, day int", (1, 1), (2, 4), (2, 5), (3, None))
+    out = load.new_rows(target, source, ["k", "day"], prune_by="day")
+    assert rows(out) == [(2, 4), (3, None)]
+    assert "LessThanOrEqual(day,5)" in out._jdf.queryExecution().executedPlan().toString()
+    assert rows(load.new_rows(target, source, ["k", "day"], null_safe=True, prune_by="day")) == [(2, 4)]
+    assert rows(load.new_rows(target, source.filter("day is null"), ["k", "day"], prune_by="day")) == [(3, None)]
+    with pytest.raises(ValueError):
+        load.new_rows(target, source, ["k"], prune_by="day")
+
+
 def test_append_new_first_run_then_increment(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     first, second = frame(spark, "k int, v string", (1, "a")), frame(spark, "k int, v string, w int", (1, "z", 0), (2, "b", 0))
