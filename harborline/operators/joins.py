@@ -103,14 +103,16 @@ def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, shared)
 
 
-def _unique_lookup(mapping: DataFrame, key: str, value: str, ci: bool) -> DataFrame:
-    """The mapping under fresh names; a key with two values fails the job when it is reached."""
-    keyed = (mapping.filter(F.col(key).isNotNull())
-             .select((ci_key(F.col(key)) if ci else F.col(key)).alias("__code"), F.col(value).alias("__value")))
-    once = F.when(F.count(F.lit(1)) == 1, F.first("__value"))
-    clash = F.raise_error(F.concat(F.lit("lookup key is not unique: "), F.col("__code").cast("string")))
-    kind = keyed.schema["__value"].dataType
-    return keyed.groupBy("__code").agg(once.otherwise(clash.cast(kind)).alias("__value"))
+def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` unchanged; the job that reads it fails if a key without NULLs occurs twice.
+
+    The count of repeated keys is a scalar subquery beside the rows, so a join of the result still reads
+    a plain shuffle, which adaptive execution can split where a key is hot.
+    """
+    repeated = (df.select(*keys).filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                .filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("n")).scalar())
+    clash = F.raise_error(F.concat(F.lit("keys that must be unique and are not: "), repeated.cast("string")))
+    return df.filter(F.when(repeated == 0, F.lit(True)).otherwise(clash.cast("boolean")))
 
 
 def decode(df: DataFrame, column: str, mapping: Mapping | DataFrame, name: str,
@@ -127,7 +129,9 @@ def decode(df: DataFrame, column: str, mapping: Mapping | DataFrame, name: str,
             raise ValueError("the lookup needs entries, and its keys must be unique")
         lookup = F.broadcast(_literal_table(df.sparkSession, rows))
     else:
-        lookup = _unique_lookup(mapping, key, value, ci)
+        code = ci_key(F.col(key)) if ci else F.col(key)
+        keyed = mapping.select(code.alias("__code"), F.col(value).alias("__value"))
+        lookup = require_unique(keyed.filter(F.col("__code").isNotNull()), ["__code"])
     code = ci_key(F.col(column)) if ci else F.col(column)
     joined = df.join(lookup, code == F.col("__code"), "left")
     return joined.select(*[c for c in df.columns if c != name], F.col("__value").alias(name))

@@ -9,20 +9,12 @@ from operator import and_
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.operators.joins import any_null, find_missing, keep_known, key_hash
+from harborline.operators.joins import find_missing, keep_known, key_hash, require_unique
 from harborline.operators.ordered import dense_ids
 from harborline.operators.project import conform
 from harborline.session import staging_path
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` unchanged; the job that reads it fails if a key without NULLs occurs twice."""
-    repeated = (df.select(*keys).filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("n")).scalar())
-    clash = F.raise_error(F.concat(F.lit("keys that occur twice in the source: "), repeated.cast("string")))
-    return df.filter(F.when(repeated == 0, F.lit(True)).otherwise(clash.cast("boolean")))
-
-
 def merge_by_key(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                  check_unique: bool = True) -> DataFrame:
     """Target after a merge: source rows replace target rows of the same key, the others are added.

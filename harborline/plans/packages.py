@@ -28,8 +28,8 @@ def load_packages(landing: DataFrame, known: DataFrame, customers: DataFrame,
     seen, place = F.col("LocationLastSeen"), "PackageLocationLastSeenId"
     rows = keep_known(landing, known, ["PackageNumber"], ci=True)
     if loaded is not None:
-        seen = keep_known(loaded.select("PackageNumber"), landing, ["PackageNumber"], ci=True)
-        rows = find_missing(rows, seen, ["PackageNumber"], ci=True)
+        stored = keep_known(loaded.select("PackageNumber"), landing, ["PackageNumber"], ci=True)
+        rows = find_missing(rows, stored, ["PackageNumber"], ci=True)
     accounts = (customers.filter(same_text(F.col("CustomerAgentPrefix"), L.AGENT_PREFIX))
                 .select(F.col("CustomerAccountNumber").alias("__account"), "CustomerAvailableSaturday"))
     rows = rows.join(accounts, F.col("AccountNumber") == F.col("__account"))
@@ -86,8 +86,8 @@ def event_history(landing: DataFrame, known: DataFrame, loaded: DataFrame | None
                     20).alias("PackageStatusName"),
         combine(F.col("EventDate"), F.col("EventTime")).alias("EventDate"))
     if loaded is not None:
-        seen = keep_known(loaded, landing, ["PackageNumber"], ci=True)
-        events = find_missing(events, seen, ["PackageNumber", "PackageStatusName", "EventDate"], ci=True)
+        stored = keep_known(loaded, landing, ["PackageNumber"], ci=True)
+        events = find_missing(events, stored, ["PackageNumber", "PackageStatusName", "EventDate"], ci=True)
     return with_constants(events.distinct(), {
         "PackageEventUserId": (L.EVENT_USER_ID, "int"), "PackageEventInvoiceVerified": (False, "boolean"),
         "PackageEventInvoiceNumber": (None, "string"),

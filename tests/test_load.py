@@ -19,7 +19,7 @@ def test_merge_by_key(spark, rows):
 def test_merge_fails_on_repeated_source_key(spark):
     target = frame(spark, "k int, v string", (1, "a"))
     source = frame(spark, "k int, v string", (2, "a"), (2, "b"))
-    with pytest.raises(Exception, match="keys that occur twice"):
+    with pytest.raises(Exception, match="keys that must be unique"):
         load.merge_by_key(target, source, ["k"]).collect()
     assert load.merge_by_key(target, source, ["k"], check_unique=False).count() == 3
     nulls = frame(spark, "k int, v string", (None, "a"), (None, "b"))

@@ -11,7 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harborline.operators.suite import run_suite
 from harborline.plans import billing, packages, people
+from harborline.plans.constraints import target_checks
 from harborline.session import staging_path
 from workload.registry import Tables, query
 
@@ -462,3 +464,33 @@ def job_user_bootstrap(t: Tables) -> DataFrame:
         "c_name as UserName")
     logins = t.customer.selectExpr("nullif(c_name, 'Customer#000000001') as input_by")
     return people.bootstrap_users(users, logins, dt.date(2024, 2, 29))
+
+
+@query("""
+    with known as (select o_orderkey from orders where o_orderdate < timestamp '2000-01-01')
+    select "check", failures, case when failures = 0 then 'pass' else 'error' end as status from (
+        select 'ImportPackage.PackageNumber not null' as "check", 0::bigint as failures
+        union all select 'ImportPackage.UserId not null', count(*) filter (c_nationkey = 3)
+                  from orders join customer on c_custkey = o_custkey where o_orderdate < timestamp '2000-01-01'
+        union all select 'ImportPackage.PackageNumber unique', 0
+        union all select 'Invoice.InvoiceNumber not null', count(*) from orders where o_orderpriority = '5-LOW'
+        union all select 'Invoice.PackageNumber not null', 0
+        union all select 'Invoice.InvoiceNumber unique', 0
+        union all select 'Invoice.PackageNumber in ImportPackage', count(*) from orders
+                  where o_orderkey not in (select o_orderkey from known)
+        union all select 'InvoiceDetail.InvoiceNumber not null', 0
+        union all select 'InvoiceDetail.InvoiceDetailId not null', count(*) from lineitem where l_linenumber = 7
+        union all select 'InvoiceDetail.InvoiceNumber in Invoice', count(*) from lineitem
+                  where l_orderkey not in (select o_orderkey from orders where o_orderpriority <> '5-LOW'))""")
+def job_target_checks(t: Tables) -> DataFrame:
+    """The declared keys and references, over targets with flaws made on purpose."""
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    targets = {
+        "ImportPackage": orders.filter("o_orderdate < timestamp_ntz '2000-01-01'").selectExpr(
+            "o_orderkey as PackageNumber", "nullif(c_nationkey, 3) as UserId"),
+        "Invoice": t.orders.selectExpr(
+            "if(o_orderpriority = '5-LOW', null, o_orderkey) as InvoiceNumber", "o_orderkey as PackageNumber"),
+        "InvoiceDetail": t.lineitem.selectExpr(
+            "l_orderkey as InvoiceNumber", "nullif(l_linenumber, 7) as InvoiceDetailId"),
+    }
+    return run_suite(targets, target_checks(targets))
