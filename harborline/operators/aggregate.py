@@ -48,10 +48,14 @@ def value_list(df: DataFrame, column: str, max_values: int = 1000, default: list
     return found or (default if default is not None else [])
 
 
-def pivot_columns(column: str, values: Iterable, agg: str = "sum", cmp: str = "=", prefix: str = "",
-                  suffix: str = "", then_value=1, else_value=0, quote_identifiers: bool = True,
+def pivot_columns(column: str, values: Iterable, alias: bool = True, agg: str = "sum", cmp: str = "=",
+                  prefix: str = "", suffix: str = "", then_value=1, else_value=0, quote_identifiers: bool = True,
                   distinct: bool = False) -> list[Column]:
-    """One aggregate per value over ``then_value`` where the comparison holds, else ``else_value``."""
+    """One aggregate per value over ``then_value`` where the comparison holds, else ``else_value``.
+
+    The name is the value between prefix and suffix, its slug without ``quote_identifiers``, or left to Spark
+    without ``alias``.
+    """
     compare = COMPARE[cmp.lower()]
     combine = (DISTINCT_AGGREGATES if distinct else AGGREGATES)[agg.lower()]
     then, other = (v if isinstance(v, Column) else F.lit(v) for v in (then_value, else_value))
@@ -59,6 +63,8 @@ def pivot_columns(column: str, values: Iterable, agg: str = "sum", cmp: str = "=
     def one(value) -> Column:
         name = f"{prefix}{value}{suffix}"
         cell = F.when(compare(F.col(column), F.lit(value)), then).otherwise(other)
+        if not alias:
+            return combine(cell)
         return combine(cell).alias(name if quote_identifiers else slugify_name(name))
 
     return [one(v) for v in values]

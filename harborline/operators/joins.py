@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harborline.functions.literals import common_kind, sql_array, sql_struct
 from harborline.functions.text import ci_key
 
 MAX_LITERAL_MAP = 10_000
@@ -43,7 +44,8 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
 def _keyed(df: DataFrame, other: DataFrame, on: Keys, ci: bool) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with comparable key columns ``__l0..`` and ``__r0..``; the right side has nothing else."""
     pairs = key_pairs(on)
-    kinds = [df.select(l).schema.fields[0].dataType for l, _ in pairs]
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
+    kinds = [types[l.lower()] for l, _ in pairs]
 
     def key(name: str, kind: T.DataType) -> Column:
         col = F.col(name).cast(kind)
@@ -103,13 +105,15 @@ def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, shared)
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def require_unique(df: DataFrame, keys: Sequence[str], ci: bool = False) -> DataFrame:
     """``df`` unchanged; the job that reads it fails if a key without NULLs occurs twice.
 
     The count of repeated keys is a scalar subquery beside the rows, so a join of the result still reads
     a plain shuffle, which adaptive execution can split where a key is hot.
     """
-    repeated = (df.select(*keys).filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)} if ci else ()
+    plain = df.select([ci_key(F.col(k)).alias(k) if k in texts else F.col(k) for k in keys])
+    repeated = (plain.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("n")).scalar())
     clash = F.raise_error(F.concat(F.lit("keys that must be unique and are not: "), repeated.cast("string")))
     return df.filter(F.when(repeated == 0, F.lit(True)).otherwise(clash.cast("boolean")))
@@ -139,11 +143,9 @@ def decode(df: DataFrame, column: str, mapping: Mapping | DataFrame, name: str,
 
 def _literal_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """A map as a constant of the plan; whole numbers are 64-bit."""
-    def constant(value) -> Column:
-        return F.lit(value).cast("bigint") if type(value) is int else F.lit(value)
-
-    pairs = [F.struct(constant(k).alias("__code"), constant(v).alias("__value")) for k, v in rows]
-    return spark.range(1).select(F.inline(F.array(*pairs)))
+    kinds = [common_kind(column) for column in zip(*rows)]
+    table = spark.range(1).select(F.inline(F.expr(sql_array([sql_struct(row, kinds) for row in rows]))))
+    return table.toDF("__code", "__value")
 
 
 def ci_text(text: str) -> str:

@@ -16,16 +16,16 @@ from harborline.session import staging_path
 
 
 def merge_by_key(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
-                 check_unique: bool = True) -> DataFrame:
+                 check_unique: bool = True, ci: bool = False) -> DataFrame:
     """Target after a merge: source rows replace target rows of the same key, the others are added.
 
     The first run has no target.  Afterwards the target's columns stay as they are.  A source row with a
-    NULL key matches nothing and is always added.
+    NULL key matches nothing and is always added.  ``ci`` compares text keys without case.
     """
-    source = require_unique(source, keys) if check_unique else source
+    source = require_unique(source, keys, ci) if check_unique else source
     if target is None:
         return source
-    return find_missing(target, source, keys).union(conform(source, target.schema))
+    return find_missing(target, source, keys, ci=ci).union(conform(source, target.schema))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], insert_only: Iterable[str] = (),

@@ -10,9 +10,7 @@ row, so a lost executor recomputes the same ranges.  The seams between ranges ne
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
-from decimal import Decimal
 from functools import reduce
 from operator import and_
 
@@ -20,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harborline.functions.literals import sql_array, sql_struct
+
 ROWS_PER_RANGE = 250_000
 MAX_RANGES = 16_384  # bounds the cut points, the seam rows and the offsets alike
 SAMPLES_PER_RANGE = 8
@@ -29,22 +29,6 @@ COPIES_PER_TASK = 100_000
 _RANGE, _SEAM, _TIE, _COPIES = "__range", "__seam", "__tie", "__copies"
 
 
-def _sql_literal(value, kind: T.DataType) -> str:
-    """A driver-side value as a SQL constant of the given type."""
-    if value is None:
-        return f"cast(null as {kind.simpleString()})"
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, dt.datetime):
-        value = value.isoformat(sep=" ")
-    elif isinstance(value, float):
-        value = repr(value).replace("inf", "Infinity").replace("nan", "NaN")
-    elif isinstance(value, Decimal):
-        value = format(value, "f")
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"cast('{text}' as {kind.simpleString()})"
-
-
 def _cut_points(keyed: DataFrame, rows_per_range: int) -> tuple[list[str], bool]:
     """Sorted cut points of ``keyed`` as SQL struct constants, and whether one key spans several of them.
 
@@ -58,15 +42,15 @@ def _cut_points(keyed: DataFrame, rows_per_range: int) -> tuple[list[str], bool]
     sample = keyed if total <= wanted else keyed.sample(min(1.0, 1.1 * wanted / total), seed=SAMPLE_SEED)
     drawn = sample.orderBy(*keyed.columns).collect()  # about `wanted` rows, whatever the table holds
     picks = [drawn[len(drawn) * i // ranges] for i in range(1, ranges)] if drawn else []
-    kinds = [f.dataType for f in keyed.schema.fields]
-    texts = ["struct(" + ", ".join(map(_sql_literal, row, kinds)) + ")" for row in picks]
+    kinds = [f.dataType.simpleString() for f in keyed.schema.fields]
+    texts = [sql_struct(row, kinds) for row in picks]
     cuts = list(dict.fromkeys(texts))
     return cuts, len(cuts) < len(texts)
 
 
 def _range_of(key: Column, cuts: Sequence[str]) -> Column:
     """How many cut points are not above ``key``, by binary search inside the expression."""
-    bounds = F.expr(f"array({', '.join(cuts)})")
+    bounds = F.expr(sql_array(cuts))
     steps, step = [], 1
     while step <= len(cuts):
         steps.insert(0, step)

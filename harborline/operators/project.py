@@ -17,10 +17,16 @@ def columns_except(df: DataFrame, dropped: Iterable[str] = ()) -> list[str]:
     return [name for name in df.columns if name.lower() not in gone]
 
 
-def star(df: DataFrame, dropped: Iterable[str] = (), prefix: str = "", suffix: str = "") -> list[Column]:
-    """All columns but the given ones, renamed only where a prefix or suffix is asked for."""
-    return [F.col(f"`{c}`").alias(f"{prefix}{c}{suffix}") if prefix or suffix else F.col(f"`{c}`")
-            for c in columns_except(df, dropped)]
+def star(df: DataFrame, dropped: Iterable[str] = (), prefix: str = "", suffix: str = "",
+         relation_alias: str | None = None) -> list[Column]:
+    """All columns but the given ones, renamed only where a prefix or suffix is asked for.
+
+    ``relation_alias`` takes them from the table aliased so, after a join.
+    """
+    owner = f"{relation_alias}." if relation_alias else ""
+    names = columns_except(df, dropped)
+    plain = [F.col(f"{owner}`{c}`") for c in names]
+    return [col.alias(f"{prefix}{c}{suffix}") for col, c in zip(plain, names)] if prefix or suffix else plain
 
 
 def empty_to_null(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
@@ -49,6 +55,13 @@ def slugify_columns(df: DataFrame) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Keep the columns of ``schema`` only, in its order and types; a column ``df`` lacks is NULL."""
-    have = {c.lower(): c for c in df.columns}
-    return df.select([(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None))
-                      .cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = {f.name.lower(): f for f in df.schema.fields}
+
+    def shaped(field: T.StructField) -> str:
+        mine = have.get(field.name.lower())
+        if mine is not None and mine.dataType == field.dataType:
+            return f"`{mine.name}` as `{field.name}`"
+        source = "null" if mine is None else f"`{mine.name}`"
+        return f"cast({source} as {field.dataType.simpleString()}) as `{field.name}`"
+
+    return df.selectExpr([shaped(f) for f in schema.fields])

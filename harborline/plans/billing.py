@@ -39,7 +39,7 @@ def invoice_headers(landing: DataFrame, routes: Lookup = L.ROUTE_IDS) -> DataFra
 
 
 def merge_invoices(target: DataFrame | None, landing: DataFrame, routes: Lookup = L.ROUTE_IDS) -> DataFrame:
-    return merge_by_key(target, invoice_headers(landing, routes), ["PackageNumber"])
+    return merge_by_key(target, invoice_headers(landing, routes), ["PackageNumber"], ci=True)
 
 
 def invoice_lines(landing: DataFrame, loaded: DataFrame | None = None) -> DataFrame:

@@ -1,9 +1,10 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from harborline.functions import dates, keys, numbers, text, urls
+from harborline.functions import dates, keys, literals, numbers, text, urls
 
 
 def column(spark, values, expr, kind="string"):
@@ -151,3 +152,16 @@ def test_haversine(spark):
     assert km[:2] == [430, 0] and mi[:2] == [267, 0] and mi[2] == 12444
     with pytest.raises(ValueError):
         numbers.haversine(F.col("a"), F.col("b"), F.col("c"), F.col("d"), "ly")
+
+
+def test_constants(spark):
+    values = ["it's a \\ b", "", -5, 2**40, float("inf"), 1e-30, True, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5, 6),
+              Decimal("1.50")]
+    kinds = [literals.common_kind([v]) for v in values]
+    got = spark.sql(f"select inline({literals.sql_array([literals.sql_struct(values, kinds)])})").first()
+    assert list(got) == values
+    assert literals.sql_constant(None, "int") == "cast(null as int)"
+    assert literals.common_kind([1, None]) == "bigint"
+    for bad in ([1, "a"], [None], [[1]]):
+        with pytest.raises(TypeError):
+            literals.common_kind(bad)

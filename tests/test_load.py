@@ -26,6 +26,13 @@ def test_merge_fails_on_repeated_source_key(spark):
     assert load.merge_by_key(target, nulls, ["k"]).count() == 3
 
 
+def test_merge_without_case(spark, rows):
+    target, source = frame(spark, "k string, v int", ("A ", 1), ("b", 2)), frame(spark, "k string, v int", ("a", 3))
+    assert rows(load.merge_by_key(target, source, ["k"], ci=True)) == [("a", 3), ("b", 2)]
+    with pytest.raises(Exception, match="keys that must be unique"):
+        load.merge_by_key(target, source.union(frame(spark, "k string, v int", ("A", 4))), ["k"], ci=True).collect()
+
+
 def test_composite_key(spark, rows):
     target = frame(spark, "a int, b int, v string", (1, 1, "x"), (1, 2, "y"))
     source = frame(spark, "a int, b int, v string", (1, 2, "Y"), (2, 1, "Z"))

@@ -18,6 +18,8 @@ def test_star_and_filtered_columns(spark):
     assert project.columns_except(df, ["FIELD_2"]) == ["field_1", "field_3"]
     assert df.select(project.star(df, ["field_3"], "x_", "_y")).columns == ["x_field_1_y", "x_Field_2_y"]
     assert project.star(df, ["field_1", "field_2", "field_3"]) == []
+    joined = df.alias("a").join(df.alias("b"), F.col("a.field_1") == F.col("b.field_1"))
+    assert joined.select(project.star(df, ["field_1"], relation_alias="b")).columns == ["Field_2", "field_3"]
     grouped = df.groupBy(*project.star(df, ["field_3"])).agg(F.max("field_3").alias("m"))
     assert grouped.columns == ["field_1", "Field_2", "m"]
 
@@ -134,6 +136,7 @@ def test_pivot(spark, rows):
     assert out.columns == ["size", "red", "blue's"] and rows(out) == [("M", 1, 0), ("S", 2, 1)]
     out = aggregate.pivot(df, ["size"], "color", ["red", "blue's"], quote_identifiers=False, prefix="n ", agg="max")
     assert out.columns == ["size", "n_red", "n_blues"] and rows(out) == [("M", 1, 0), ("S", 1, 1)]
+    assert aggregate.pivot(df, ["size"], "color", ["red"], alias=False).columns[1].startswith("sum(")
     out = aggregate.pivot(df, ["size"], "color", ["c"], cmp=">=", agg="count", distinct=True, then_value=F.col("color"),
                           else_value=None)
     assert rows(out) == [("M", 1), ("S", 1)]

@@ -1,6 +1,5 @@
 """The order-dependent operators against plain Python, with ranges small enough to need seams."""
 
-import datetime as dt
 import random
 from itertools import groupby
 
@@ -105,10 +104,3 @@ def test_ranges_need_no_wide_window(spark):
     plan = ordered.with_previous(df, ["id"], ["id"], ["g"], rows_per_range=500)._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in plan.splitlines() if "SinglePartition" in line]
     assert len(wide) == 1 and "hashpartitioning(__range" in plan
-
-
-def test_literals():
-    from pyspark.sql import types as T
-    assert ordered._sql_literal(None, T.IntegerType()) == "cast(null as int)"
-    assert ordered._sql_literal(float("inf"), T.DoubleType()) == "cast('Infinity' as double)"
-    assert ordered._sql_literal(dt.date(2024, 1, 2), T.DateType()) == "cast('2024-01-02' as date)"

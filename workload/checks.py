@@ -220,12 +220,11 @@ def check_recency(t: Tables) -> DataFrame:
 
 
 @query("""
-    select event_type, cast(max(ts) as date) as most_recent, date '2024-01-30' as threshold from events
-    where ts < timestamp '2024-01-30' group by event_type""")
+    select event_type, cast(max(ts) as date) as most_recent, date '2024-01-31' as threshold from events
+    group by event_type""")
 def check_recency_by_date(t: Tables) -> DataFrame:
-    now = F.lit("2024-01-31 23:00:00").cast("timestamp_ntz")
-    early = t.events.filter("ts < timestamp_ntz '2024-01-30'")
-    return checks.recency(early, "ts", "day", 1, now, ignore_time_component=True, group_by=["event_type"])
+    now = F.lit("2024-02-01 23:00:00").cast("timestamp_ntz")
+    return checks.recency(t.events, "ts", "day", 1, now, ignore_time_component=True, group_by=["event_type"])
 
 
 @query("""

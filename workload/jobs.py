@@ -172,7 +172,7 @@ def job_suppliers(t: Tables) -> DataFrame:
 INVOICES = [
     "o_orderkey as InvoiceNumber",
     "cast(o_orderdate as date) as InvoiceDate",
-    "concat('P', cast(o_orderkey as string)) as PackageNumber",
+    "concat('p', cast(o_orderkey as string)) as PackageNumber",
     "concat('Customer ', cast(o_custkey as string)) as Consignee",
     "'Acme' as Shipper",
     "case o_orderpriority when '1-URGENT' then 'CASTRIES' when '2-HIGH' then 'Hold at Office' when '3-MEDIUM' then "
@@ -191,7 +191,9 @@ INVOICES = [
 
 @query(f"""
     with landing as (select {columns(INVOICES)} from orders)
-    select InvoiceNumber, InvoiceDate, PackageNumber, Consignee as InvoiceConsignee, Shipper as InvoiceShipper,
+    select InvoiceNumber, InvoiceDate, Consignee as InvoiceConsignee,
+           case when InvoiceDate >= date '1998-01-01' then PackageNumber else upper(PackageNumber) end as PackageNumber,
+           Shipper as InvoiceShipper,
            case when InvoiceStatus = 'paid' then 'Paid' else 'Unpaid' end as InvoiceStatus,
            case Route when 'CASTRIES' then 253 when 'Hold at Office' then 263 when 'Micoud ' then 255 end as RouteId,
            case when InvoiceDate >= date '1998-01-01' then InvoiceWeight else InvoiceWeight + 5 end as InvoiceWeight,
@@ -202,9 +204,10 @@ INVOICES = [
            null::integer as UnKnownId, 1 as InvoiceUserId
     from landing""")
 def job_invoices(t: Tables) -> DataFrame:
-    """Invoices loaded with another weight up to 1998, merged with those from 1998 on."""
+    """Invoices loaded with another weight, and numbers in upper case, up to 1998; merged with those from 1998 on."""
     landing = t.orders.selectExpr(*INVOICES)
-    before = landing.filter("InvoiceDate < date '1999-01-01'").withColumn("InvoiceWeight", F.col("InvoiceWeight") + 5)
+    before = (landing.filter("InvoiceDate < date '1999-01-01'")
+              .withColumns({"InvoiceWeight": F.col("InvoiceWeight") + 5, "PackageNumber": F.upper("PackageNumber")}))
     target = billing.merge_invoices(None, before)
     return billing.merge_invoices(target, landing.filter("InvoiceDate >= date '1998-01-01'"))
 
@@ -244,15 +247,15 @@ def job_payments(t: Tables) -> DataFrame:
 
 
 @query("""
-    select cast(l_shipdate as date) as OtherChargeCreatedDate, '10:00:00' as OtherChargeCreatedTime,
-           l_extendedprice as OtherChargeAmount, n as InvoiceNumber, 7 as OtherChargeUserId,
-           l_returnflag as PaymentMethodName, row_number() over (order by l_shipdate, n)::decimal(11,0) as OtherChargeId
-    from (select *, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber as n from lineitem where l_tax = 0.08)""")
+    select cast(o_orderdate as date) as OtherChargeCreatedDate, '10:00:00' as OtherChargeCreatedTime,
+           o_totalprice as OtherChargeAmount, o_orderkey as InvoiceNumber, 7 as OtherChargeUserId,
+           o_orderstatus as PaymentMethodName,
+           row_number() over (order by o_orderdate, o_orderkey)::decimal(11,0) as OtherChargeId
+    from orders""")
 def job_other_charges(t: Tables) -> DataFrame:
-    landing = t.lineitem.filter("l_tax = 0.08D").selectExpr(
-        "cast(l_shipdate as date) as DateCreated", "'10:00:00' as TimeCreated", "l_extendedprice as Amount",
-        "l_orderkey * 1000000 + l_partkey * 10 + l_linenumber as InvoiceNumber", "7 as UserId",
-        "l_returnflag as PaymentMethod")
+    landing = t.orders.selectExpr(
+        "cast(o_orderdate as date) as DateCreated", "'10:00:00' as TimeCreated", "o_totalprice as Amount",
+        "o_orderkey as InvoiceNumber", "7 as UserId", "o_orderstatus as PaymentMethod")
     return billing.other_charges(landing)
 
 

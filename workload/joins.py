@@ -158,15 +158,15 @@ def union_all(t: Tables) -> DataFrame:
 @query("""
     select 'parts' as origin, p_partkey as id, p_name as name, cast(p_size as varchar) as size,
            cast(null as double) as balance
-    from part where p_partkey > 10
+    from part where p_name <> 'red widget'
     union all
-    select 'suppliers', s_suppkey, s_name, null, s_acctbal from supplier where s_suppkey > 10""")
+    select 'suppliers', s_suppkey, s_name, null, s_acctbal from supplier""")
 def union_relations(t: Tables) -> DataFrame:
     parts = t.part.selectExpr("p_partkey as id", "p_name as name", "p_size as size", "p_brand as brand")
     suppliers = t.supplier.selectExpr("s_suppkey as id", "s_name as name", "s_acctbal as balance",
                                       "s_nationkey as Brand")
     return setops.union_relations({"parts": parts, "suppliers": suppliers}, {"size": "string"}, exclude=["BRAND"],
-                                  source_column_name="origin", where="id > 10")
+                                  source_column_name="origin", where="name <> 'red widget'")
 
 
 @query("""

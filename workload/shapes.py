@@ -67,8 +67,8 @@ def pivot_with_else(t: Tables) -> DataFrame:
     from lineitem group by l_returnflag""")
 def pivot_compare(t: Tables) -> DataFrame:
     """Another comparison, another aggregate, a column as value."""
-    steps = aggregate.pivot_columns("l_quantity", [10, 50], "max", ">=", prefix="from_", then_value=F.col("l_linenumber"))
-    below = aggregate.pivot_columns("l_quantity", [25], "count", "<", prefix="suppliers below ", distinct=True,
+    steps = aggregate.pivot_columns("l_quantity", [10, 50], agg="max", cmp=">=", prefix="from_", then_value=F.col("l_linenumber"))
+    below = aggregate.pivot_columns("l_quantity", [25], agg="count", cmp="<", prefix="suppliers below ", distinct=True,
                                     then_value=F.col("l_suppkey"), else_value=None, quote_identifiers=False)
     return t.lineitem.groupBy("l_returnflag").agg(*steps, *below)
 
