@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions import dates, numbers, text, urls
+from harborline.functions.keys import NULL_TOKEN
 from harborline.functions.keys import surrogate_key as key_of
 from harborline.operators import project
 from harborline.plans import lookups as L
@@ -190,10 +191,10 @@ def try_cast_default(t: Tables) -> DataFrame:
                          F.col("p_retailprice").cast("decimal(19,4)").alias("money"))
 
 
-@query("""
+@query(f"""
     select o_orderkey,
            md5(concat(cast(o_orderkey as varchar), '-', o_orderstatus, '-',
-               coalesce(nullif(o_orderpriority, '5-LOW'), '_dbt_utils_surrogate_key_null_'))) as key,
+               coalesce(nullif(o_orderpriority, '5-LOW'), '{NULL_TOKEN}'))) as key,
            md5(concat(cast(o_orderkey as varchar), '-', coalesce(nullif(o_orderpriority, '5-LOW'), ''))) as empty_key
     from orders""")
 def surrogate_key(t: Tables) -> DataFrame:
