@@ -41,28 +41,34 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.when(any_null(keys), F.xxhash64(*row)).otherwise(F.xxhash64(*keys))
 
 
-def _keyed(df: DataFrame, other: DataFrame, on: Keys, ci: bool) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with comparable key columns ``__l0..`` and ``__r0..``; the right side has nothing else."""
-    pairs = key_pairs(on)
+def _keyed(df: DataFrame, other: DataFrame, on: Keys, ci: bool) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Both sides with comparable key columns, and their names; the right side has nothing else.
+
+    A left key that needs no change stays the column it is, so that two joins on it share one shuffle.
+    """
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
-    kinds = [types[l.lower()] for l, _ in pairs]
+    lefts, rights, added, chosen = [], [], {}, []
+    for i, (l, r) in enumerate(key_pairs(on)):
+        kind = types[l.lower()]
+        right = F.col(r).cast(kind)
+        if ci and isinstance(kind, T.StringType):
+            added[f"__l{i}"], right = ci_key(F.col(l)), ci_key(right)
+        lefts.append(f"__l{i}" if f"__l{i}" in added else l)
+        rights.append(f"__r{i}")
+        chosen.append(right.alias(f"__r{i}"))
+    return df.withColumns(added) if added else df, other.select(chosen), lefts, rights
 
-    def key(name: str, kind: T.DataType) -> Column:
-        col = F.col(name).cast(kind)
-        return ci_key(col) if ci and isinstance(kind, T.StringType) else col
 
-    left = df.withColumns({f"__l{i}": key(l, kinds[i]) for i, (l, _) in enumerate(pairs)})
-    right = other.select([key(r, kinds[i]).alias(f"__r{i}") for i, (_, r) in enumerate(pairs)])
-    return left, right, [str(i) for i in range(len(pairs))]
+def _added(names: Iterable[str]) -> list[str]:
+    return [n for n in names if n.startswith("__l")]
 
 
 def keep_known(df: DataFrame, known: DataFrame, on: Keys, null_safe: bool = False, ci: bool = False) -> DataFrame:
     """Rows whose key occurs in ``known``; NULL equals nothing unless ``null_safe``."""
-    left, right, ids = _keyed(df, known, on, ci)
-    lefts, rights = [f"__l{i}" for i in ids], [f"__r{i}" for i in ids]
+    left, right, lefts, rights = _keyed(df, known, on, ci)
     match = reduce(and_, [F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r)
                           for l, r in zip(lefts, rights)])
-    return left.join(right, match, "left_semi").drop(*lefts)
+    return left.join(right, match, "left_semi").drop(*_added(lefts))
 
 
 def find_missing(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False, ci: bool = False,
@@ -72,17 +78,16 @@ def find_missing(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = Fa
     A NULL key matches nothing and stays, unless ``null_safe`` lets NULL equal NULL.  ``spread_nulls=False``
     saves the hash that spreads such rows where the caller knows that there are none.
     """
-    left, right, ids = _keyed(df, other, on, ci)
-    lefts, rights = [f"__l{i}" for i in ids], [f"__r{i}" for i in ids]
+    left, right, lefts, rights = _keyed(df, other, on, ci)
     if null_safe:
         match = reduce(and_, [F.col(l).eqNullSafe(F.col(r)) for l, r in zip(lefts, rights)])
-        return left.join(right, match, "left_anti").drop(*lefts)
+        return left.join(right, match, "left_anti").drop(*_added(lefts))
     if spread_nulls:
         left = left.withColumn("__lh", key_hash(left, lefts))
         right = right.withColumn("__rh", F.xxhash64(*rights))
         lefts, rights = [*lefts, "__lh"], [*rights, "__rh"]
     match = reduce(and_, [F.col(l) == F.col(r) for l, r in zip(lefts, rights)])
-    return left.join(right, match, "left_anti").drop(*lefts)
+    return left.join(right, match, "left_anti").drop(*_added(lefts))
 
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:

@@ -95,10 +95,21 @@ def append_counted(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def staged(df: DataFrame, label: str = "staged") -> DataFrame:
+    """``df`` written to the shared folder and read back, for work that goes over it several times."""
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def add_identity(df: DataFrame, order_by: Sequence[str], name: str, kind: str = "int",
-                 unique: bool = False) -> DataFrame:
-    """Add a gapless identity column from 1, in the order of the given columns."""
-    ids = dense_ids(df, order_by, name, unique=unique)
+                 unique: bool = False, stage: bool = False) -> DataFrame:
+    """Add a gapless identity column from 1, in the order of the given columns.
+
+    Numbering reads its input several times; ``stage`` writes the input once first, which pays where it is
+    more than a scan.
+    """
+    ids = dense_ids(staged(df, name) if stage else df, order_by, name, unique=unique)
     return ids.withColumn(name, F.col(name).cast(kind))
 
 
@@ -164,9 +175,7 @@ def merge_touched_partitions(spark: SparkSession, path: str, source: DataFrame,
     target = spark.read.parquet(path)
     touched = target.join(source.select(partition_column).distinct(), partition_column, "left_semi")
     merged = merge_by_key(touched.select(target.columns), source, keys)
-    stage = staging_path(spark, "merge")
-    merged.write.parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage).hint("rebalance", partition_column)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = staged(merged, "merge").hint("rebalance", partition_column)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_column).parquet(path))
     return spark.read.schema(target.schema).parquet(path)

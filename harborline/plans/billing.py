@@ -65,7 +65,7 @@ def payments(landing: DataFrame, users: Lookup, routes: Lookup = L.ROUTE_IDS) ->
         F.col("PaymentTime").alias("PaymentCreatedDateTime"),
         F.col("PaymentUserId").cast("int").alias("PaymentUserId"), F.col("LocationId").cast("int").alias("LocationId"),
         F.col("PaymentMethod").alias("PaymentMethodName"))
-    return add_identity(shaped, ["PaymentDate", "PaymentTime", "InvoiceNumber"], "PaymentId", IDENTITY)
+    return add_identity(shaped, ["PaymentDate", "PaymentTime", "InvoiceNumber"], "PaymentId", IDENTITY, stage=True)
 
 
 def other_charges(landing: DataFrame) -> DataFrame:
@@ -74,4 +74,4 @@ def other_charges(landing: DataFrame) -> DataFrame:
         F.col("Amount").alias("OtherChargeAmount"), "InvoiceNumber", F.col("UserId").alias("OtherChargeUserId"),
         F.col("PaymentMethod").alias("PaymentMethodName"))
     order = ["OtherChargeCreatedDate", "OtherChargeCreatedTime", "InvoiceNumber"]
-    return add_identity(shaped, order, "OtherChargeId", IDENTITY)
+    return add_identity(shaped, order, "OtherChargeId", IDENTITY, stage=True)

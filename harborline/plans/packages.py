@@ -18,6 +18,13 @@ from harborline.plans import lookups as L
 from harborline.sources.files import read_json_lines
 
 
+_KEY = "__package"
+
+
+def _with_key(df: DataFrame) -> DataFrame:
+    return df.withColumn(_KEY, ci_key(F.col("PackageNumber")))
+
+
 def load_packages(landing: DataFrame, known: DataFrame, customers: DataFrame,
                   loaded: DataFrame | None = None) -> DataFrame:
     """Packages to add to the target.
@@ -26,10 +33,12 @@ def load_packages(landing: DataFrame, known: DataFrame, customers: DataFrame,
     first run.  An account listed twice under the agent prefix doubles its packages.
     """
     seen, place = F.col("LocationLastSeen"), "PackageLocationLastSeenId"
-    rows = keep_known(landing, known, ["PackageNumber"], ci=True)
+    # The key is made once per table, so that both joins below share one shuffle of the landing rows.
+    landing, known = _with_key(landing), _with_key(known)
+    rows = keep_known(landing, known, [_KEY])
     if loaded is not None:
-        stored = keep_known(loaded.select("PackageNumber"), landing, ["PackageNumber"], ci=True)
-        rows = find_missing(rows, stored, ["PackageNumber"], ci=True)
+        stored = keep_known(_with_key(loaded).select(_KEY), landing, [_KEY])
+        rows = find_missing(rows, stored, [_KEY], spread_nulls=False)
     accounts = (customers.filter(same_text(F.col("CustomerAgentPrefix"), L.AGENT_PREFIX))
                 .select(F.col("CustomerAccountNumber").alias("__account"), "CustomerAvailableSaturday"))
     rows = rows.join(accounts, F.col("AccountNumber") == F.col("__account"))
