@@ -15,7 +15,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_entry__.py")
 entry_module = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_module)
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+ENTRIES = entry_module.ENTRIES
+QUERIES, ORACLES = ({n: q for n, q in f().items() if n in ENTRIES} for f in (entry_module.queries, entry_module.oracle_sql))
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
 
