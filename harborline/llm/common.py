@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import tempfile
+import zipfile
+from pathlib import Path
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from harborline.session import staging_path
 
@@ -24,3 +30,49 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+BITS = 1 << 23
+
+
+def bitmap(df: DataFrame, hashed: Column, bits: int = BITS) -> bytes:
+    """Which of ``bits`` cells the hashes fall in, as bytes: its size does not depend on the rows.
+
+    Words of the bitmap are aggregated in Spark, so the driver gets bits / 64 rows at most.
+    """
+    cell = hashed.bitwiseAND(F.lit(bits - 1))
+    words = df.groupBy(F.shiftright(cell, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    out = np.zeros(bits // 64, np.uint64)
+    for word, value in words.collect():
+        if word is not None:
+            out[word] = np.uint64(value & (2**64 - 1))
+    return out.tobytes()
+
+
+def bitmap_hits(bits: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which of the (unsigned 64-bit) hashes fall in a set cell."""
+    words = np.frombuffer(bits, np.uint64)
+    cell = hashes & np.uint64(len(words) * 64 - 1)
+    return (words[cell >> np.uint64(6)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+
+
+ARCHIVE = "harborline-code.zip"
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python once per application, by Spark's own file distribution."""
+    if any(name.endswith(ARCHIVE) for name in spark.sparkContext.listFiles):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="harborline-code-")) / ARCHIVE
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
+def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """mapInArrow with this package at hand in the tasks."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborline.llm import chat, quality_rules, secrets
+from harborline.llm import chat, decontaminate, packing, quality_rules, secrets
 from harborline.llm.common import table
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -20,4 +28,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
+QUERIES = {f.__name__: f for f in [op3_packing, op4_decontamination, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
