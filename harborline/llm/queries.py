@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from harborline.llm import chat, decontaminate, packing, quality_rules, secrets
+from harborline.llm import chat, decontaminate, language_id, packing, quality_model, quality_rules, secrets
 from harborline.llm.common import table
 
 
+def fold(folds: int, held: int) -> Column:
+    """Whether crc32(doc_id as text) leaves this remainder."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(4, 2))
+    return scored.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -16,6 +27,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), fold(3, 1))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -28,4 +43,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op3_packing, op4_decontamination, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
+QUERIES = {f.__name__: f for f in [op1_quality_classifier, op3_packing, op4_decontamination, op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
