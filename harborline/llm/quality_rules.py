@@ -63,18 +63,17 @@ def host_rates(judged: DataFrame, host: str = "source") -> DataFrame:
     """Per host: documents n, failures k, and the rate shrunk towards the beta prior of all hosts.
 
     The prior has the mean of the host rates and, by moments, their variance less what chance alone explains; hosts
-    that agree better than chance give the strongest prior (``1e6`` documents).
+    that agree better than chance give the strongest prior (``1e6`` documents).  Its two numbers are fetched by a job.
     """
     hosts = judged.where(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("k"))
-    prior = hosts.agg(F.avg(F.col("k") / F.col("n")).alias("mean"), F.var_pop(F.col("k") / F.col("n")).alias("var"),
-                      F.avg(F.lit(1.0) / F.col("n")).alias("inverse"))
-    spread = F.col("mean") * (1 - F.col("mean"))
-    excess = F.greatest(F.col("var") - spread * F.col("inverse"), spread / F.lit(1e6))
-    prior = prior.select("mean", F.when(spread > 0, F.greatest(spread / excess - 1, F.lit(1.0))).otherwise(F.lit(1.0)).alias("size"))
-    one = F.lit(1)
-    return hosts.withColumn("_one", one).join(F.broadcast(prior.withColumn("_one", one)), "_one").select(
-        "host", "n", "k", ((F.col("k") + F.col("mean") * F.col("size")) / (F.col("n") + F.col("size"))).alias("rate"))
+    share = F.col("k") / F.col("n")
+    found = hosts.agg(F.avg(share).alias("mean"), F.var_pop(share).alias("var"), F.avg(F.lit(1.0) / F.col("n")).alias("inverse")).first()
+    mean, size = found["mean"] or 0.0, 1.0
+    spread = mean * (1 - mean)
+    if spread > 0:
+        size = max(spread / max(found["var"] - spread * found["inverse"], spread / 1e6) - 1, 1.0)
+    return hosts.select("host", "n", "k", ((F.col("k") + F.lit(mean * size)) / (F.col("n") + F.lit(size))).alias("rate"))
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",

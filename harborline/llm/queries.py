@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, decontaminate, language_id, packing, quality_model, quality_rules, secrets
+from harborline.llm import chat, decontaminate, language_id, packing, quality_model, quality_rules, secrets, toxicity
 from harborline.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(4, 2))
+    return scored.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), fold(3, 1))
 
@@ -43,4 +48,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op1_quality_classifier, op3_packing, op4_decontamination, op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
+QUERIES = {f.__name__: f for f in [op1_quality_classifier, op3_packing, op4_decontamination, op5_toxicity, op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
