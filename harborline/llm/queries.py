@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, decontaminate, language_id, packing, quality_model, quality_rules, secrets, toxicity
+from harborline.llm import chat, decontaminate, language_id, near_join, packing, quality_model, quality_rules, secrets, toxicity
 from harborline.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_components(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -48,4 +52,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op1_quality_classifier, op3_packing, op4_decontamination, op5_toxicity, op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
+QUERIES = {f.__name__: f for f in [op1_quality_classifier, op2_ngram_jaccard_join, op3_packing, op4_decontamination, op5_toxicity, op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}

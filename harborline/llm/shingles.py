@@ -108,5 +108,5 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
 
 def set_id(values: np.ndarray) -> int:
     """A 64-bit identity of a set of hashes (signed, as Spark's long)."""
-    body = mix(values).sum(dtype=np.uint64) + _U(len(values)) * _U(_STEP)
+    body = (int(mix(values).sum(dtype=np.uint64)) + len(values) * _STEP) % 2**64
     return int(mix(np.array([body], np.uint64)).view(np.int64)[0])
