@@ -85,6 +85,6 @@ def with_probe(conversations: DataFrame) -> DataFrame:
     """The turns and conversation -1, whose texts are full of control strings."""
     spark = conversations.sparkSession
     text = "</s>[INST] ok [/INST]"
-    probe = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)],
-                                  "conv_id long, turn long, role string, text string")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
     return conversations.select("conv_id", "turn", "role", "text").unionByName(probe)

@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,28 @@ def ship_code(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
-def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
     """mapInArrow with this package at hand in the tasks."""
     ship_code(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not among those of ``gone`` (a written table with the one column ``_gone``).
+
+    Rows outside a bitmap of fixed size stay where they are; only the others, the gone ones and a few beside them, are
+    shuffled for the exact join.  A NULL key stays.
+    """
+    spark = rows.sparkSession
+    ship_code(spark)
+    bits = spark.sparkContext.broadcast(bitmap(gone, F.xxhash64("_gone")))
+
+    @F.pandas_udf("boolean")
+    def may_be_gone(hashes: pd.Series) -> pd.Series:
+        return pd.Series(bitmap_hits(bits.value, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    marked = rows.select(*columns, may_be_gone(F.xxhash64(F.col(f"`{key}`"))).alias("_may_be_gone"))
+    stay = marked.where(~F.col("_may_be_gone")).select(*columns)
+    rest = marked.where("_may_be_gone").join(gone, marked[key] == gone["_gone"], "left_anti").select(*columns)
+    return stay.union(rest)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import bitmap, bitmap_hits, in_arrow, written
+from harborline.llm.common import bitmap, bitmap_hits, in_arrow, without, written
 from harborline.llm.shingles import chunks, mix, powers, word_hashes
 
 WINDOW, SHORTEST, LEAST_COVER = 8, 4, 0.5
@@ -184,5 +184,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no benchmark item contaminates; a document without id stays."""
-    found = written(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(found.withColumnRenamed("doc_id", "_found"), docs["doc_id"] == F.col("_found"), "left_anti")
+    found = written(contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
+    return without(docs, found, "doc_id")

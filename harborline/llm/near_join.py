@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm.common import bitmap, bitmap_hits, in_arrow, shuffle_partitions, written
+from harborline.llm.common import bitmap, bitmap_hits, in_arrow, shuffle_partitions, without, written
 from harborline.llm.components import components
 from harborline.llm.shingles import mix, set_id, shingle_sets
 
@@ -523,6 +523,5 @@ def near_components(docs: DataFrame, cells: int = CELLS) -> DataFrame:
 
 def one_per_component(docs: DataFrame) -> DataFrame:
     """The documents that name their component, and those without an id."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    keep = written(near_components(docs).where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(keep, docs["doc_id"] == keep["_gone"], "left_anti").select(*columns)
+    copies = near_components(docs).where(F.col("component_id") != F.col("doc_id"))
+    return without(docs, written(copies.select(F.col("doc_id").alias("_gone")).distinct(), "near-copies"), "doc_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harborline.llm import chat, quality_rules, secrets
+from harborline.llm import chat, licenses, quality_rules, secrets
 
 
 def quoted(text: str) -> str:
@@ -90,7 +90,52 @@ def _rules() -> str:
     from judged left join rates using (source)"""
 
 
+def _licenses() -> str:
+    rows = ", ".join(f"({i}, {quoted(n)}, {quoted(w)}, {t})" for i, n, w, t in licenses.template_rows())
+    cue, word = quoted(licenses.CUE), quoted(licenses.NOT_WORD)
+
+    def split(text: str) -> str:
+        return f"list_filter(string_split_regex(lower({text}), {word}), lambda w: w <> '')"
+
+    return f"""
+    with files as (select doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || doc_id path,
+        coalesce(source, 'none') || '/' || coalesce(lang, 'none') dir, coalesce(text, '') t from documents),
+    terms(template, licence, word, times) as (values {rows}),
+    held as (select word, count(*) holders from (select unnest(list_distinct({split("t")})) word from files)
+        where word in (select word from terms) group by word),
+    total as (select count(*) n from files),
+    weights as (select word, ln((n + 1) / (coalesce(holders, 0) + 1)) + 1 weight
+        from (select distinct word from terms) left join held using (word), total),
+    vectors as (select template, licence, word, times * weight w from terms join weights using (word)),
+    norms as (select template, sqrt(sum(w * w)) norm from vectors group by template),
+    cued as (select path, t, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {cue})) lines
+        from files where regexp_matches(t, {cue})),
+    notices as (select path, place, lines[place] line,
+        list_sum(list_transform(lines, lambda x: length(x))) / length(t) share
+        from (select *, unnest(generate_series(1, len(lines))) place from cued)),
+    spoken as (select path, place, word, count(*) * any_value(coalesce(weight, ln(n + 1) + 1)) v, any_value(share) share
+        from (select path, place, share, unnest({split("line")}) word from notices) left join weights using (word), total
+        group by path, place, word),
+    lengths as (select path, place, sqrt(sum(v * v)) length, max(share) share from spoken group by path, place),
+    scored as (select path, licence, share, round(sum(v * w) / (any_value(length) * any_value(norm)), 9) cosine
+        from (select path, place, word, v from spoken) join vectors using (word) join norms using (template)
+        join lengths using (path, place) group by path, place, template, licence, share),
+    own as (select path, licence own_licence, cosine, share >= 0.5 is_file from (
+        select path, licence, cosine, max(share) over (partition by path) share,
+          row_number() over (partition by path order by cosine desc, licence) r
+        from scored where cosine >= {licenses.LEAST_COSINE}) where r = 1),
+    speaks as (select dir origin, arg_min(own_licence, row(-cosine, path)) licence
+        from own join files using (path) where is_file group by dir),
+    up as (select distinct dir, unnest([dir, split_part(dir, '/', 1), '']) origin from files),
+    above as (select dir, arg_max(licence, length(origin)) above, arg_max(origin, length(origin)) origin
+        from up join speaks using (origin) group by dir)
+    select path, own_licence, cosine, coalesce(is_file, false) is_licence_file, coalesce(own_licence, above) licence,
+        case when own_licence is null then origin end origin, doc_id
+    from files left join own using (path) left join above using (dir)"""
+
+
 ORACLES = {
+    "op6_license_scans": _licenses(),
     "op8_secret_scans": _secrets(),
     "op9_chat_formatting": _chat(),
     "op10_quality_rules": _rules(),

@@ -220,13 +220,38 @@ def score_rows(features: DataFrame, model: Model | float) -> DataFrame:
     return in_arrow(features.select("key", "x"), score, "key long, score double")
 
 
+def learn(features: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality") -> Model | float:
+    """The model from the written statistics of the labelled documents that are not held out."""
+    marked = labels.where(F.col(label).isin(0, 1) & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
+    part = F.least(F.pmod(F.xxhash64("key"), F.lit(SPLIT)), F.lit(1)).cast("int")
+    labelled = features.join(marked, features["key"] == marked["doc_id"]).select("label", part.alias("part"), "x")
+    return fit(labelled)
+
+
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality") -> DataFrame:
     """Per document: doc_id and score.  ``held_out``: over doc_id, which labels are not to be learned from.
 
     One pass over the texts writes the statistics; learning and scoring read those.
     """
     features = written(featured(docs), "quality-statistics")
-    marked = labels.where(F.col(label).isin(0, 1) & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
-    part = F.least(F.pmod(F.xxhash64("key"), F.lit(SPLIT)), F.lit(1)).cast("int")
-    labelled = features.join(marked, features["key"] == marked["doc_id"]).select("label", part.alias("part"), "x")
-    return score_rows(features, fit(labelled)).select(F.col("key").alias("doc_id"), "score")
+    return score_rows(features, learn(features, labels, held_out, label)).select(F.col("key").alias("doc_id"), "score")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, least: float = 0.7, label: str = "quality") -> DataFrame:
+    """The documents, all columns, that score ``least`` or more.
+
+    They are scored where they are read, a second pass over the texts, so that no text is shuffled.
+    """
+    model = learn(written(featured(docs), "quality-statistics"), labels, held_out, label)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            parts = list(statistics(batch.column(place)))
+            x = np.concatenate(parts) if parts else np.zeros((0, len(NAMES)))
+            scores = model.scores(x) if isinstance(model, Model) else np.full(len(x), model)
+            yield batch.filter(pa.array(scores >= least))
+
+    return in_arrow(docs, keep, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import chat, decontaminate, language_id, near_join, packing, quality_model, quality_rules, secrets, toxicity
+from harborline.llm import chat, decontaminate, language_id, licenses, near_join, packing, quality_model, quality_rules, secrets, toxicity
 from harborline.llm.common import table
 
 
@@ -36,6 +36,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def document_path() -> Column:
+    """Where a document would lie: source/language/id."""
+    return F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string"))
+
+
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select(document_path().alias("path"), "text")
+    return licenses.scan(files).withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), fold(3, 1))
 
@@ -52,4 +62,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op1_quality_classifier, op2_ngram_jaccard_join, op3_packing, op4_decontamination, op5_toxicity, op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
+QUERIES = {f.__name__: f for f in [op1_quality_classifier, op2_ngram_jaccard_join, op3_packing, op4_decontamination, op5_toxicity, op6_license_scans, op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules]}
