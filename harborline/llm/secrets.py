@@ -4,7 +4,7 @@ Everything is Spark SQL: a text is split at its matches, so that the running sum
 gives each span in code points; entropy is followed along a window by counts that change by one character in and one out.
 
 Rows: a NULL or empty text has no spans; repeated rows and ties give the same spans each; extra columns stay as they
-are, and a column named like a result is replaced.
+are, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,28 +122,26 @@ def listed(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with one column more: ``found``, all spans by start (start, k = place of the kind in KINDS, end)."""
-    whole = F.coalesce(F.col(text), F.lit(""))
+    """row (all columns of a row as a struct), whole (its text) and found: all spans by start, as (start, k, end) with
+    k the place of the kind in KINDS."""
+    docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("whole"))
+    whole = F.coalesce("whole", F.lit(""))
     for kind in BASE:
         docs = docs.withColumn(f"_{kind}", base_spans(whole, kind))
-    base = F.concat(*[F.col(f"_{kind}") for kind in BASE])
-    docs = docs.withColumn("_base", base).drop(*[f"_{kind}" for kind in BASE])
-    docs = docs.withColumn("found", F.array_sort(F.concat("_base", entropy_spans(whole, F.col("_base")))))
-    return docs.drop("_base")
+    docs = docs.select("row", "whole", F.concat(*[F.col(f"_{kind}") for kind in BASE]).alias("base"))
+    return docs.select("row", "whole", F.array_sort(F.concat("base", entropy_spans(whole, F.col("base")))).alias("found"))
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The same rows with every span of the text replaced by a mark; overlapping spans become one mark."""
-    columns = docs.columns
-    docs = scan(docs, text)
-    whole = F.col(text)
+    whole = F.col("whole")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cut = F.aggregate("found", start, lambda acc, s: F.when(s.start >= acc.at, F.struct(
         s.end.alias("at"), F.concat(acc.out, F.substring(whole, acc.at + 1, s.start - acc.at), F.lit(mark)).alias("out"))
     ).otherwise(F.struct(F.greatest(acc.at, s.end).alias("at"), acc.out.alias("out"))), lambda acc: F.concat(
         acc.out, F.substring(whole, acc.at + 1, F.length(whole))))
-    docs = docs.withColumn(text, F.when(F.size("found") > 0, cut).otherwise(whole))
-    return docs.select(*[F.col(f"`{c}`") for c in columns])
+    cleaned = F.when(F.size("found") > 0, cut).otherwise(whole)
+    return scan(docs, text).select(*[(cleaned if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def of_kind(kind: int):
@@ -155,5 +153,5 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     docs = scan(docs.select(key, text), text)
     count = {k: F.size(F.filter("found", of_kind(i))).cast("long") for i, k in enumerate(KINDS)}
     base = F.filter("found", lambda s: s.k < len(BASE))
-    return docs.select(key, *[count[k].alias(f"n_{k}") for k in BASE], F.sha2(listed(base), 256).alias("base_sha256"),
+    return docs.select(F.col("row").getField(key).alias(key), *[count[k].alias(f"n_{k}") for k in BASE], F.sha2(listed(base), 256).alias("base_sha256"),
                        listed(F.col("found")).alias("spans"), count["entropy"].alias("n_entropy"))
