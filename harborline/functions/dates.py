@@ -20,9 +20,9 @@ def _known(part: str) -> str:
 
 
 def combine(day: Column, clock: Column) -> Column:
-    """Timestamp from a date and a ``HH:mm:ss`` text; NULL where either is missing."""
-    text = F.concat(day.cast("date").cast("string"), F.lit(" "), F.left(clock, F.lit(8)))
-    return text.cast("timestamp_ntz")
+    """Timestamp from a date and a clock: a ``HH:mm:ss`` text, a time or a timestamp; NULL where either is missing."""
+    found = F.regexp_extract(clock.cast("string"), r"(\d{1,2}:\d{2}:\d{2})", 1)
+    return F.concat(day.cast("date").cast("string"), F.lit(" "), F.nullif(found, F.lit(""))).cast("timestamp_ntz")
 
 
 def shift(moment: Column, part: str, amount: Column | int) -> Column:

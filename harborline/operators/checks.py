@@ -127,13 +127,19 @@ def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: fl
 def recency(df: DataFrame, field: str, part: str, interval: int, now: Column | None = None,
             ignore_time_component: bool = False, group_by: Sequence[str] = ()) -> DataFrame:
     """Groups (or the table) whose newest moment is more than ``interval`` parts before ``now``."""
-    kind = "date" if ignore_time_component else "timestamp_ntz"
-    threshold = shift(F.current_timestamp() if now is None else now, part, -interval).cast(kind)
-    return (df.groupBy(*group_by).agg(F.max(field).cast(kind).alias("most_recent"))
+    newest, threshold = newest_and_threshold(F.col(field), part, interval, now, ignore_time_component)
+    return (df.groupBy(*group_by).agg(newest.alias("most_recent"))
             .withColumn("threshold", threshold)
             .filter(F.col("most_recent") < F.col("threshold")))
 
 
+def newest_and_threshold(field: Column, part: str, interval: int, now: Column | None = None,
+                         ignore_time_component: bool = False) -> tuple[Column, Column]:
+    """The two moments that ``recency`` compares."""
+    kind = "date" if ignore_time_component else "timestamp_ntz"
+    return F.max(field).cast(kind), shift(F.current_timestamp() if now is None else now, part, -interval).cast(kind)
+
+
 def columns_match_set(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Column names the table or the list has alone, in upper case; no data is read."""
     spark = df.sparkSession

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harborline.functions.literals import common_kind, sql_array, sql_struct
+from harborline.functions.literals import constant_rows
 from harborline.functions.text import ci_key
 
 MAX_LITERAL_MAP = 10_000
@@ -148,9 +148,7 @@ def decode(df: DataFrame, column: str, mapping: Mapping | DataFrame, name: str,
 
 def _literal_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """A map as a constant of the plan; whole numbers are 64-bit."""
-    kinds = [common_kind(column) for column in zip(*rows)]
-    table = spark.range(1).select(F.inline(F.expr(sql_array([sql_struct(row, kinds) for row in rows]))))
-    return table.toDF("__code", "__value")
+    return spark.range(1).select(F.inline(constant_rows(rows, ["__code", "__value"])))
 
 
 def ci_text(text: str) -> str:

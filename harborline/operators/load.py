@@ -6,10 +6,10 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harborline.operators.joins import find_missing, keep_known, key_hash, require_unique
+from harborline.operators.joins import any_null, find_missing, keep_known, key_hash, require_unique
 from harborline.operators.ordered import dense_ids
 from harborline.operators.project import conform
 from harborline.session import staging_path
@@ -32,25 +32,34 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], insert_onl
            check_unique: bool = True) -> DataFrame:
     """Target after an upsert in which the ``insert_only`` columns are written for new keys only.
 
-    A matched row takes every other column from the source, even where that is NULL.  Updates and inserts are
-    two joins rather than one full join: each has the source, or keys of the source, on the side
-    Spark may broadcast, so a small source leaves a large target unshuffled.
+    A matched row takes every other column from the source, even where that is NULL; a column that the source lacks
+    stays.  One full join: each table is read and shuffled once.  A repeated source key fails the job; it is counted
+    in the shuffle that the join needs anyway.  Where the target is partitioned, cut it down to the partitions of the
+    source first (``merge_touched_partitions``), since a full join passes over all of it.
     """
     keep = {c.lower() for c in (*insert_only, *keys)}
-    source = require_unique(source, keys) if check_unique else source
     given = {c.lower() for c in source.columns}
+    on = [*keys, "__match"]
     new = conform(source, target.schema)
-    old = target.withColumn("__match", key_hash(target, keys)).alias("t")
-    match = reduce(and_, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in (*keys, "__match")])
-    right = new.withColumns({"__match": key_hash(new, keys), "__new": F.lit(True)}).alias("s")
-
-    def updated(name: str):
-        if name.lower() in keep or name.lower() not in given:
-            return F.col(f"t.`{name}`").alias(name)
-        return F.when(F.col("s.__new"), F.col(f"s.`{name}`")).otherwise(F.col(f"t.`{name}`")).alias(name)
-
-    updates = old.join(right, match, "left").select([updated(c) for c in target.columns])
-    return updates.unionByName(new_rows(target, new, keys))
+    new = new.withColumn("__match", key_hash(new, keys))
+    if check_unique:
+        times = F.count(F.lit(1)).over(Window.partitionBy(*on))
+        clash = F.raise_error(F.lit("keys that must be unique and are not")).cast("boolean")
+        new = new.withColumn("__times", times).filter(
+            F.when((F.col("__times") == 1) | any_null(keys), F.lit(True)).otherwise(clash)).drop("__times")
+    old = target.withColumns({"__match": key_hash(target, keys), "__old": F.lit(True)}).alias("t")
+    right = new.withColumn("__new", F.lit(True)).alias("s")
+    match = reduce(and_, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in on])
+
+    def merged(name: str):
+        ours, theirs = F.col(f"t.`{name}`"), F.col(f"s.`{name}`")
+        if name.lower() in keep:
+            return F.when(F.col("t.__old"), ours).otherwise(theirs).alias(name)
+        if name.lower() in given:
+            return F.when(F.col("s.__new"), theirs).otherwise(ours).alias(name)
+        return ours.alias(name)
+
+    return old.join(right, match, "full").select([merged(c) for c in target.columns])
 
 
 def new_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str], null_safe: bool = False,
@@ -67,13 +76,22 @@ def new_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str], n
     if prune_by is not None:
         if prune_by not in keys:
             raise ValueError("prune_by must be one of the keys")
-        ends = source.agg(F.min(prune_by).alias("low"), F.max(prune_by).alias("high")).first()
-        inside = F.col(prune_by).between(F.lit(ends["low"]), F.lit(ends["high"]))
+        inside = within(prune_by, *ends_of(source, F.col(prune_by)))
         seen = seen.filter(inside | F.col(prune_by).isNull() if null_safe else inside)
     seen = keep_known(seen, source, keys, null_safe, ci)
     return conform(find_missing(source, seen, keys, null_safe, ci), target.schema)
 
 
+def ends_of(df: DataFrame, value: Column) -> tuple:
+    """Smallest and largest value, by a job; None twice where there is none."""
+    return tuple(df.agg(F.min(value), F.max(value)).first())
+
+
+def within(column: str, low, high) -> Column:
+    """``column`` between two driver-side values, in a form that reaches the scan; nothing is between NULLs."""
+    return F.col(column).between(F.lit(low), F.lit(high))
+
+
 def append_new(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                null_safe: bool = False, prune_by: str | None = None, full_refresh: bool = False) -> DataFrame:
     """Append the new rows of ``source`` to the parquet table at ``path`` and return the table.
@@ -95,22 +113,12 @@ def append_counted(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def staged(df: DataFrame, label: str = "staged") -> DataFrame:
-    """``df`` written to the shared folder and read back, for work that goes over it several times."""
-    path = staging_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def add_identity(df: DataFrame, order_by: Sequence[str], name: str, kind: str = "int",
-                 unique: bool = False, stage: bool = False) -> DataFrame:
+def add_identity(df: DataFrame, order_by: Sequence[str], name: str, kind: str = "int") -> DataFrame:
     """Add a gapless identity column from 1, in the order of the given columns.
 
-    Numbering reads its input several times; ``stage`` writes the input once first, which pays where it is
-    more than a scan.
+    The input is evaluated once, by jobs that run while the plan is built; see ``ordered``.
     """
-    ids = dense_ids(staged(df, name) if stage else df, order_by, name, unique=unique)
-    return ids.withColumn(name, F.col(name).cast(kind))
+    return dense_ids(df, order_by, name).withColumn(name, F.col(name).cast(kind))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -162,20 +170,56 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(_version(root, complete[-1])) if complete else None
 
 
+PENDING = "_merge_pending"  # readers skip names that begin with an underscore
+
+
 def merge_touched_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                              partition_column: str) -> DataFrame:
-    """Merge into a partitioned parquet table, rewriting only the partitions the source has rows for.
+    """Merge into a partitioned parquet table, reading and rewriting only the partitions the source has rows for.
 
-    The partition column must belong to the key, so a row never moves.  The merged partitions are
-    written to the shared folder first, since a job cannot overwrite what it reads.  A repeated run
-    gives the same table.
+    The partition column must belong to the key, so a row never moves.  The values it takes in the source are
+    fetched, one per partition that is rewritten, so that the scan of the target is pruned by constants.  The merged
+    partitions are written to the shared folder first, and a note beside the table names them until they are in place:
+    a job that dies in between is finished by the next one, or by ``finish_merge``, before anything else is read.
     """
     if partition_column not in keys:
         raise ValueError("the partition column must be one of the keys")
+    finish_merge(spark, path)
     target = spark.read.parquet(path)
-    touched = target.join(source.select(partition_column).distinct(), partition_column, "left_semi")
-    merged = merge_by_key(touched.select(target.columns), source, keys)
-    rows = staged(merged, "merge").hint("rebalance", partition_column)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_column).parquet(path))
+    values = [r[0] for r in source.select(partition_column).distinct().collect()]
+    known = [v for v in values if v is not None]
+    inside = F.col(partition_column).isin(known) if known else F.lit(False)
+    if len(known) < len(values):
+        inside = inside | F.col(partition_column).isNull()
+    # The folders are listed again for these partitions alone.
+    touched = target.filter(inside)
+    merged = staging_path(spark, "merge")
+    merge_by_key(touched, source, keys).write.parquet(merged)
+    _write_note(spark, f"{path}/{PENDING}", f"{partition_column}\n{merged}")
+    finish_merge(spark, path)
     return spark.read.schema(target.schema).parquet(path)
+
+
+def finish_merge(spark: SparkSession, path: str) -> bool:
+    """Puts merged partitions in place that a note says are waiting; doing so twice gives the same table."""
+    note = f"{path}/{PENDING}"
+    if not path_exists(spark, note):
+        return False
+    fs, where = _file_system(spark, note)
+    lines = spark._jvm.java.util.Scanner(fs.open(where), "UTF-8")
+    column, merged = lines.nextLine(), lines.nextLine()
+    lines.close()
+    rows = spark.read.parquet(merged).hint("rebalance", column)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    fs.delete(where, False)
+    return True
+
+
+def _write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there in full or not at all."""
+    fs, where = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}_draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(draft, where)

@@ -3,9 +3,14 @@
 ``lag``, ``lead`` and dense row numbers need a total order.  A plain window sorts each group (or the whole
 table, without groups) in a single task, which a hot key turns into the slowest task of the job.  Here
 the rows are cut into ranges of the complete order - group columns first, then the order columns, then
-a hash of the row to break ties - so a hot group simply spans several ranges.  The cut points are drawn from a
-bounded sample once and then are constants of the plan: the range of a row depends on nothing but the
-row, so a lost executor recomputes the same ranges.  The seams between ranges need one row per range.
+a hash of the row and its place in the input - so a hot group simply spans several ranges, and so does a pile of
+equal rows.  There is one plan for tables of every size: at least one range for each shuffle partition of the
+session, and more where a range would hold over ``rows_per_range`` rows.
+
+The input is evaluated once, into the shared folder, with its tie-breakers; a second written copy is partitioned and
+sorted by the complete order and carries each row's range and place in it.  Every later step reads that copy, so a
+lost executor recomputes the same ranges.  Writing both are jobs that run while the plan is built; the result itself
+is lazy.
 """
 
 from __future__ import annotations
@@ -14,145 +19,63 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harborline.functions.literals import sql_array, sql_struct
+from harborline.session import staged
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 16_384  # bounds the cut points, the seam rows and the offsets alike
-SAMPLES_PER_RANGE = 8
-SAMPLE_SEED = 17
-COPIES_PER_TASK = 100_000
+PLACE_BITS = 33  # of monotonically_increasing_id(): the place within a partition, below the partition's number
 
-_RANGE, _SEAM, _TIE, _COPIES = "__range", "__seam", "__tie", "__copies"
-
-
-def _cut_points(keyed: DataFrame, rows_per_range: int) -> tuple[list[str], bool]:
-    """Sorted cut points of ``keyed`` as SQL struct constants, and whether one key spans several of them.
-
-    There are none where one range is enough.
-    """
-    total = keyed.count()
-    ranges = min(MAX_RANGES, -(-total // rows_per_range))
-    if ranges <= 1:
-        return [], False
-    wanted = ranges * SAMPLES_PER_RANGE
-    sample = keyed if total <= wanted else keyed.sample(min(1.0, 1.1 * wanted / total), seed=SAMPLE_SEED)
-    drawn = sample.orderBy(*keyed.columns).collect()  # about `wanted` rows, whatever the table holds
-    picks = [drawn[len(drawn) * i // ranges] for i in range(1, ranges)] if drawn else []
-    kinds = [f.dataType.simpleString() for f in keyed.schema.fields]
-    texts = [sql_struct(row, kinds) for row in picks]
-    cuts = list(dict.fromkeys(texts))
-    return cuts, len(cuts) < len(texts)
-
-
-def _range_of(key: Column, cuts: Sequence[str]) -> Column:
-    """How many cut points are not above ``key``, by binary search inside the expression."""
-    bounds = F.expr(sql_array(cuts))
-    steps, step = [], 1
-    while step <= len(cuts):
-        steps.insert(0, step)
-        step *= 2
-
-    def search(wanted: Column) -> Column:
-        # An index past the end reads as NULL, and a NULL comparison keeps the position.
-        return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda position, step: F.when(
-            F.get(bounds, position + step - 1) <= wanted, position + step).otherwise(position))
-
-    # The key goes in as the element of a one-element array, so that it is built once and not in every step.
-    return F.transform(F.array(key), search)[0]
+_RANGE, _SEAM, _TIE, _PLACE = "__range", "__seam", "__tie", "__place"
 
 
 def _comparable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def _ranged(df: DataFrame, keys: Sequence[str], unique: bool,
-            rows_per_range: int) -> tuple[DataFrame, list[str], bool, bool]:
-    """``df`` with a tie-breaking hash and its range number, the full key, and two facts about the ranges.
-
-    The facts: are there several ranges, and does one full key (so a pile of equal rows) span more than one.
-    """
-    tied = df.withColumn(_TIE, F.lit(0) if unique else F.xxhash64(*_comparable(df)))
-    full = [*keys, _TIE]
-    cuts, piled = _cut_points(tied.select(*full), rows_per_range)
-    number = _range_of(F.struct(*full), cuts) if cuts else F.lit(0)
-    return tied.withColumn(_RANGE, number), full, bool(cuts), piled
-
-
-def repeat_rows(df: DataFrame, times: str, index: str) -> DataFrame:
-    """Each row ``times`` times, numbered 0.. in ``index``.
+def _ranged(df: DataFrame, keys: Sequence[str], rows_per_range: int) -> tuple[DataFrame, list[str]]:
+    """The rows with their range and place in it, written in the complete order, and the columns of that order.
 
-    A row asked for more than ``COPIES_PER_TASK`` times is first cut into blocks that are spread over the tasks.
+    Spark draws the bounds of the ranges from a sample of the first copy.
     """
-    block = F.explode(F.sequence(F.lit(0), ((F.col(times) - 1) / COPIES_PER_TASK).cast("int"))).alias("__block")
-    first = F.col("__block").cast("bigint") * COPIES_PER_TASK
-    last = F.least(first + COPIES_PER_TASK, F.col(times)) - 1
-    # A fixed number of partitions: blocks are small until they are written out, so merging them would be wrong.
+    tied = df.withColumns({_TIE: F.xxhash64(*_comparable(df)), _PLACE: F.monotonically_increasing_id()})
+    rows, full = staged(tied, "input"), [*keys, _TIE, _PLACE]
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = df.filter(F.col(times) > 0).select("*", block).repartition(tasks, *df.columns, "__block")
-    return blocks.select(*df.columns, F.explode(F.sequence(first, last)).alias(index))
+    ranges = max(tasks, -(-rows.count() // rows_per_range))
+    at = F.monotonically_increasing_id()
+    rows = rows.repartitionByRange(ranges, *full).sortWithinPartitions(*full).withColumn(_PLACE, at)
+    rows = staged(rows, "ordered")
+    return rows.withColumn(_RANGE, F.shiftright(_PLACE, PLACE_BITS)), full
 
 
-def dense_ids(df: DataFrame, order_by: Sequence[str], name: str, start: int = 1, unique: bool = False,
+def dense_ids(df: DataFrame, order_by: Sequence[str], name: str, start: int = 1,
               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add ``name`` = start, start+1, ... without gaps, in the order of the given columns.
-
-    ``unique=True`` says that ``order_by`` identifies a row, so the passes that find the ranges read
-    these columns only.
-    """
-    ranged, _, _, piled = _ranged(df, order_by, unique, rows_per_range)
-    if not piled:
-        return _ids_in_ranges(ranged, [*order_by, _TIE], name, start, F.lit(1))
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
-    ranged, *_ = _ranged(counted, order_by, unique, rows_per_range)
-    firsts = _ids_in_ranges(ranged, [*order_by, _TIE], name, start, F.col(_COPIES))
-    return (repeat_rows(firsts, _COPIES, "__copy")
-            .withColumn(name, F.col(name) + F.col("__copy")).drop(_COPIES, "__copy"))
-
-
-def _ids_in_ranges(ranged: DataFrame, keys: Sequence[str], name: str, start: int, weight: Column) -> DataFrame:
-    """First id of every row, where a row uses up ``weight`` ids."""
-    # One row per range (at most MAX_RANGES), so both the global window and the broadcast are bounded.
+    """Add ``name`` = start, start+1, ... without gaps, in the order of the given columns."""
+    ranged, _ = _ranged(df, order_by, rows_per_range)
+    # One row per range, so the window below is over as many rows as there are ranges.
     earlier = F.sum("n").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (ranged.groupBy(_RANGE).agg(F.sum(weight).alias("n"))
-               .select(_RANGE, F.coalesce(earlier, F.lit(0)).alias("__before")))
-    upto = Window.partitionBy(_RANGE).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-    return (ranged.withColumn(name, F.sum(weight).over(upto) - weight)
-            .join(F.broadcast(offsets), _RANGE)
-            .withColumn(name, (F.col(name) + F.col("__before") + start).cast("bigint"))
-            .drop(_RANGE, _TIE, "__before"))
+    offsets = (ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n"))
+               .select(F.col(_RANGE).alias("__of"), F.coalesce(earlier, F.lit(0)).alias("__before")))
+    place = F.col(_PLACE).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return (ranged.join(offsets, F.col(_RANGE) == F.col("__of"))
+            .withColumn(name, (place + F.col("__before") + start).cast("bigint"))
+            .drop(_RANGE, _TIE, _PLACE, "__of", "__before"))
 
 
 def _neighbour(df: DataFrame, values: Sequence[str], order_by: Sequence[str], partition_by: Sequence[str],
                name: str, ahead: bool, rows_per_range: int) -> DataFrame:
-    ranged, keys, split, piled = _ranged(df, [*partition_by, *order_by], False, rows_per_range)
-    if not piled:
-        return _neighbour_in_ranges(ranged, values, keys, partition_by, name, ahead, split)
-    # Piles of equal rows: within a pile the neighbour is an equal row, so only one row of each has to look.
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
-    ranged, keys, split, _ = _ranged(counted, [*partition_by, *order_by], False, rows_per_range)
-    lone = _neighbour_in_ranges(ranged, values, keys, partition_by, name, ahead, split).drop(_COPIES)
-    more = counted.withColumn(_COPIES, F.col(_COPIES) - 1)
-    copies = repeat_rows(more, _COPIES, "__copy").drop(_COPIES, "__copy")
-    return lone.unionByName(copies.withColumn(name, F.struct(*values)))
-
-
-def _neighbour_in_ranges(ranged: DataFrame, values: Sequence[str], keys: Sequence[str],
-                         partition_by: Sequence[str], name: str, ahead: bool, split: bool) -> DataFrame:
     look, pick, towards = (F.lead, F.min_by, F.lag) if ahead else (F.lag, F.max_by, F.lead)
-    rows = ranged.withColumn(_SEAM, F.lit(False))
-    if split:
-        # The first (last) row of every range also goes to the nearest range before (after) it.
-        kept = list(dict.fromkeys([*keys, *values]))
-        edges = (ranged.groupBy(_RANGE)
-                 .agg(pick(F.struct(*kept), F.struct(*keys)).alias("edge"))
-                 .withColumn(_RANGE, towards(_RANGE).over(Window.orderBy(_RANGE)))
-                 .filter(F.col(_RANGE).isNotNull())
-                 .select(_RANGE, "edge.*", F.lit(True).alias(_SEAM)))
-        rows = rows.unionByName(edges, allowMissingColumns=True)
+    ranged, keys = _ranged(df, [*partition_by, *order_by], rows_per_range)
+    # The first (last) row of every range also goes to the nearest range before (after) it.
+    kept = list(dict.fromkeys([*keys, *values]))
+    edges = (ranged.groupBy(_RANGE)
+             .agg(pick(F.struct(*kept), F.struct(*keys)).alias("edge"))
+             .withColumn(_RANGE, towards(_RANGE).over(Window.orderBy(_RANGE)))
+             .filter(F.col(_RANGE).isNotNull())
+             .select(_RANGE, "edge.*", F.lit(True).alias(_SEAM)))
+    rows = ranged.withColumn(_SEAM, F.lit(False)).unionByName(edges, allowMissingColumns=True)
     window = Window.partitionBy(_RANGE).orderBy(*keys)
     groups = {f"__g{i}": c for i, c in enumerate(partition_by)}
     found = {f"__v{i}": c for i, c in enumerate(values)}
@@ -161,7 +84,7 @@ def _neighbour_in_ranges(ranged: DataFrame, values: Sequence[str], keys: Sequenc
     same = reduce(and_, [F.col(n).eqNullSafe(F.col(c)) for n, c in groups.items()], F.col("__there").isNotNull())
     neighbour = F.struct(*[F.col(n).alias(c) for n, c in found.items()])
     return (rows.filter(~F.col(_SEAM)).withColumn(name, F.when(same, neighbour))
-            .drop(_RANGE, _TIE, _SEAM, "__there", *groups, *found))
+            .drop(_RANGE, _TIE, _PLACE, _SEAM, "__there", *groups, *found))
 
 
 def with_previous(df: DataFrame, values: Sequence[str], order_by: Sequence[str], partition_by: Sequence[str] = (),

@@ -1,7 +1,7 @@
 """Run many checks and report one row per check.
 
-Checks on single rows, and the ungrouped ones that are one aggregate, share one scan per table.  Every
-other check counts the rows it returns.
+Checks on single rows, and the ungrouped ones that are one aggregate or compare row counts, share one scan per table.
+Every other check counts the rows it returns.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harborline.functions.text import slugify_name
 from harborline.operators import checks as C
 
 CHECKS: dict[str, Callable[..., DataFrame]] = {
@@ -90,7 +91,7 @@ def _fusable(check: Check) -> Column | None:
     """The failure number as one aggregate over the whole table, where the check is of that sort."""
     if check.fail_calc or check.args.get("group_by"):
         return None
-    keep = F.expr(check.where) if check.where else F.lit(True)
+    keep = _kept(check)
     if check.kind in PREDICATES:
         return F.count_if(keep & PREDICATES[check.kind](**check.args))
     value = F.when(keep, F.col(check.args["column"])) if "column" in check.args else None
@@ -98,28 +99,83 @@ def _fusable(check: Check) -> Column | None:
         return F.when(F.count(value) == 0, F.lit(1)).otherwise(F.lit(0))
     if check.kind == "not_constant":
         return F.when(F.min(value) == F.max(value), F.lit(1)).otherwise(F.lit(0))
+    if check.kind == "not_null_proportion":
+        share = F.count(value) / F.nullif(F.count_if(keep), F.lit(0))
+        return F.when(~share.between(check.args["at_least"], check.args.get("at_most", 1.0)), F.lit(1)).otherwise(F.lit(0))
+    if check.kind == "recency":
+        args = {k: v for k, v in check.args.items() if k != "group_by"}
+        newest, threshold = C.newest_and_threshold(F.when(keep, F.col(args.pop("field"))), **args)
+        return F.when(newest < threshold, F.lit(1)).otherwise(F.lit(0))
     return None
 
 
-def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: ``check``, ``failures`` and ``status`` ('pass', 'warn' or 'error')."""
+def _kept(check: Check) -> Column:
+    return F.expr(check.where) if check.where else F.lit(True)
+
+
+def _two_counts(check: Check) -> bool:
+    """Whether the check needs nothing but the row counts of two named tables."""
+    return (check.kind in ("equal_rowcount", "fewer_rows_than") and not check.fail_calc
+            and not check.args.get("group_by") and isinstance(check.args.get("compare"), str))
+
+
+def _difference(check: Check) -> Column:
+    """The failure number of a check of two counts, from the sums ``ours`` and ``theirs``; no rows are NULL rows unless strict."""
+    empty = F.lit(-1 if check.args.get("strict") else 0)
+    surplus = F.nullif("ours", empty) - F.nullif("theirs", empty)
+    if check.kind == "equal_rowcount":
+        return F.coalesce(F.abs(surplus), F.lit(0))
+    return F.when(surplus > 0, surplus).when(surplus == 0, F.lit(1)).otherwise(F.lit(0))
+
+
+def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], store: str | None = None) -> DataFrame:
+    """One row per check: ``check``, ``failures`` and ``status`` ('pass', 'warn' or 'error').
+
+    All numbers that are aggregates of a whole table, row counts included, come from one scan of it.  With ``store``
+    the failing rows of every check are written under that folder instead, and counted from there, so a check is
+    evaluated once (by jobs that run at once).
+    """
     names = [c.name for c in checks]
     if len(set(names)) < len(names):
         raise ValueError("check names must differ")
-    fused: dict[str, list[tuple[str, Column]]] = {}
+    if store is not None:
+        return _stored_results(tables, checks, store_failures(tables, checks, store))
+    fused: dict[str, list[tuple[str, str, Column]]] = {}
     counted = []
     for check in checks:
         number = _fusable(check)
         if number is not None:
-            fused.setdefault(check.table, []).append((check.name, number))
+            fused.setdefault(check.table, []).append((check.name, "failures", number))
+        elif _two_counts(check):
+            fused.setdefault(check.table, []).append((check.name, "ours", F.count_if(_kept(check))))
+            fused.setdefault(check.args["compare"], []).append((check.name, "theirs", F.count(F.lit(1))))
         else:
-            total = F.expr(_calc(check) or "count(*)").cast("bigint").alias("failures")
-            counted.append(failing_rows(check, tables).agg(total).select(F.lit(check.name).alias("check"), "failures"))
+            counted.append(_count(check, failing_rows(check, tables)))
+    pairs = [c for c in checks if _two_counts(c)]
+    parts = []
     for table, numbers in fused.items():
-        pairs = [F.struct(F.lit(name).alias("check"), n.cast("bigint").alias("failures")) for name, n in numbers]
-        counted.append(tables[table].agg(F.array(*pairs).alias("found")).select(F.inline("found")))
-    results = reduce(DataFrame.union, counted)
-    return results.withColumn("status", _status(checks))
+        found = [F.struct(F.lit(name).alias("check"), F.lit(part).alias("part"), n.cast("bigint").alias("n"))
+                 for name, part, n in numbers]
+        parts.append(tables[table].agg(F.array(*found).alias("found")).select(F.inline("found")))
+    if parts:
+        sides = [F.sum(F.when(F.col("part") == side, F.col("n"))).alias(side) for side in ("failures", "ours", "theirs")]
+        sums = reduce(DataFrame.union, parts).groupBy("check").agg(*sides)
+        number = F.col("failures")
+        for check in pairs:
+            number = F.when(F.col("check") == check.name, _difference(check)).otherwise(number)
+        counted.append(sums.select("check", number.cast("bigint").alias("failures")))
+    return reduce(DataFrame.union, counted).withColumn("status", _status(checks))
+
+
+def _count(check: Check, rows: DataFrame) -> DataFrame:
+    total = F.expr(_calc(check) or "count(*)").cast("bigint").alias("failures")
+    return rows.agg(total).select(F.lit(check.name).alias("check"), "failures")
+
+
+def _stored_results(tables: Mapping[str, DataFrame], checks: Sequence[Check], paths: Mapping[str, str]) -> DataFrame:
+    read = next(iter(tables.values())).sparkSession.read
+    counted = [_count(c, read.parquet(paths[c.name])) for c in checks]
+    return reduce(DataFrame.union, counted).withColumn("status", _status(checks))
 
 
 def _status(checks: Sequence[Check]) -> Column:
@@ -133,8 +189,13 @@ def _status(checks: Sequence[Check]) -> Column:
 
 
 def store_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check], root: str) -> dict[str, str]:
-    """Write the failing rows of every check as a table under ``root``; returns check -> path."""
-    paths = {c.name: f"{root}/{c.name}" for c in checks}
+    """Write the failing rows of every check as a table under ``root``, in a folder named by the check's slug.
+
+    Returns check -> path.
+    """
+    paths = {c.name: f"{root}/{slugify_name(c.name)}" for c in checks}
+    if len({p.lower() for p in paths.values()}) < len(checks):
+        raise ValueError("the names of the checks must differ as folders too")
     for check in checks:
         failing_rows(check, tables).write.mode("overwrite").parquet(paths[check.name])
     return paths

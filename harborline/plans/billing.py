@@ -43,14 +43,14 @@ def merge_invoices(target: DataFrame | None, landing: DataFrame, routes: Lookup
 
 
 def invoice_lines(landing: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
-    """Invoice lines the target lacks."""
+    """Invoice lines the target lacks; of the target only the range of the landing line ids is read."""
     lines = landing.select(
         F.col("InvoiceNumber").cast("decimal(11,0)").alias("InvoiceNumber"),
         F.col("id").cast("decimal(11,0)").alias("InvoiceDetailId"),
         fixed_width(F.col("ChargeDescription"), 100).alias("InvoiceDetailChargeName"),
         F.col("ChargeValue").cast("decimal(19,4)").alias("InvoiceDetailChargeAmount"),
         F.lit(0).cast("decimal(19,4)").alias("InvoiceDetailChargeVat"))
-    return new_rows(loaded, lines, ["InvoiceNumber", "InvoiceDetailId"])
+    return new_rows(loaded, lines, ["InvoiceNumber", "InvoiceDetailId"], prune_by="InvoiceDetailId")
 
 
 def payments(landing: DataFrame, users: Lookup, routes: Lookup = L.ROUTE_IDS) -> DataFrame:
@@ -65,7 +65,7 @@ def payments(landing: DataFrame, users: Lookup, routes: Lookup = L.ROUTE_IDS) ->
         F.col("PaymentTime").alias("PaymentCreatedDateTime"),
         F.col("PaymentUserId").cast("int").alias("PaymentUserId"), F.col("LocationId").cast("int").alias("LocationId"),
         F.col("PaymentMethod").alias("PaymentMethodName"))
-    return add_identity(shaped, ["PaymentDate", "PaymentTime", "InvoiceNumber"], "PaymentId", IDENTITY, stage=True)
+    return add_identity(shaped, ["PaymentDate", "PaymentTime", "InvoiceNumber"], "PaymentId", IDENTITY)
 
 
 def other_charges(landing: DataFrame) -> DataFrame:
@@ -74,4 +74,4 @@ def other_charges(landing: DataFrame) -> DataFrame:
         F.col("Amount").alias("OtherChargeAmount"), "InvoiceNumber", F.col("UserId").alias("OtherChargeUserId"),
         F.col("PaymentMethod").alias("PaymentMethodName"))
     order = ["OtherChargeCreatedDate", "OtherChargeCreatedTime", "InvoiceNumber"]
-    return add_identity(shaped, order, "OtherChargeId", IDENTITY, stage=True)
+    return add_identity(shaped, order, "OtherChargeId", IDENTITY)

@@ -13,6 +13,7 @@ from harborline.functions.text import (ci_key, fixed_width, flag_unless, flag_wh
                                        storage_kind, storage_number, upper_trim)
 from harborline.operators.aggregate import distinct_ci
 from harborline.operators.joins import decode, find_missing, keep_known
+from harborline.operators.load import ends_of, within
 from harborline.operators.project import with_constants
 from harborline.plans import lookups as L
 from harborline.sources.files import read_json_lines
@@ -26,18 +27,24 @@ def _with_key(df: DataFrame) -> DataFrame:
 
 
 def load_packages(landing: DataFrame, known: DataFrame, customers: DataFrame,
-                  loaded: DataFrame | None = None) -> DataFrame:
+                  loaded: DataFrame | None = None, stored_key: str | None = None) -> DataFrame:
     """Packages to add to the target.
 
     ``known`` names the valid packages, ``customers`` the accounts; ``loaded`` is the target, None on the
-    first run.  An account listed twice under the agent prefix doubles its packages.
+    first run.  An account listed twice under the agent prefix doubles its packages.  ``stored_key`` names a column
+    in which the target keeps the package number without case and trailing blanks: the scan of the target is then
+    limited to the range of the landing keys (a job finds it), and the new packages carry the column too.
     """
     seen, place = F.col("LocationLastSeen"), "PackageLocationLastSeenId"
     # The key is made once per table, so that both joins below share one shuffle of the landing rows.
     landing, known = _with_key(landing), _with_key(known)
     rows = keep_known(landing, known, [_KEY])
     if loaded is not None:
-        stored = keep_known(_with_key(loaded).select(_KEY), landing, [_KEY])
+        if stored_key:
+            loaded = loaded.filter(within(stored_key, *ends_of(landing, F.col(_KEY)))).withColumn(_KEY, F.col(stored_key))
+        else:
+            loaded = _with_key(loaded)
+        stored = keep_known(loaded.select(_KEY), landing, [_KEY])
         rows = find_missing(rows, stored, [_KEY], spread_nulls=False)
     accounts = (customers.filter(same_text(F.col("CustomerAgentPrefix"), L.AGENT_PREFIX))
                 .select(F.col("CustomerAccountNumber").alias("__account"), "CustomerAvailableSaturday"))
@@ -76,6 +83,7 @@ def load_packages(landing: DataFrame, known: DataFrame, customers: DataFrame,
         F.col("shipper").alias("CourierName"),
         F.col("shipper").alias("SupplierName"),
         F.when(F.col("CustomerAvailableSaturday") == 1, F.lit(1)).otherwise(F.lit(0)).alias("AvailableSaturdayFlag"),
+        *([F.col(_KEY).alias(stored_key)] if stored_key else []),
     )
     return with_constants(packages, {
         "UserId": (L.PACKAGE_USER_ID, "int"), "PackageDuration": (1, "int"), "ManifestId": (None, "int"),
@@ -87,7 +95,10 @@ def load_packages(landing: DataFrame, known: DataFrame, customers: DataFrame,
 
 
 def event_history(landing: DataFrame, known: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
-    """Distinct events of known packages that the target lacks; an event without a moment is always new."""
+    """Distinct events of known packages that the target lacks; an event without a moment is always new.
+
+    Of the target only the days of the landing events are read (a job finds the first and the last).
+    """
     rows = keep_known(landing, known, ["PackageNumber"], ci=True).filter(F.col("PackageNumber").isNotNull())
     events = rows.select(
         fixed_width(F.col("PackageNumber"), 40).alias("PackageNumber"),
@@ -95,7 +106,10 @@ def event_history(landing: DataFrame, known: DataFrame, loaded: DataFrame | None
                     20).alias("PackageStatusName"),
         combine(F.col("EventDate"), F.col("EventTime")).alias("EventDate"))
     if loaded is not None:
-        stored = keep_known(loaded, landing, ["PackageNumber"], ci=True)
+        first, last = ends_of(landing, F.col("EventDate").cast("date"))
+        past = last + dt.timedelta(days=1) if last else None
+        stored = loaded.filter((F.col("EventDate") >= F.lit(first)) & (F.col("EventDate") < F.lit(past)))
+        stored = keep_known(stored, landing, ["PackageNumber"], ci=True)
         events = find_missing(events, stored, ["PackageNumber", "PackageStatusName", "EventDate"], ci=True)
     return with_constants(events.distinct(), {
         "PackageEventUserId": (L.EVENT_USER_ID, "int"), "PackageEventInvoiceVerified": (False, "boolean"),

@@ -28,6 +28,7 @@ CUSTOMER_COLUMNS = {
     "CustomerFirstName": "FirstName",
     "CustomerLastName": "LastName",
     "CustomerStartedDate": "DateStarted",
+    "CustomerPassword": "CustomerPassword",
     "CustomerEmail": "Email",
     "CompanyName": "Company",
     "CustomerMainPhone": "Tel1",
@@ -121,7 +122,7 @@ def sign_ups(landing: DataFrame) -> DataFrame:
         "SignUpSecondContactEmail": (None, "string"), "SignUpSecondContactFirstName": (None, "string"),
         "SignUpSecondContactLastName": (None, "string"),
     })
-    return add_identity(rows, ["SignUpLoggedDate", "SignUpLoggedTime"], "SignUpId", stage=True)
+    return add_identity(rows, ["SignUpLoggedDate", "SignUpLoggedTime"], "SignUpId")
 
 
 def alerts(landing: DataFrame, users: Mapping | DataFrame) -> DataFrame:
@@ -138,7 +139,7 @@ def alerts(landing: DataFrame, users: Mapping | DataFrame) -> DataFrame:
         F.col("DateSet").alias("AlertStartDate"), F.col("AlertDisabledByUserId").cast("int").alias("AlertDisabledByUserId"),
         F.col("DateDisabled").alias("AlertDisabledDate"), F.col("TimeDisabled").alias("AlertDisabledTime"),
         F.col("ReasonDisabled").alias("AlertDisabledReason"))
-    return add_identity(shaped, ["AlertStartDate", "AlertRelatedRecordId"], "AlertId", stage=True)
+    return add_identity(shaped, ["AlertStartDate", "AlertRelatedRecordId"], "AlertId")
 
 
 def pre_alerts(landing: DataFrame, now: Column | None = None) -> DataFrame:
@@ -165,7 +166,7 @@ def pre_alerts(landing: DataFrame, now: Column | None = None) -> DataFrame:
         text("Supplier", 100).alias("PreAlertSupplierName"))
     rows = with_constants(rows, {"PreAlertInvoicePDF": (None, "binary"), "PreAlertSentAMAD": (False, "boolean"),
                                  "PreAlertStatus": (None, "string")})
-    return add_identity(rows, ["PreAlertCreatedAt", "CustomerAccountNumber"], "PreAlertId", stage=True)
+    return add_identity(rows, ["PreAlertCreatedAt", "CustomerAccountNumber"], "PreAlertId")
 
 
 def name_guid(text: Column) -> Column:

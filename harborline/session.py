@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -33,19 +33,28 @@ def build_session(app_name: str = "harborline", master: str | None = None, **con
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for tables that must be written between two steps of a job.
 
-    A cluster names it in ``spark.checkpoint.dir``.  A machine-local folder is made only where that is
-    unset and the session runs in one JVM, since executors elsewhere could not read it.
+    A cluster names it in ``spark.checkpoint.dir``; where that is unset it is a folder beside the warehouse's tables.
+    Each application has a folder of its own under it.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="harborline-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    base = spark.conf.get(CHECKPOINT_CONF, None)
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    return f"{base.rstrip('/')}/harborline-{spark.sparkContext.applicationId}"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str = "staged", partition_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written to the shared folder and read back, for work that goes over it several times.  Runs a job."""
+    path = staging_path(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Deletes what this application has staged; for the end of a job, when its results are written."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harborline.session import staged
+
 _CORRUPT = "__corrupt"
 
 
@@ -16,7 +18,8 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, requir
     """``(good, rejects)`` of a JSON-lines file; ``rejects`` holds the raw ``line`` and the ``reason``.
 
     A line is rejected if it is not valid JSON of the schema, lacks a required key (a key with NULL counts
-    as present), or has NULL in a required value.  Blank lines are skipped.
+    as present), or has NULL in a required value.  Blank lines are skipped.  The text is read and parsed once, by a
+    job that writes good and rejected lines side by side into the shared folder; both results start from there.
     """
     full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
@@ -33,9 +36,12 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, requir
         reason = reason.when(F.size(absent) > 0, F.concat(F.lit("missing: "), F.array_join(absent, ", ")))
     for name in required_values:
         reason = reason.when(F.col(f"r.`{name}`").isNull(), F.lit(f"null: {name}"))
-    judged = lines.withColumn("reason", reason)
-    good = judged.filter(F.col("reason").isNull()).select([F.col(f"r.`{f.name}`") for f in schema.fields])
-    return good, judged.filter(F.col("reason").isNotNull()).select("line", "reason")
+    fine = F.col("reason").isNull()
+    record = F.struct([F.col(f"r.`{f.name}`") for f in schema.fields])
+    judged = lines.withColumn("reason", reason).select(
+        F.when(fine, record).alias("record"), F.when(~fine, F.col("line")).alias("line"), "reason", fine.alias("fine"))
+    judged = staged(judged, "json-lines", ["fine"])
+    return judged.filter("fine").select("record.*"), judged.filter("not fine").select("line", "reason")
 
 
 def read_csv_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -144,6 +144,21 @@ def test_width_bucket(spark):
         0, 1, 2, 2, 3, 3, 4, 5, 5, 1]
 
 
+def test_width_bucket_by_formula(spark):
+    probes = [(100000.0, 0), (250000.0, 1), (700000.0, 5), (300000.0, 2), (200000.0, 1)]
+    df = spark.createDataFrame(probes, "v double, want int")
+    got = df.select("v", numbers.width_bucket(F.col("v"), 200000, 600000, 4, compat=True).alias("b")).collect()
+    # Below the lowest bound the formula goes down by whole buckets; multiples of the width count one more.
+    assert {r.v: r.b for r in got} == {100000.0: 0, 250000.0: 1, 700000.0: 5, 300000.0: 2, 200000.0: 1}
+
+
+def test_combine_takes_any_clock(spark):
+    row = spark.sql("select date'2024-01-02' d, '07:08:09' t, '7:08:09.5' u, timestamp_ntz'2020-05-05 10:11:12' ts, "
+                    "cast(null as string) n, 'noon' bad")
+    got = row.select(*[dates.combine(F.col("d"), F.col(c)).cast("string").alias(c) for c in ("t", "u", "ts", "n", "bad")]).first()
+    assert tuple(got) == ("2024-01-02 07:08:09", "2024-01-02 07:08:09", "2024-01-02 10:11:12", None, None)
+
+
 def test_haversine(spark):
     df = spark.createDataFrame([(48.864716, 2.349014, 52.379189, 4.899431), (10.0, 0.0, 10.0, 0.0), (0.0, 0.0, 0.0, 180.0)],
                                "a double, b double, c double, d double")
@@ -157,10 +172,11 @@ def test_haversine(spark):
 def test_constants(spark):
     values = ["it's a \\ b", "", -5, 2**40, float("inf"), 1e-30, True, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5, 6),
               Decimal("1.50")]
-    kinds = [literals.common_kind([v]) for v in values]
-    got = spark.sql(f"select inline({literals.sql_array([literals.sql_struct(values, kinds)])})").first()
+    names = [f"c{i}" for i in range(len(values))]
+    got = spark.range(1).select(F.inline(literals.constant_rows([values], names))).first()
     assert list(got) == values
-    assert literals.sql_constant(None, "int") == "cast(null as int)"
+    odd = [("${spark.app.name}x", 1), ("a'b\\c\"", 2), ("", None)]
+    assert [tuple(r) for r in spark.range(1).select(F.inline(literals.constant_rows(odd, ["k", "v"]))).collect()] == odd
     assert literals.common_kind([1, None]) == "bigint"
     for bad in ([1, "a"], [None], [[1]]):
         with pytest.raises(TypeError):

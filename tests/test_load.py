@@ -120,16 +120,85 @@ def test_view(spark):
     assert spark.table("two").count() == 2
 
 
-def test_staging_needs_a_shared_folder(spark):
-    class Conf(dict):
-        def get(self, key, default=None):
-            return dict.get(self, key, default)
-
-    class Cluster:
-        conf = Conf({"spark.master": "spark://host"})
-
-    with pytest.raises(RuntimeError):
-        session.staging_root(Cluster())
-    Cluster.conf["spark.checkpoint.dir"] = "/shared/"
-    assert session.staging_root(Cluster()) == "/shared"
+def test_staging_is_under_the_named_folder(spark, tmp_path):
+    class Context:
+        applicationId = "app-1"
+
+    class Session:
+        conf = {"spark.checkpoint.dir": "/shared/", "spark.sql.warehouse.dir": "/house"}
+        sparkContext = Context()
+
+    assert session.staging_root(Session()) == "/shared/harborline-app-1"
+    del Session.conf["spark.checkpoint.dir"]
+    assert session.staging_root(Session()) == "/house/_staging/harborline-app-1"
     assert session.staging_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_staged_copies_can_be_dropped(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "staging_root", lambda _: str(tmp_path / "own"))
+    copy = session.staged(spark.range(4))
+    assert copy.count() == 4 and list((tmp_path / "own").iterdir())
+    assert session.drop_staged(spark) and not (tmp_path / "own").exists()
+
+
+def days_table(spark, path):
+    rows = [(d, k, "old") for d in range(10) for k in range(4)]
+    frame(spark, "day int, k int, v string", *rows).repartition(4).write.partitionBy("day").parquet(path)
+
+
+def test_merge_reads_touched_partitions_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    days_table(spark, path)
+    plans, real = [], load.merge_by_key
+
+    def spy(target, source, keys):
+        plans.append(target._jdf.queryExecution().executedPlan().toString())
+        folders = target.select(F.regexp_extract(F.input_file_name(), "day=([^/]*)", 1).alias("d")).distinct().collect()
+        assert [r.d for r in folders] == ["3"]
+        return real(target, source, keys)
+
+    monkeypatch.setattr(load, "merge_by_key", spy)
+    source = spark.range(30, 32).selectExpr("cast(id / 10 as int) as day", "cast(id % 10 as int) as k", "'new' as v")
+    out = load.merge_touched_partitions(spark, path, source, ["day", "k"], "day")
+    pruned = next(line for line in plans[0].splitlines() if "PartitionFilters" in line)
+    assert "= 3)" in pruned.split("PartitionFilters")[1].split("]")[0] and len(plans) == 1
+    assert sorted(r.v for r in out.filter("day = 3").collect()) == ["new", "new", "old", "old"] and out.count() == 40
+
+
+def test_merge_survives_death_before_and_during_the_swap(spark, tmp_path, monkeypatch):
+    import shutil
+
+    path = str(tmp_path / "t")
+    days_table(spark, path)
+    source = frame(spark, "day int, k int, v string", (3, 0, "new"), (20, 0, "new"), (None, 7, "new"))
+    real = load.finish_merge
+    monkeypatch.setattr(load, "finish_merge", lambda *_: False)  # dies once the note is there
+    load.merge_touched_partitions(spark, path, source, ["day", "k"], "day")
+    monkeypatch.setattr(load, "finish_merge", real)
+    assert spark.read.parquet(path).filter("v = 'new'").count() == 0  # nothing half done is to be seen
+    shutil.rmtree(tmp_path / "t" / "day=3")  # or dies while partitions move
+    later = frame(spark, "day int, k int, v string", (3, 1, "newer"))
+    out = load.merge_touched_partitions(spark, path, later, ["day", "k"], "day")
+    assert sorted((r.k, r.v) for r in out.filter("day = 3").collect()) == [(0, "new"), (1, "newer"), (2, "old"), (3, "old")]
+    assert out.filter("day = 20 or day is null").count() == 2 and out.count() == 42
+    assert not load.finish_merge(spark, path)
+
+
+def test_upsert_is_one_join_with_two_shuffles(spark):
+    target = spark.range(100).selectExpr("id", "id % 5 as v", "'t' as w")
+    source = spark.range(50, 150).selectExpr("id", "id % 7 as v")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    plan = load.upsert(target, source, ["id"])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(conf, before)
+    assert (plan.count("Join"), plan.count("Exchange"), plan.count("Range (")) == (1, 2, 2), plan
+
+
+def test_upsert_with_null_and_repeated_keys(spark, rows):
+    target = frame(spark, "k int, v string, w string", (1, "a", "x"), (None, "n", "x"), (2, "b", "x"))
+    source = frame(spark, "k int, v string", (1, None), (None, "m"), (None, "m"), (3, "c"))
+    assert rows(load.upsert(target, source, ["k"])) == rows(frame(
+        spark, "k int, v string, w string", (1, None, "x"), (None, "n", "x"), (2, "b", "x"), (None, "m", None), (None, "m", None), (3, "c", None)))
+    with pytest.raises(Exception, match="must be unique"):
+        load.upsert(target, frame(spark, "k int, v string", (1, "a"), (1, "b")), ["k"]).collect()

@@ -73,7 +73,7 @@ def test_dense_ids_over_many_types(spark):
                cast(id as decimal(12,3)) as d, id % 2 = 0 as b, date_add(date'2024-01-01', cast(id % 9 as int)) as day,
                timestamp_micros(id * 1000001) as ts from range(900)""")
     order = ["s", "b", "day", "x", "ts", "d"]
-    got = ordered.dense_ids(df, order, "id", unique=True, rows_per_range=50).orderBy("id").drop("id").collect()
+    got = ordered.dense_ids(df, order, "id", rows_per_range=50).orderBy("id").drop("id").collect()
     assert str(got) == str(df.orderBy(*order).collect())
 
 
@@ -91,16 +91,43 @@ def test_one_value_everywhere(spark):
     assert sorted(r.id for r in ids) == list(range(1, 501))
 
 
-def test_repeat_rows_splits_large_counts(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "COPIES_PER_TASK", 4)
-    df = spark.createDataFrame([("a", 11), ("b", 0), ("c", 4), ("d", 1)], "k string, n bigint")
-    got = ordered.repeat_rows(df, "n", "i").groupBy("k").agg(F.sort_array(F.collect_list("i"))).collect()
-    assert {r[0]: r[1] for r in got} == {"a": list(range(11)), "c": [0, 1, 2, 3], "d": [0]}
+def wide_exchanges(df):
+    """The single-partition exchanges of a plan, each with what feeds it."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [lines[i + 1] for i, line in enumerate(lines) if "SinglePartition" in line]
 
 
-def test_ranges_need_no_wide_window(spark):
-    """The rows are shuffled by range, never to one task; only the seam rows are."""
-    df = spark.range(5000).select((F.col("id") % 3).alias("g"), "id")
-    plan = ordered.with_previous(df, ["id"], ["id"], ["g"], rows_per_range=500)._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in plan.splitlines() if "SinglePartition" in line]
-    assert len(wide) == 1 and "hashpartitioning(__range" in plan
+@pytest.mark.parametrize("rows", [3, 5000])
+def test_no_size_puts_the_rows_into_one_task(spark, rows):
+    """Only one row per range goes to a single task: what feeds it is the aggregate by range."""
+    df = spark.range(rows).select((F.col("id") % 3).alias("g"), "id")
+    for result in (ordered.with_previous(df, ["id"], ["id"], ["g"]), ordered.with_next(df, ["id"], ["id"]),
+                   ordered.dense_ids(df, ["id"], "n")):
+        fed = wide_exchanges(result)
+        assert len(fed) == 1 and "HashAggregate" in fed[0] or "SortAggregate" in fed[0], fed
+
+
+@pytest.mark.parametrize("kind", ["binary", "timestamp", "timestamp_ntz", "string", "decimal(20,4)"])
+def test_ranges_are_even_for_every_kind_of_key(spark, kind, monkeypatch):
+    monkeypatch.setenv("TZ", "America/Lima")
+    key = {"binary": "cast(lpad(id, 8, '0') as binary)", "timestamp": "timestamp_micros(id * 3600000000)"}.get(
+        kind, "timestamp_ntz '2000-01-01' + make_interval(0, 0, 0, 0, cast(id as int))" if kind == "timestamp_ntz"
+        else f"cast(lpad(id, 8, '0') as {kind})")
+    df = spark.range(4000).selectExpr(f"{key} as k", "id")
+    ranged, _ = ordered._ranged(df, ["k"], 100)
+    sizes = [r["count"] for r in ranged.groupBy("__range").count().collect()]
+    assert len(sizes) >= 36 and max(sizes) <= 400
+    got = ordered.dense_ids(df, ["k"], "n", rows_per_range=100).select("n", "id").collect()
+    assert all(r.n == r.id + 1 for r in got) and len(got) == 4000
+
+
+def test_input_is_evaluated_once(spark):
+    df = spark.range(2000).select(F.expr("uuid()").alias("u"))
+    got = ordered.dense_ids(df, ["u"], "n", rows_per_range=50).orderBy("n").collect()
+    assert [r.n for r in got] == list(range(1, 2001)) and [r.u for r in got] == sorted(r.u for r in got)
+
+
+def test_rows_with_a_map(spark):
+    df = spark.sql("select map('a', id % 2) as m, id % 3 as k from range(300)")
+    got = ordered.dense_ids(df, ["k"], "n", rows_per_range=20).orderBy("n").collect()
+    assert [r.k for r in got] == [0] * 100 + [1] * 100 + [2] * 100

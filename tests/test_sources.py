@@ -18,12 +18,22 @@ def test_json_lines(spark, rows, tmp_path):
     assert good.count() == 3 and rejects.count() == 3
 
 
-def test_json_is_parsed_in_one_place(spark, tmp_path):
+def test_json_is_read_and_parsed_once(spark, tmp_path, monkeypatch):
     path = tmp_path / "x.jsonl"
     path.write_text('{"a": 1, "b": "x"}\n')
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
-    good, _ = files.read_json_lines(spark, str(path), schema, ["a"], ["a", "b"])
-    assert good._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    real, seen = files.staged, []
+
+    def spy(df, *args):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args)
+
+    monkeypatch.setattr(files, "staged", spy)
+    good, rejects = files.read_json_lines(spark, str(path), schema, ["a"], ["a", "b"])
+    assert [p.count("from_json") for p in seen] == [1] and [p.count("FileScan text") for p in seen] == [1]
+    for half in (good, rejects):
+        plan = half._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and "FileScan text" not in plan and "PartitionFilters: [" in plan
 
 
 def test_csv_seed(spark, rows, tmp_path):

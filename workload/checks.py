@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.operators import checks
-from harborline.operators.suite import Check, run_suite
+from harborline.operators.suite import Check, run_suite, store_failures
+from harborline.session import staging_path
 from workload.registry import Tables, query
 
 
@@ -182,6 +183,22 @@ def check_mutually_exclusive_ranges_no_gaps(t: Tables) -> DataFrame:
     return checks.mutually_exclusive_ranges(t.orders, "o_orderkey", f"o_orderkey + {width}", gaps="not_allowed")
 
 
+@query("""
+    with r as (
+        select grp as partition_by_col, lower_bound, upper_bound,
+               lead(lower_bound) over w as next_lower_bound, lead(1) over w is null as is_last_record
+        from (select o_custkey as grp, o_orderkey as lower_bound,
+                     o_orderkey + case when o_orderstatus = 'F' then 1 when o_orderstatus = 'O' then 4000 else 0 end as upper_bound
+              from orders) window w as (partition by grp order by lower_bound, upper_bound)),
+    j as (select *, coalesce(lower_bound < upper_bound, false) as range_is_proper,
+                 coalesce(upper_bound < next_lower_bound, is_last_record, false) as next_range_is_clear from r)
+    select * from j where not (range_is_proper and next_range_is_clear)""")
+def check_mutually_exclusive_ranges_gaps_required(t: Tables) -> DataFrame:
+    """One sequence per customer; ranges may not even touch."""
+    width = "case when o_orderstatus = 'F' then 1 when o_orderstatus = 'O' then 4000 else 0 end"
+    return checks.mutually_exclusive_ranges(t.orders, "o_orderkey", f"o_orderkey + {width}", "o_custkey", gaps="required")
+
+
 @query("select distinct event_type as value_field from events where event_type in ('error', 'signup', 'refund')")
 def check_not_accepted_values(t: Tables) -> DataFrame:
     return checks.not_accepted_values(t.events, "event_type", ["error", "signup", "refund"])
@@ -264,12 +281,18 @@ def check_unique_combination(t: Tables) -> DataFrame:
 
 
 @query("""
-    select * from (values ('O_CLERK', 'b'), ('O_ORDERDATE', 'a'), ('O_ORDERPRIORITY', 'a')) v(column_name, side)
-    where exists (select 1 from orders)""")
+    select column_name, side, n_values from (
+        select 'O_CLERK' as column_name, 'b' as side, null::bigint as n_values
+        union all select 'O_ORDERDATE', 'a', count(o_orderdate) from orders
+        union all select 'O_ORDERPRIORITY', 'a', count(nullif(o_orderpriority, '5-LOW')) from orders)""")
 def check_columns_match_set(t: Tables) -> DataFrame:
-    """The column names come from the table; no row of it is read."""
+    """Column names that the table or the list has alone, and how many values the table holds in each of its own."""
     listed = ["O_ORDERKEY", "o_custkey", "o_orderstatus", "o_totalprice", "o_clerk"]
-    return checks.columns_match_set(t.orders, listed)
+    orders = t.orders.withColumn("o_orderpriority", F.expr("nullif(o_orderpriority, '5-LOW')"))
+    found = checks.columns_match_set(orders, listed)
+    filled = orders.agg(*[F.count(c).alias(c.upper()) for c in orders.columns])
+    filled = filled.unpivot([], filled.columns, "name", "n_values")
+    return found.join(filled, F.col("column_name") == F.col("name"), "left").select("column_name", "side", "n_values")
 
 
 @query("""
@@ -289,51 +312,81 @@ def check_with_where(t: Tables) -> DataFrame:
     return checks.accepted_range(errors, "value", min_value=1)
 
 
-SUITE = [
-    Check("order_key_not_null", "orders", "not_null", {"column": "o_orderkey"}),
-    Check("order_key_unique", "orders", "unique", {"column": "o_orderkey"}),
-    Check("order_price_range", "orders", "accepted_range", {"column": "o_totalprice", "min_value": 5000, "max_value": 490000},
-          severity="warn"),
-    Check("order_old_price_range", "orders", "accepted_range", {"column": "o_totalprice", "max_value": 400000},
-          where="o_orderdate < timestamp_ntz '1996-01-01'"),
-    Check("order_status_known", "orders", "accepted_values", {"column": "o_orderstatus", "values": ["F", "O"]}),
-    Check("order_customer_known", "orders", "relationships", {"column": "o_custkey", "to": "customer", "field": "c_custkey"}),
-    Check("order_status_not_constant", "orders", "not_constant", {"column": "o_orderstatus"}),
-    Check("line_quantity_whole", "lineitem", "expression_is_true", {"expression": "l_quantity = floor(l_quantity)"}),
-    Check("line_discount_small", "lineitem", "expression_is_true", {"expression": "< 0.1", "column": "l_discount"},
-          error_if="> 1000000000"),
-    Check("line_flag_present", "lineitem", "at_least_one", {"column": "l_returnflag"}),
-    Check("line_unique", "lineitem", "unique_combination_of_columns",
-          {"columns": ["l_orderkey", "l_linenumber"]}),
-    Check("line_orders_match", "lineitem", "equal_rowcount", {"compare": "orders"}),
-    Check("line_fewer_than_orders", "lineitem", "fewer_rows_than", {"compare": "orders"}),
-    Check("line_flag_text", "lineitem", "not_empty_string", {"column": "l_returnflag"}, error_if="< 0"),
-]
-
-
-@query("""
+def suite_checks() -> list[Check]:
+    return [
+        Check("order_key_not_null", "orders", "not_null", {"column": "o_orderkey"}),
+        Check("order_key_unique", "orders", "unique", {"column": "o_orderkey"}),
+        Check("order_price_range", "orders", "accepted_range", {"column": "o_totalprice", "min_value": 5000, "max_value": 490000},
+              severity="warn"),
+        Check("order_old_price_range", "orders", "accepted_range", {"column": "o_totalprice", "max_value": 400000},
+              where="o_orderdate < timestamp_ntz '1996-01-01'"),
+        Check("order_status_known", "orders", "accepted_values", {"column": "o_orderstatus", "values": ["F", "O"]}),
+        Check("order_customer_known", "orders", "relationships", {"column": "o_custkey", "to": "customer", "field": "c_custkey"}),
+        Check("order_status_not_constant", "orders", "not_constant", {"column": "o_orderstatus"}),
+        Check("line_quantity_whole", "lineitem", "expression_is_true", {"expression": "l_quantity = floor(l_quantity)"}),
+        Check("line_discount_small", "lineitem", "expression_is_true", {"expression": "< 0.1", "column": "l_discount"},
+              error_if="> 1000000000"),
+        Check("line_flag_present", "lineitem", "at_least_one", {"column": "l_returnflag"}),
+        Check("line_unique", "lineitem", "unique_combination_of_columns",
+              {"columns": ["l_orderkey", "l_linenumber"]}),
+        Check("line_orders_match", "lineitem", "equal_rowcount", {"compare": "orders"}),
+        Check("line_fewer_than_orders", "lineitem", "fewer_rows_than", {"compare": "orders"}),
+        Check("line_tax_given", "lineitem", "not_null_proportion", {"column": "l_tax", "at_least": 0.99}),
+        Check("line_recent", "lineitem", "recency", {"field": "l_shipdate", "part": "day", "interval": 30,
+                                                     "now": F.lit("1999-07-01 00:00:00").cast("timestamp_ntz")}),
+        Check("line_flag_text", "lineitem", "not_empty_string", {"column": "l_returnflag"}, error_if="> 1000000000"),
+    ]
+
+
+SUITE_SQL = """
     with line as (select count(*) as n, count(*) filter (not l_quantity = floor(l_quantity)) as odd,
-                         count(*) filter (not l_discount < 0.1) as steep from lineitem),
-         ord as (select count(*) as n,
+                         count(*) filter (not l_discount < 0.1) as steep, count(l_returnflag) as flags,
+                         count(*) filter (trim(l_returnflag) = '') as blank, count(l_tax)::double / count(*) as taxed,
+                         max(l_shipdate) as shipped from lineitem),
+         ord as (select count(*) as n, count(*) filter (o_orderkey is null) as no_key,
                         count(*) filter (o_totalprice < 5000 or o_totalprice > 490000) as outside,
-                        count(*) filter (o_totalprice > 400000 and o_orderdate < timestamp '1996-01-01') as old
-                 from orders)
-    select * from (
-        select 'order_key_not_null' as "check", 0::bigint as failures, 'pass' as status
-        union all select 'order_key_unique', 0, 'pass'
-        union all select 'order_price_range', outside, case when outside <> 0 then 'warn' else 'pass' end from ord
-        union all select 'order_old_price_range', old, case when old <> 0 then 'error' else 'pass' end from ord
-        union all select 'order_status_known', count(distinct o_orderstatus),
-                         case when count(*) > 0 then 'error' else 'pass' end from orders where o_orderstatus = 'P'
-        union all select 'order_customer_known', 0, 'pass'
-        union all select 'order_status_not_constant', 0, 'pass'
-        union all select 'line_quantity_whole', odd, case when odd <> 0 then 'error' else 'pass' end from line
-        union all select 'line_discount_small', steep, case when steep <> 0 then 'warn' else 'pass' end from line
-        union all select 'line_flag_present', 0, 'pass'
+                        count(*) filter (o_totalprice > 400000 and o_orderdate < timestamp '1996-01-01') as old,
+                        count(distinct o_orderstatus) as kinds from orders),
+         found as (
+        select 'order_key_not_null' as "check", no_key as failures, 'error' as worst from ord
+        union all select 'order_key_unique', count(*), 'error'
+                  from (select 1 from orders group by o_orderkey having count(*) > 1)
+        union all select 'order_price_range', outside, 'warn' from ord
+        union all select 'order_old_price_range', old, 'error' from ord
+        union all select 'order_status_known', count(distinct o_orderstatus), 'error' from orders where o_orderstatus = 'P'
+        union all select 'order_customer_known', count(*), 'error' from orders
+                  where o_custkey not in (select c_custkey from customer)
+        union all select 'order_status_not_constant', (kinds = 1)::int, 'error' from ord
+        union all select 'line_quantity_whole', odd, 'error' from line
+        union all select 'line_discount_small', steep, 'warn' from line
+        union all select 'line_flag_present', (flags = 0)::int, 'error' from line
         union all select 'line_unique', count(*), 'error'
                   from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
         union all select 'line_orders_match', abs(line.n - ord.n), 'error' from line, ord
-        union all select 'line_fewer_than_orders', line.n - ord.n, 'error' from line, ord
-        union all select 'line_flag_text', 0, 'pass')""")
+        union all select 'line_fewer_than_orders', greatest(line.n - ord.n, (line.n = ord.n)::int), 'error' from line, ord
+        union all select 'line_tax_given', (taxed < 0.99)::int, 'error' from line
+        union all select 'line_recent', (shipped < timestamp '1999-06-01')::int, 'error' from line
+        union all select 'line_flag_text', blank, 'warn' from line)
+    select "check", failures::bigint as failures, case when failures <> 0 then worst else 'pass' end as status from found"""
+
+
+@query(SUITE_SQL)
 def check_suite(t: Tables) -> DataFrame:
-    return run_suite({"orders": t.orders, "lineitem": t.lineitem, "customer": t.customer}, SUITE)
+    return run_suite({"orders": t.orders, "lineitem": t.lineitem, "customer": t.customer}, suite_checks())
+
+
+@query(SUITE_SQL)
+def check_suite_stored(t: Tables) -> DataFrame:
+    """The same numbers from the stored failing rows, each check evaluated once."""
+    root = staging_path(t.spark, "failures")
+    return run_suite({"orders": t.orders, "lineitem": t.lineitem, "customer": t.customer}, suite_checks(), store=root)
+
+
+@query("""
+    select o_orderkey, o_totalprice from orders where o_totalprice < 5000 or o_totalprice > 490000""")
+def check_store_failures(t: Tables) -> DataFrame:
+    """The failing rows themselves, read back from where a check with an awkward name stored them."""
+    spec = Check("prices / out of range?", "orders", "accepted_range",
+                 {"column": "o_totalprice", "min_value": 5000, "max_value": 490000})
+    paths = store_failures({"orders": t.orders}, [spec], staging_path(t.spark, "failures"))
+    return t.spark.read.parquet(paths[spec.name]).select("o_orderkey", "o_totalprice")

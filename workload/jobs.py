@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from harborline.operators.suite import run_suite
 from harborline.plans import billing, packages, people
-from harborline.plans.constraints import target_checks
+from harborline.plans.constraints import REFERENCES, REQUIRED, UNIQUE, target_checks
 from harborline.session import staging_path
 from workload.registry import Tables, query
 
@@ -343,7 +343,7 @@ CUSTOMERS = [
     "'p1' as Primary_DeliveryStreet1", "'p2' as Primary_DeliveryStreet2", "'pc' as Primary_DeliveryCity",
     "'d1' as Secondary_DeliveryStreet1", "'d2' as Secondary_DeliveryStreet2", "'dc' as Secondary_DeliveryCity",
     "'id' as IDNumber", "'1' as IDTypeID", "'yes' as InsuranceAccepted", "'no' as CreditCardOnFile",
-    "'YES ' as Active", "cast(null as string) as AvailableSaturday",
+    "'YES ' as Active", "cast(null as string) as AvailableSaturday", "concat('pw', c_custkey) as CustomerPassword",
 ]
 
 
@@ -351,7 +351,7 @@ CUSTOMERS = [
     with landing as (select {columns(CUSTOMERS)} from customer)
     select AccountNumber as CustomerAccountNumber, AgentPrefix as CustomerAgentPrefix, Title as CustomerTitle,
            FirstName as CustomerFirstName, LastName as CustomerLastName, DateStarted as CustomerStartedDate,
-           Email as CustomerEmail, Company as CompanyName, Tel1 as CustomerMainPhone, Tel2 as CustomerSecondPhone,
+           CustomerPassword, Email as CustomerEmail, Company as CompanyName, Tel1 as CustomerMainPhone, Tel2 as CustomerSecondPhone,
            Tel3 as CustomerThirdPhone, Work_tel as CustomerWorkPhone, Fax as CustomerFax,
            RouteID as CustomerDefaultRouteId, ResidentialStreet1 as CustomerResidentialStreet1,
            ResidentialStreet2 as CustomerResidentialStreet2, ResidentialCity as CustomerResidentialCity,
@@ -382,51 +382,69 @@ CUSTOMER_TARGET = [
 
 @query("""
     with known as (select * from customer where c_acctbal > 1000),
-         source as (select c_custkey, nullif(c_mktsegment, 'BUILDING') as name from customer where c_nationkey > 5)
+         source as (select c_custkey, 'BSL' || c_custkey || ' ' || c_mktsegment || ' ' || c_name as name
+                    from customer where c_nationkey > 5)
     select coalesce(k.c_custkey, s.c_custkey) as CustomerAccountNumber, 'BSL' as CustomerAgentPrefix,
            case when s.c_custkey is null then k.c_name else s.name end as CustomerName,
            case when k.c_custkey is null then '1900-01-01' else '1980-01-01' end as CustomerBirthDate,
            case when k.c_custkey is null then ' ' else 'x' end as CustomerImageProfile,
-           case when k.c_custkey is null then null else 'secret' end as CustomerPassword,
+           case when k.c_custkey is null then 'pw-' || s.c_custkey else 'secret' end as CustomerPassword,
            k.c_acctbal as CustomerBalance
     from known k full join source s on s.c_custkey = k.c_custkey""")
 def job_customer_upsert(t: Tables) -> DataFrame:
     """Birth date, image and password stay for known customers; a column the source lacks stays too."""
-    source = t.customer.filter("c_nationkey > 5").selectExpr(
-        "c_custkey as CustomerAccountNumber", "'BSL' as CustomerAgentPrefix",
-        "nullif(c_mktsegment, 'BUILDING') as CustomerName", "'1900-01-01' as CustomerBirthDate",
-        "' ' as CustomerImageProfile", "cast(null as string) as CustomerPassword")
-    return people.upsert_customers(t.customer.filter("c_acctbal > 1000").selectExpr(*CUSTOMER_TARGET), source)
+    given = {"AccountNumber": "c_custkey", "AgentPrefix": "'BSL'", "FirstName": "c_mktsegment", "LastName": "c_name",
+             "CustomerPassword": "concat('pw-', c_custkey)"}
+    wanted = [*people.CUSTOMER_COLUMNS.values(), *people.CUSTOMER_FLAGS.values()]
+    landing = t.customer.filter("c_nationkey > 5").selectExpr(
+        *[f"{given.get(c, 'cast(null as string)')} as {c}" for c in wanted])
+    return people.upsert_customers(t.customer.filter("c_acctbal > 1000").selectExpr(*CUSTOMER_TARGET),
+                                   people.customer_rows(landing))
+
+
+# An export line's values, as expressions both engines read; other keys are NULL.
+EXPORT = {
+    "PackageNumber": "concat('P', o_orderkey)", "InternationalTrackingNumber": "concat('T', o_orderkey)",
+    "SupplierInvoiceNumber": "nullif(o_orderstatus, 'O')", "PackageDescription": "o_orderpriority",
+    "TariffDescription": "o_orderstatus", "Hazmat": "case when o_orderstatus = 'F' then 'Yes' else 'yes' end",
+    "TotalPieces": "'2'", "Consolidation": "case when o_orderstatus = 'O' then 'Yes' end",
+    "ConsolidationPackageNumber": "concat('C', o_custkey)", "Length": "'1'", "Width": "'2'", "Height": "'3'",
+    "TotalWeight": "'4.5'", "Shipper": "case when o_orderstatus = 'P' then null else ' Acme ' end", "PackageValue": "'9'",
+    "PackageFirstSeenDateTime": "'2020-01-01 00:00:00'", "AccountNumber": "concat('', o_custkey)",
+    "LocationLastSeen": "case o_orderpriority when '1-URGENT' then 'Castries' when '2-HIGH' then 'Miami' end",
+    "PackageStatus": "o_orderstatus", "Supplier": "nullif(o_orderpriority, '2-HIGH')", "created_at": "'2020-02-02'",
+}
+EXPORT_KEPT = ["PackageNumber", "InternationalTrackingNumber", "SupplierInvoiceNumber", "PackageDescription", "TariffDescription",
+               "TotalPieces", "ConsolidationPackageNumber", "Length", "Width", "Height", "TotalWeight", "PackageValue",
+               "PackageFirstSeenDateTime", "PackageStatus"]
 
 
-@query("""
-    select 'P' || o_orderkey as PackageNumber, o_orderstatus = 'F' as Hazmat, 'ACME' as Shipper,
-           o_custkey::varchar as CustomerAccountNumber,
-           case o_orderpriority when '1-URGENT' then 1 when '2-HIGH' then 6 end::bigint as PackageLocationLastSeenId,
-           'note ' || o_orderpriority as Notes, 12 as UserId, ' ' as PrealertTrackingNumber, 1 as ManifestId
-    from orders where o_orderpriority not in ('4-NOT SPECIFIED', '5-LOW')
-    union all
-    select 'rejects', null, reason, null, n, null, null, null, null from (
+@query(f"""
+    with line as (select {", ".join(f"{EXPORT.get(k, 'null')} as e_{k}" for k in packages.IMPORT_KEYS if k != "Notes")},
+                         o_orderpriority as priority from orders)
+    select {", ".join(f"e_{k} as {k}" for k in EXPORT_KEPT)}, e_Hazmat = 'Yes' as Hazmat,
+           coalesce(e_Consolidation = 'Yes', false) as Consolidation, coalesce(upper(trim(e_Shipper)), '') as Shipper,
+           e_AccountNumber as CustomerAccountNumber,
+           case priority when '1-URGENT' then 1 when '2-HIGH' then 6 end::bigint as PackageLocationLastSeenId,
+           'note ' || priority as Notes, e_Supplier as SupplierName, e_created_at as PackageCreationDate,
+           ' ' as PrealertTrackingNumber, 12 as UserId, '' as PackedInShipment, null as CourierName, 1 as ManifestId
+    from line where priority not in ('4-NOT SPECIFIED', '5-LOW')
+    union all by name
+    select 'rejects' as PackageNumber, reason as Shipper, n as PackageLocationLastSeenId from (
         select case when o_orderpriority = '5-LOW' then 'null: Notes' else 'missing: Notes' end as reason, count(*) as n
         from orders where o_orderpriority in ('4-NOT SPECIFIED', '5-LOW') group by 1)""")
 def job_package_import(t: Tables) -> DataFrame:
     """A JSON-lines export: some packages lack the notes, in others they are NULL."""
-    keys = [k for k in packages.IMPORT_KEYS if k != "Notes"]
-    given = {"PackageNumber": "concat('P', o_orderkey)", "Hazmat": "if(o_orderstatus = 'F', 'Yes', 'yes')",
-             "Shipper": "' Acme '", "AccountNumber": "cast(o_custkey as string)",
-             "LocationLastSeen": "case o_orderpriority when '1-URGENT' then 'Castries' when '2-HIGH' then 'Miami' end"}
-    fields = [F.expr(given.get(k, "cast(null as string)")).alias(k) for k in keys]
+    fields = [F.expr(EXPORT.get(k, "cast(null as string)")).alias(k) for k in packages.IMPORT_KEYS if k != "Notes"]
     notes = F.expr("nullif(concat('note ', o_orderpriority), 'note 5-LOW')").alias("Notes")
     keep_nulls = {"ignoreNullFields": "false"}
     line = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.to_json(F.struct(*fields), keep_nulls))
     path = staging_path(t.spark, "packages-jsonl")
     t.orders.select(line.otherwise(F.to_json(F.struct(*fields, notes), keep_nulls)).alias("value")).write.text(path)
     good, rejects = packages.import_packages(t.spark, path)
-    shown = ["PackageNumber", "Hazmat", "Shipper", "CustomerAccountNumber", "PackageLocationLastSeenId", "Notes",
-             "UserId", "PrealertTrackingNumber", "ManifestId"]
     reasons = rejects.groupBy(F.col("reason").alias("Shipper")).agg(
         F.count(F.lit(1)).alias("PackageLocationLastSeenId")).withColumn("PackageNumber", F.lit("rejects"))
-    return good.select(shown).unionByName(reasons, allowMissingColumns=True)
+    return good.unionByName(reasons, allowMissingColumns=True)
 
 
 @query("""
@@ -469,31 +487,51 @@ def job_user_bootstrap(t: Tables) -> DataFrame:
     return people.bootstrap_users(users, logins, dt.date(2024, 2, 29))
 
 
-@query("""
-    with known as (select o_orderkey from orders where o_orderdate < timestamp '2000-01-01')
-    select "check", failures, case when failures = 0 then 'pass' else 'error' end as status from (
-        select 'ImportPackage.PackageNumber not null' as "check", 0::bigint as failures
-        union all select 'ImportPackage.UserId not null', count(*) filter (c_nationkey = 3)
-                  from orders join customer on c_custkey = o_custkey where o_orderdate < timestamp '2000-01-01'
-        union all select 'ImportPackage.PackageNumber unique', 0
-        union all select 'Invoice.InvoiceNumber not null', count(*) from orders where o_orderpriority = '5-LOW'
-        union all select 'Invoice.PackageNumber not null', 0
-        union all select 'Invoice.InvoiceNumber unique', 0
-        union all select 'Invoice.PackageNumber in ImportPackage', count(*) from orders
-                  where o_orderkey not in (select o_orderkey from known)
-        union all select 'InvoiceDetail.InvoiceNumber not null', 0
-        union all select 'InvoiceDetail.InvoiceDetailId not null', count(*) from lineitem where l_linenumber = 7
-        union all select 'InvoiceDetail.InvoiceNumber in Invoice', count(*) from lineitem
-                  where l_orderkey not in (select o_orderkey from orders where o_orderpriority <> '5-LOW'))""")
+# The targets of the declared keys and references, with flaws made on purpose: name -> (columns, where they come from).
+TARGETS = {
+    "Customer": ("nullif(c_mktsegment, 'BUILDING') as CustomerAgentPrefix, c_custkey as CustomerAccountNumber", "customer"),
+    "ImportPackage": ("o_orderkey as PackageNumber, nullif(o_custkey % 25, 3) as UserId, "
+                      "concat('s', cast(o_custkey % 30 as varchar(9))) as SupplierName, "
+                      "concat('c', cast(o_custkey % 7 as varchar(9))) as CourierName",
+                      "orders where o_orderdate < timestamp '2000-01-01'"),
+    "PackagePackageEvent": ("event_id as PackageNumber, nullif(event_type, 'error') as PackageStatusName, ts as EventDate",
+                            "events"),
+    "Invoice": ("nullif(o_orderkey, o_custkey) as InvoiceNumber, o_orderkey as PackageNumber", "orders"),
+    "InvoiceDetail": ("l_orderkey as InvoiceNumber, nullif(l_linenumber, 7) as InvoiceDetailId", "lineitem"),
+    "Payment": ("l_orderkey as PaymentId, l_orderkey + l_linenumber as InvoiceNumber, nullif(l_quantity, 5) as PaymentAmount",
+                "lineitem where l_linenumber < 3"),
+    "PreAlert": ("nullif(c_custkey, 5) as CustomerAccountNumber, c_mktsegment as CustomerAgentPrefix", "customer"),
+    "SignUp": ("c_custkey as SignUpId, nullif(c_nationkey, 4) as SignUpAccountNumber, nullif(c_name, 'Customer#000000002') "
+               "as SignUpEmail", "customer"),
+    "User": ("n_nationkey as UserId", "nation where n_nationkey < 20"),
+    "Supplier": ("concat('s', cast(n_nationkey as varchar(9))) as SupplierName", "nation"),
+    "Courier": ("concat('c', cast(r_regionkey as varchar(9))) as CourierName", "region"),
+}
+
+
+def target_checks_sql() -> str:
+    made = ",\n".join(f"t_{name} as (select {columns} from {source})" for name, (columns, source) in TARGETS.items())
+    found = [f"select '{t}.{c} not null' as \"check\", count(*) as failures from t_{t} where {c} is null"
+             for t, names in REQUIRED.items() for c in names]
+    found += [f"select '{t}.{c} unique', count(*) from (select 1 from t_{t} where {c} is not null group by {c} having count(*) > 1)"
+              for t, names in UNIQUE.items() for c in names]
+    found += [f"select '{t}.{c} in {to}', count(*) from t_{t} where {c} is not null "
+              f"and not exists (select 1 from t_{to} r where r.{c} = t_{t}.{c})"
+              for t, names in REFERENCES.items() for c, to in names.items()]
+    checks = "\nunion all ".join(found)
+    return (f"with {made},\nfound as ({checks})\nselect \"check\", failures, "
+            "case when failures = 0 then 'pass' else 'error' end as status from found")
+
+
+@query(target_checks_sql())
 def job_target_checks(t: Tables) -> DataFrame:
-    """The declared keys and references, over targets with flaws made on purpose."""
-    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    targets = {
-        "ImportPackage": orders.filter("o_orderdate < timestamp_ntz '2000-01-01'").selectExpr(
-            "o_orderkey as PackageNumber", "nullif(c_nationkey, 3) as UserId"),
-        "Invoice": t.orders.selectExpr(
-            "if(o_orderpriority = '5-LOW', null, o_orderkey) as InvoiceNumber", "o_orderkey as PackageNumber"),
-        "InvoiceDetail": t.lineitem.selectExpr(
-            "l_orderkey as InvoiceNumber", "nullif(l_linenumber, 7) as InvoiceDetailId"),
-    }
+    """The declared keys and references of all eight tables."""
+    for source in ("customer", "orders", "events", "lineitem", "nation", "region"):
+        getattr(t, source).createOrReplaceTempView(f"checked_{source}")
+
+    def made(columns: str, source: str) -> DataFrame:
+        source = source.replace("timestamp '", "timestamp_ntz '")
+        return t.spark.sql(f"select {columns} from checked_{source}")
+
+    targets = {name: made(*spec) for name, spec in TARGETS.items()}
     return run_suite(targets, target_checks(targets))
