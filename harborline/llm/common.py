@@ -7,11 +7,10 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harborline.session import staging_path
+from harborline.session import staged as written  # noqa: F401  what later steps start from
 
 SPACES = r"\x20\x09-\x0D"  # what separates words
 
@@ -21,14 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows written once into the shared folder (spark.checkpoint.dir) and read back: later steps start there."""
-    spark = df.sparkSession
-    path = staging_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -58,7 +49,7 @@ def bitmap_hits(bits: bytes, hashes: np.ndarray) -> np.ndarray:
     return (words[cell >> np.uint64(6)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
 
 
-ARCHIVE = "harborline-code.zip"
+ARCHIVE, BATCH_BYTES = "harborline-code.zip", 8 << 20
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -74,8 +65,14 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def in_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """mapInArrow with this package at hand in the tasks."""
+    """mapInArrow with this package at hand in the tasks, and in batches of BATCH_BYTES at most.
+
+    The size of batches is a setting of the session; it is lowered, since texts are long, and never raised.
+    """
     ship_code(df.sparkSession)
+    conf, setting = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(setting).removesuffix("b")) not in range(1, BATCH_BYTES + 1):
+        conf.set(setting, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 
 
@@ -85,16 +82,33 @@ def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     Rows outside a bitmap of fixed size stay where they are; only the others, the gone ones and a few beside them, are
     shuffled for the exact join.  A NULL key stays.
     """
+    import pandas as pd  # only here: the tasks of the other operators do without it
+
     spark = rows.sparkSession
     ship_code(spark)
     bits = spark.sparkContext.broadcast(bitmap(gone, F.xxhash64("_gone")))
 
-    @F.pandas_udf("boolean")
     def may_be_gone(hashes: pd.Series) -> pd.Series:
         return pd.Series(bitmap_hits(bits.value, hashes.to_numpy(np.int64).view(np.uint64)))
 
+    may_be_gone.__annotations__ = {"hashes": pd.Series, "return": pd.Series}
+    may_be_gone = F.pandas_udf(may_be_gone, "boolean")
     columns = [F.col(f"`{c}`") for c in rows.columns]
     marked = rows.select(*columns, may_be_gone(F.xxhash64(F.col(f"`{key}`"))).alias("_may_be_gone"))
     stay = marked.where(~F.col("_may_be_gone")).select(*columns)
     rest = marked.where("_may_be_gone").join(gone, marked[key] == gone["_gone"], "left_anti").select(*columns)
     return stay.union(rest)
+
+
+def sampled(rows: DataFrame, key: str, group: str, per_group: int) -> DataFrame:
+    """For each value of ``group`` the ``per_group`` rows with the smallest hash of their key; groups are few.
+
+    Rows are thinned by hash to some twice that many before any group meets, so no group is large when it is ranked.
+    """
+    spread = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    share = F.lit(1.0)
+    for value, count in rows.groupBy(group).agg(F.count("*")).collect():
+        share = F.when(F.col(group) == value, F.lit(min(1.0, (2 * per_group + 50) / count))).otherwise(share)
+    ranked = rows.withColumn("_spread", spread).where(F.col("_spread") < share).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(group).orderBy("_spread", key)))
+    return ranked.where(F.col("_rank") <= per_group).drop("_spread", "_rank")

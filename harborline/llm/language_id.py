@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import in_arrow
+from harborline.llm.common import in_arrow, sampled
 from harborline.llm.shingles import chunks
 
 LENGTHS = (2, 3, 4)
@@ -102,12 +102,12 @@ def fit(features: np.ndarray, languages: list[str], landmarks: int = LANDMARKS,
 def learn(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
     """Fits on a bounded sample: per language the ``per_language`` documents with the smallest id hash, and of each one
     window, picked by its id; every language with a document is learned."""
-    ranked = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    spread = F.xxhash64(F.col("doc_id").cast("string"))
-    ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(spread, "doc_id")))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    picked = F.broadcast(sampled(rows.select("doc_id", "lang"), "doc_id", "lang", per_language))  # ids only, so many a language
     parts = F.greatest(F.lit(1), F.ceil(F.length("text") / F.lit(WINDOW_BYTES)).cast("int"))
-    piece = F.substring("text", F.pmod(spread, parts).cast("int") * F.lit(WINDOW_BYTES) + 1, F.lit(WINDOW_BYTES))
-    sample = ranked.where(F.col("r") <= per_language).select("lang", piece.alias("piece")).collect()
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), parts).cast("int")
+    piece = F.substring("text", place * F.lit(WINDOW_BYTES) + 1, F.lit(WINDOW_BYTES))
+    sample = rows.join(picked, ["doc_id", "lang"]).select("lang", piece.alias("piece")).collect()
     sample = sorted((r.lang, r.piece) for r in sample if LETTER.search(r.piece))
     if not sample:
         return None

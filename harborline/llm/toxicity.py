@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import in_arrow
+from harborline.llm.common import in_arrow, sampled
 from harborline.llm.shingles import chunks, word_hashes, words
 
 WINDOW, STRIDE = 64, 48
@@ -261,10 +261,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     """Trains on a bounded sample: of each class the ``per_class`` rows with the smallest id hash, among the labelled
     rows of at most SAMPLE_CHARS characters.  With one class or none: the share of class 1."""
     marked = labels.where(F.col(label).isin(0, 1) & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
-    short = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(marked, "doc_id")
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "text")
-    sample = short.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class)
-    rows = sorted((r.doc_id, r.text, r.label) for r in sample.select("doc_id", "text", "label").collect() if r.text.strip(" \t\n\x0b\x0c\r"))
+    short = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id").join(marked, "doc_id")
+    picked = F.broadcast(sampled(short, "doc_id", "label", per_class))  # 2 * per_class ids at most
+    sample = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(picked, "doc_id")
+    rows = sorted((r.doc_id, r.text, r.label) for r in sample.collect() if r.text.strip(" \t\n\x0b\x0c\r"))
     if len({r[2] for r in rows}) < 2:
         return float(np.mean([r[2] for r in rows])) if rows else 0.0
     return train([r[1] for r in rows], [r[2] for r in rows])
