@@ -8,7 +8,8 @@ Set-relation skipping, dealt out over Spark:
     documents share come last.  These index entries meet in lists, one per shingle, as packed arrays.
 3.  A list is cut into blocks by position.  The first entries of a list are its pivots; a pivot reads the list only up to
     the last block whose position still allows enough overlap, and skips the rest.
-4.  Pairs are verified where their sets lie together in regions of bounded size.  A set's answers (its overlaps with
+4.  Pairs are verified where their sets lie together in regions of bounded size, first by short marks of the shingles,
+    which rule most pairs out, then by the shingles.  A set's answers (its overlaps with
     all sets of the region) come from the answers of the set before it: only the shingles in which the two differ are
     looked up.
 5.  What links joins components, and a pair inside one component needs no verification.  Lists that still hold more
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm.common import bitmap, bitmap_hits, in_arrow, shuffle_partitions, without, written
@@ -39,7 +40,8 @@ CELLS, CELL_BLOCK = 1 << 23, 1 << 14  # of the frequency sketch
 PIVOTS, SHORT_LIST, REGION = 4, 64, 1024
 POSITION_BLOCK = 16
 SPLIT_CLASS = 17  # shingles of some 2**17 documents and more have their list dealt out over several tasks
-FLUSH = 1 << 21  # index entries packed at a time
+FLUSH = 1 << 19  # index entries packed at a time
+SLICE = 256  # rows of a batch taken into Python at a time
 _U = np.uint64
 
 
@@ -61,22 +63,16 @@ def survey(docs: DataFrame, cells: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, held = np.zeros(cells, np.uint32), [], 0
+        counts = np.zeros(cells, np.uint32)
         for batch in batches:
             sizes, names = [], []
             for values in shingle_sets(batch.column(1), WORDS):
                 sizes.append(len(values))
                 names.append(set_id(values) if len(values) else None)
-                waiting.append((values & _U(cells - 1)).astype(np.uint32))
-                held += len(values)
-                if held >= FLUSH:
-                    counts += np.bincount(np.concatenate(waiting), minlength=cells).astype(np.uint32)
-                    waiting, held = [], 0
+                np.add.at(counts, (values & _U(cells - 1)).astype(np.int64), 1)
             n = len(batch)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(names, pa.int64()),
                                               pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
-        if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=cells).astype(np.uint32)
         counts = np.minimum(counts, 65535).astype(np.uint16)
         used = [b for b in range(-(-cells // CELL_BLOCK)) if counts[b * CELL_BLOCK:(b + 1) * CELL_BLOCK].any()]
         for a in range(0, len(used), 64):
@@ -113,11 +109,12 @@ def classes(sketch: DataFrame, cells: int, total: int) -> bytes:
 
 # ---- 2. index entries
 
-ENTRY = np.dtype([("token", "<u4"), ("set", "<i8"), ("n", "<u4"), ("pos", "<u2")])
-SPLIT = np.uint32(1 << 31)  # set in n where a shingle's list is dealt out
+ENTRY = np.dtype([("token", "<u4"), ("set", "<i8"), ("n", "<u2"), ("pos", "<u2")])
+LARGE = 65535  # stands for all sizes from here on, and rules nothing out
+SPLIT, LAST_POS = 1 << 15, (1 << 15) - 1  # a bit of pos where a shingle's list is dealt out; later positions read as the last
 
 
-def index_entries(docs: DataFrame, shared_classes, buckets: int) -> DataFrame:
+def index_entries(docs: DataFrame, shared_classes, buckets: int, split_class: int = SPLIT_CLASS) -> DataFrame:
     """The first shingles of every set, packed by bucket of the shingle: bucket and a block of ENTRY.
 
     A token keeps 32 bits besides its bucket; two shingles that fall together only make more pairs to verify.
@@ -135,33 +132,33 @@ def index_entries(docs: DataFrame, shared_classes, buckets: int) -> DataFrame:
                 kind = known[(values & _U(len(known) - 1)).astype(np.int64)]
                 length = prefix_length(n)
                 first = values[:length] if not kind[:length].any() else values[np.argsort(kind, kind="stable")[:length]]
-                waiting.append((first, name, n))
+                waiting.append((first.copy(), name, n))  # not a view, which would keep the whole set
                 held += length
                 if held >= FLUSH:
-                    yield from _packed(waiting, known, buckets)
+                    yield from _packed(waiting, known, buckets, split_class)
                     waiting, held = [], 0
         if waiting:
-            yield from _packed(waiting, known, buckets)
+            yield from _packed(waiting, known, buckets, split_class)
 
     return in_arrow(docs, cut, "bucket int, entries binary")
 
 
-def _packed(sets: list[tuple], known: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+def _packed(sets: list[tuple], known: np.ndarray, buckets: int, split_class: int) -> Iterator[pa.RecordBatch]:
     lengths = np.array([len(s[0]) for s in sets])
     values = np.concatenate([s[0] for s in sets])
     entry = np.empty(len(values), ENTRY)
     mixed = mix(values)
     entry["token"] = (mixed & _U(0xFFFFFFFF)).astype(np.uint32)
     entry["set"] = np.repeat(np.array([s[1] for s in sets], np.int64), lengths)
-    entry["n"] = np.repeat(np.array([s[2] for s in sets], np.uint32), lengths)
-    entry["pos"] = np.minimum(np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths), 65535)
+    entry["n"] = np.repeat(np.array([min(s[2], LARGE) for s in sets], np.uint16), lengths)
+    entry["pos"] = np.minimum(np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths), LAST_POS)
     bucket = (mixed >> _U(32)) & _U(buckets - 1)
     kind = known[(values & _U(len(known) - 1)).astype(np.int64)]
-    hot = kind >= SPLIT_CLASS
+    hot = kind >= split_class
     if hot.any():  # a list for each part of the sets
-        part = mix(entry["set"][hot].view(np.uint64)) & ((_U(1) << (kind[hot] - SPLIT_CLASS + 1).astype(np.uint64)) - _U(1))
+        part = mix(entry["set"][hot].view(np.uint64)) & ((_U(1) << (kind[hot] - split_class + 1).astype(np.uint64)) - _U(1))
         bucket[hot] = (bucket[hot] + part * _U(0x9E3779B1)) & _U(buckets - 1)
-        entry["n"][hot] |= SPLIT
+        entry["pos"][hot] |= SPLIT
     order = np.argsort(bucket, kind="stable")
     bucket, entry = bucket[order], entry[order]
     heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
@@ -182,35 +179,35 @@ PAIR, OPEN = 0, 1
 
 def possible(n, i, m, j):
     """Whether sets of n and m shingles that share the ones at positions i and j can be similar."""
-    return (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (
+    return (n == LARGE) | (m == LARGE) | (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (
         np.minimum(i, j) + np.minimum(n - i, m - j) >= needed(n, m))
 
 
 def read_lists(bucket: int, entry: np.ndarray) -> tuple[dict, dict]:
     """Pairs of the pivots of every list of a bucket, and the entries of the lists that pivots do not finish."""
-    block = entry["pos"] // POSITION_BLOCK
+    split = (entry["pos"] & SPLIT) > 0
+    pos = (entry["pos"] & LAST_POS).astype(np.int64)
+    block = pos // POSITION_BLOCK
     order = np.lexsort((entry["set"], block, entry["token"]))
-    entry, block = entry[order], block[order]
+    entry, block, pos, split = entry[order], block[order], pos[order], split[order]
     fresh = np.concatenate([[True], (entry["token"][1:] != entry["token"][:-1]) | (entry["set"][1:] != entry["set"][:-1])])
-    entry, block = entry[fresh], block[fresh]
+    entry, block, pos, split = entry[fresh], block[fresh], pos[fresh], split[fresh]
     new = np.concatenate([[True], entry["token"][1:] != entry["token"][:-1]])
     size = np.diff(np.append(np.flatnonzero(new), len(entry)))
-    keep = np.repeat(size, size) > 1
-    split = (entry["n"] & SPLIT) > 0
-    keep |= split
-    entry, block, split = entry[keep], block[keep], split[keep]
+    keep = (np.repeat(size, size) > 1) | split
+    entry, block, pos, split = entry[keep], block[keep], pos[keep], split[keep]
     if not len(entry):
         return {}, {}
     heads = np.flatnonzero(np.concatenate([[True], entry["token"][1:] != entry["token"][:-1]]))
     size = np.diff(np.append(heads, len(entry)))
     row = np.repeat(np.arange(len(heads)), size)
     rank = np.arange(len(entry)) - heads[row]
-    n, pos = (entry["n"] & ~SPLIT).astype(np.int64), entry["pos"].astype(np.int64)
+    n = entry["n"].astype(np.int64)
     place = row * (1 << 20) + block  # rises along the lists, so a pivot's last useful block is a binary search
     left, right = [], []
     for k in range(PIVOTS):
         pivot = heads[size > k + 1] + k
-        last = np.minimum((pos[pivot] + n[pivot] // 3) // POSITION_BLOCK, (1 << 20) - 1)
+        last = np.where(n[pivot] == LARGE, (1 << 20) - 1, (pos[pivot] + n[pivot] // 3) // POSITION_BLOCK)
         stop = np.searchsorted(place, row[pivot] * (1 << 20) + last, "right")
         count = np.maximum(stop - pivot - 1, 0)
         i = np.repeat(pivot, count)
@@ -337,42 +334,106 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tupl
     """Consecutive rows with the same first ``keys`` columns."""
     now, held = None, []
     for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if row[:keys] != now:
-                if held:
-                    yield held
-                now, held = row[:keys], []
-            held.append(row)
+        for a in range(0, len(batch), SLICE):
+            for row in zip(*[c.to_pylist() for c in batch.slice(a, SLICE).columns]):
+                if row[:keys] != now:
+                    if held:
+                        yield held
+                    now, held = row[:keys], []
+                held.append(row)
     if held:
         yield held
 
 
-def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+LINK = "a long, b long, home long, x int, y int"
+
+
+def _links(found: list[tuple[int, int]], region: tuple) -> pa.RecordBatch:
     a, b = zip(*found) if found else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    home, x, y = ([part] * len(a) for part in region)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(home, pa.int64()),
+                                       pa.array(x, pa.int32()), pa.array(y, pa.int32())], names=["a", "b", "home", "x", "y"])
+
+
+def bring(docs: DataFrame, members: DataFrame, sets_of: DataFrame, rough: bool) -> DataFrame:
+    """The members (sets named ``a``) with the shingles of their sets, ``values``, or with short marks of these.
+
+    Texts whose document is outside a bitmap of fixed size are not read; the exact join follows.
+    """
+    wanted = members.select("a").distinct()
+    wanted = written(wanted.join(sets_of, wanted["a"] == sets_of["set_id"]).select("set_id", "doc_id"), "wanted-sets")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, F.xxhash64("doc_id")))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = bitmap_hits(bits.value, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
+            part = batch.filter(pa.array(fine))
+            for a in range(0, len(part), 512):
+                piece = part.slice(a, 512)
+                values = list(shingle_sets(piece.column(1), WORDS))
+                names = [set_id(v) if len(v) else None for v in values]
+                blobs = [marks(v) if rough else v.tobytes() for v in values]
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(names, pa.int64()), pa.array(blobs, pa.binary())],
+                                                 names=["_doc", "_set", "values"])
+
+    read = in_arrow(docs.withColumn("h", F.xxhash64("doc_id")), cut, "_doc long, _set long, values binary")
+    columns = members.columns
+    members = members.join(wanted, members["a"] == wanted["set_id"])
+    return members.join(read, (F.col("set_id") == F.col("_set")) & (F.col("doc_id") == F.col("_doc"))).select(*columns, "values")
+
+
+def marks(values: np.ndarray) -> bytes:
+    """The leading bits of sorted hashes, 16 or, for a large set, 32 of each: equal shingles have equal marks."""
+    if len(values) < 4096:
+        return b"2" + (values >> _U(48)).astype("<u2").tobytes()
+    return b"4" + (values >> _U(32)).astype("<u4").tobytes()
+
+
+def read_marks(blobs: dict[int, bytes]) -> dict[int, np.ndarray]:
+    """Marks as distinct numbers, repeated ones counted up, all of the same width."""
+    wide = all(b[:1] == b"4" for b in blobs.values())
+    out = {}
+    for name, blob in blobs.items():
+        found = np.frombuffer(blob[1:], "<u4" if blob[:1] == b"4" else "<u2").astype(np.uint64)
+        if blob[:1] == b"4" and not wide:
+            found >>= _U(16)
+        head = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else found.astype(int)
+        nth = np.arange(len(found)) - np.repeat(head, np.diff(np.append(head, len(found))))
+        out[name] = (found << _U(32)) | nth.astype(np.uint64)
+    return out
+
 
+def verify(docs: DataFrame, pairs: DataFrame, sets_of: DataFrame, rough: bool) -> DataFrame:
+    """The similar ones of the pairs (a, b, home, x, y); sets and pairs of a region (home, x, y) come together.
 
-def verify(pairs: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
-    """The similar ones of the pairs (a, b, home, x, y); sets and pairs of a region (home, x, y) come together."""
+    ``rough``: by marks, which can only add to an overlap, so no similar pair is lost.
+    """
     region = ["home", "x", "y"]
     members = pairs.select(*region, F.col("a").alias("a")).union(pairs.select(*region, F.col("b").alias("a"))).distinct()
-    members = members.join(sets, members["a"] == sets["set_id"]).select(*region, "a", F.lit(None).cast("long").alias("b"), "values")
+    members = bring(docs, members, sets_of, rough).select(*region, "a", F.lit(None).cast("long").alias("b"), "values")
     rows = members.union(pairs.select(*region, "a", "b", F.lit(None).cast("binary").alias("values")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, 3):
-            held = {r[3]: np.frombuffer(r[5], np.uint64) for r in group if r[4] is None}
-            asked = sorted({(r[3], r[4]) for r in group if r[4] is not None})
-            yield _links(linked_pairs(held, asked))
+            held = {r[3]: r[5] for r in group if r[4] is None}
+            sets = read_marks(held) if rough else {k: np.frombuffer(v, np.uint64) for k, v in held.items()}
+            found = linked_pairs(sets, sorted({(r[3], r[4]) for r in group if r[4] is not None}))
+            yield _links(found, group[0][:3])
 
-    rows = rows.repartition(partitions, *region).sortWithinPartitions(*region, F.col("b").asc_nulls_first())
-    return in_arrow(rows, work, "a long, b long")
+    rows = rows.repartition(shuffle_partitions(docs.sparkSession), *region).sortWithinPartitions(*region, F.col("b").asc_nulls_first())
+    return in_arrow(rows, work, LINK)
 
 
-def verify_outsiders(rows: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
+def similar(docs: DataFrame, pairs: DataFrame, sets_of: DataFrame) -> DataFrame:
+    """The similar ones of the pairs, written: first those that marks leave, then exactly."""
+    left = written(verify(docs, written(pairs, "pairs"), sets_of, True), "rough-links")
+    return written(verify(docs, left, sets_of, False).select("a", "b"), "links")
+
+
+def verify_outsiders(docs: DataFrame, rows: DataFrame, sets_of: DataFrame) -> DataFrame:
     """Links of the rows (home, x, y, a, label, out): in each region the outside sets against all others."""
     region = ["home", "x", "y"]
-    rows = rows.join(sets, rows["a"] == sets["set_id"]).select(*region, "a", "label", "out", "values")
+    rows = bring(docs, written(rows, "regions"), sets_of, False)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, 3):
@@ -380,36 +441,16 @@ def verify_outsiders(rows: DataFrame, sets: DataFrame, partitions: int) -> DataF
             label = {r[3]: r[4] for r in group}
             outside, inside = ([r[3] for r in group if r[5] == flag] for flag in (True, False))
             if outside and inside:
-                yield _links(linked_outsiders(held, label, outside, inside))
+                yield _links(linked_outsiders(held, label, outside, inside), group[0][:3])
 
-    rows = rows.repartition(partitions, *region).sortWithinPartitions(*region, "a", "out")
-    return in_arrow(rows, work, "a long, b long")
+    rows = rows.select(*region, "a", "label", "out", "values").repartition(
+        shuffle_partitions(docs.sparkSession), *region).sortWithinPartitions(*region, "a", "out")
+    return in_arrow(rows, work, LINK).select("a", "b")
 
 
 # ---- 5. the join
 
 
-def needed_sets(docs: DataFrame, wanted: DataFrame, spark: SparkSession) -> DataFrame:
-    """The shingles of the wanted sets (set_id, doc_id): texts outside a bitmap of fixed size are not read, and the exact
-    join follows."""
-    bits = spark.sparkContext.broadcast(bitmap(wanted, F.xxhash64("doc_id")))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fine = bitmap_hits(bits.value, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
-            part = batch.filter(pa.array(fine))
-            for a in range(0, len(part), 512):
-                piece = part.slice(a, 512)
-                values = list(shingle_sets(piece.column(1), WORDS))
-                names = [set_id(v) if len(v) else None for v in values]
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(names, pa.int64()), pa.array([v.tobytes() for v in values], pa.binary())],
-                                                 names=["_doc", "_set", "values"])
-
-    read = in_arrow(docs.withColumn("h", F.xxhash64("doc_id")), cut, "_doc long, _set long, values binary")
-    read = read.join(wanted, (read["_set"] == wanted["set_id"]) & (read["_doc"] == wanted["doc_id"]), "left_semi")
-    return read.select(F.col("_set").alias("set_id"), "values")
-
-
 def relabel(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels of sets after more links: the links between labels are a small graph of its own."""
     if labels is None:
@@ -439,16 +480,26 @@ def labelled(opened: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def pairs_of_short(lists: DataFrame) -> DataFrame:
-    """The possible pairs, in different components, of lists of at most SHORT_LIST entries."""
-    short = lists.where(F.col("size") <= SHORT_LIST)
-    hub = short.where(F.col("z") >= PIVOTS).select("home", *[F.col(c).alias(f"h{c}") for c in ("a", "x", "y", "z", "label")])
-    both = hub.join(short.where(F.col("z") > PIVOTS), "home").where(
-        (F.col("hz") < F.col("z")) & (F.col("hlabel") != F.col("label")) & (F.col("ha") != F.col("a")))
+    """The possible pairs, in different components, of lists of at most SHORT_LIST entries.
+
+    A pair that no pivot has met is found in every list that both are in, unless one of these is long and they meet
+    there later.  So the lists can be counted: similar sets share at least their needed overlap, less what lies behind
+    the first shingles of one of them.
+    """
+    short = lists.where((F.col("size") <= SHORT_LIST) & (F.col("z") >= PIVOTS))
+    hub = short.select("home", *[F.col(c).alias(f"h{c}") for c in ("a", "x", "y", "z", "label")])
     n, i, m, j = F.col("hx"), F.col("hy"), F.col("x"), F.col("y")
-    fits = (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (
-        F.least(i, j) + F.least(n - i, m - j) >= F.floor((3 * (n + m) + 6) / 7))
-    both = both.where(fits).select(F.least("ha", "a").alias("a"), F.greatest("ha", "a").alias("b"), "home")
-    return both.groupBy("a", "b").agg(F.min("home").alias("home")).select("a", "b", "home", F.lit(0).alias("x"), F.lit(0).alias("y"))
+    large = (n == LARGE) | (m == LARGE)
+    overlap = F.floor((3 * (n + m) + 6) / 7)
+    fits = large | (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (F.least(i, j) + F.least(n - i, m - j) >= overlap)
+    order = (F.col("hz") < F.col("z")) | ((F.col("hz") == F.col("z")) & (F.col("ha") < F.col("a")))
+    both = hub.join(short, "home").where(order & (F.col("hlabel") != F.col("label")) & (F.col("ha") != F.col("a")) & fits)
+    behind = F.floor((3 * F.greatest(n, m) + 3) / 4) - 1
+    least = F.when(large, F.lit(1)).otherwise(F.greatest(F.lit(1), overlap - behind))
+    both = both.select(F.least("ha", "a").alias("a"), F.greatest("ha", "a").alias("b"), "home", least.alias("least"))
+    both = both.groupBy("a", "b", "least").agg(F.count("*").alias("shared"), F.min("home").alias("home"))
+    return both.where(F.col("shared") >= F.col("least")).select(
+        "a", "b", "home", F.lit(0).alias("x"), F.lit(0).alias("y"))
 
 
 def outsiders_of_long(lists: DataFrame) -> DataFrame:
@@ -479,24 +530,18 @@ def outsiders_of_long(lists: DataFrame) -> DataFrame:
 
 def set_labels(docs: DataFrame, found: DataFrame, sets_of: DataFrame) -> DataFrame:
     """Labels of all sets that are linked with another one."""
-    spark, partitions = docs.sparkSession, shuffle_partitions(docs.sparkSession)
-    # A bucket of `home` 0 is that of parts of split lists: they meet again here.
     opened = found.where(F.col("kind") == OPEN).select("home", "a", "x", "y", "z")
     pairs = found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.min(F.struct("home", "x", "y")).alias("r"))
-    pairs = written(pairs.select("a", "b", "r.home", "r.x", "r.y"), "pairs")
-    named = pairs.select("a").union(pairs.select("b")).union(opened.select("a")).distinct()
-    wanted = written(named.join(sets_of, named["a"] == sets_of["set_id"]).select("set_id", "doc_id"), "wanted-sets")
-    sets = written(needed_sets(docs, wanted, spark), "sets")
-    labels = relabel(None, written(verify(pairs, sets, partitions), "links"))
+    labels = relabel(None, similar(docs, pairs.select("a", "b", "r.home", "r.x", "r.y"), sets_of))
     lists = labelled(opened, labels)
     if not lists.isEmpty():
-        labels = relabel(labels, written(verify(written(pairs_of_short(lists), "pairs"), sets, partitions), "links"))
+        labels = relabel(labels, similar(docs, pairs_of_short(lists), sets_of))
         lists = labelled(opened, labels)
-        labels = relabel(labels, written(verify_outsiders(outsiders_of_long(lists), sets, partitions), "links"))
+        labels = relabel(labels, written(verify_outsiders(docs, outsiders_of_long(lists), sets_of), "links"))
     return labels
 
 
-def near_components(docs: DataFrame, cells: int = CELLS) -> DataFrame:
+def near_components(docs: DataFrame, cells: int = CELLS, split_class: int = SPLIT_CLASS) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     spark = docs.sparkSession
     partitions = shuffle_partitions(spark)
@@ -507,7 +552,7 @@ def near_components(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     known = classes(surveyed.where(F.col("block").isNotNull()).select("block", "counts"), cells, total)
     own = docs.where(F.col("doc_id").isNotNull())
     buckets = 1 << max(10, (4 * partitions - 1).bit_length())
-    found = written(meet(index_entries(own, spark.sparkContext.broadcast(known), buckets), partitions), "list-pairs")
+    found = written(meet(index_entries(own, spark.sparkContext.broadcast(known), buckets, split_class), partitions), "list-pairs")
     named = rows.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
     sets_of = written(named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set-documents")
     labels = written(set_labels(own, found, sets_of), "set-labels")
