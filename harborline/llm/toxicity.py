@@ -80,7 +80,7 @@ def _root(sizes: np.ndarray) -> np.ndarray:
 
 
 class Network:
-    """Parameters by name, every array float32, and the sorted word hashes of the vocabulary."""
+    """Parameters by name and the sorted word hashes of the vocabulary."""
 
     def __init__(self, known: np.ndarray, seed: int = SEED):
         self.known = known
@@ -112,8 +112,8 @@ class Network:
     def run(self, way: str, projected: np.ndarray, index: np.ndarray, mask: np.ndarray, keep: list | None = None) -> np.ndarray:
         """Hidden states (step, window, unit) of one direction; ``keep`` collects what the way back needs."""
         steps, n = index.shape
-        h = np.zeros((n, HIDDEN), np.float32)
-        out = np.empty((steps, n, HIDDEN), np.float32)
+        h = np.zeros((n, HIDDEN), projected.dtype)
+        out = np.empty((steps, n, HIDDEN), projected.dtype)
         u, k = self.p[f"u{way}"], HIDDEN
         for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
             x, s = projected[index[t]], h @ u
@@ -173,8 +173,8 @@ class Network:
         d_states = weight[:, :, None] * d_pooled + d_inner @ p["wa"].T
         d_x = np.zeros_like(x)
         for half, way in enumerate("fb"):
-            d_u, d_proj = np.zeros_like(p[f"u{way}"]), np.zeros((len(x), 3 * k), np.float32)
-            d_h = np.zeros((len(target), k), np.float32)
+            d_u, d_proj = np.zeros_like(p[f"u{way}"]), np.zeros((len(x), 3 * k), x.dtype)
+            d_h = np.zeros((len(target), k), x.dtype)
             for t, h, z, r, new, s_new, m in reversed(kept[way]):
                 d_h = d_h + d_states[t, :, half * k:(half + 1) * k]
                 d_after = m * d_h
