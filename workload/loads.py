@@ -9,7 +9,7 @@ from harborline.operators import load
 from harborline.operators.setops import union_relations
 from harborline.session import staging_path
 from harborline.sources.files import read_csv_seed, read_json_lines
-from harborline.sources.tables import stored_tables
+from harborline.sources.tables import catalog_tables, catalog_tables_by_prefix, stored_tables
 from workload.registry import Tables, query
 
 
@@ -70,6 +70,21 @@ def union_by_name_pattern(t: Tables) -> DataFrame:
     return union_relations(stored_tables(t.spark, t.root, "%ER"))
 
 
+@query("""
+    select 'filed.orders_' || lower(o_orderstatus) as source_relation, o_orderkey, o_totalprice from orders
+    where o_orderstatus <> 'P'""")
+def union_catalog_tables(t: Tables) -> DataFrame:
+    """Orders filed by status as tables of a catalog, found again by prefix and by pattern."""
+    t.spark.sql("create database if not exists filed")
+    for status in ("F", "O", "P"):
+        orders = t.orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice")
+        path = staging_path(t.spark, f"orders-{status}")
+        orders.write.mode("overwrite").option("path", path).saveAsTable(f"filed.orders_{status.lower()}")
+    found = catalog_tables_by_prefix(t.spark, "filed", "ORDERS_", exclude="%_p")
+    assert sorted(found) == sorted(catalog_tables(t.spark, "FILED", "orders__", exclude="%P"))
+    return union_relations(found)
+
+
 @query("""
     select o_orderkey, o_orderpriority, o_totalprice * 2 as o_totalprice from orders""")
 def full_refresh_roundtrip(t: Tables) -> DataFrame:
