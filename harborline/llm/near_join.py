@@ -37,7 +37,7 @@ from harborline.llm.shingles import mix, set_id, shingle_sets
 
 WORDS = 5
 CELLS, CELL_BLOCK = 1 << 23, 1 << 14  # of the frequency sketch
-PIVOTS, SHORT_LIST, REGION = 4, 64, 1024
+PIVOTS, SHORT_LIST, PIVOT_REGION, REGION = 4, 64, 256, 1024
 POSITION_BLOCK = 16
 SPLIT_CLASS = 17  # shingles of some 2**17 documents and more have their list dealt out over several tasks
 FLUSH = 1 << 19  # index entries packed at a time
@@ -63,16 +63,21 @@ def survey(docs: DataFrame, cells: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, np.uint32)
+        counts, waiting, held = np.zeros(cells, np.uint32), [], 0
         for batch in batches:
             sizes, names = [], []
             for values in shingle_sets(batch.column(1), WORDS):
                 sizes.append(len(values))
                 names.append(set_id(values) if len(values) else None)
-                np.add.at(counts, (values & _U(cells - 1)).astype(np.int64), 1)
+                waiting.append((values & _U(cells - 1)).astype(np.uint32))
+                held += len(values)
+                if held >= FLUSH:
+                    _count(counts, waiting)
+                    waiting, held = [], 0
             n = len(batch)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(names, pa.int64()),
                                               pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+        _count(counts, waiting)
         counts = np.minimum(counts, 65535).astype(np.uint16)
         used = [b for b in range(-(-cells // CELL_BLOCK)) if counts[b * CELL_BLOCK:(b + 1) * CELL_BLOCK].any()]
         for a in range(0, len(used), 64):
@@ -84,6 +89,13 @@ def survey(docs: DataFrame, cells: int) -> DataFrame:
     return in_arrow(docs, read, "doc_id long, n int, set_id long, block int, counts binary")
 
 
+def _count(counts: np.ndarray, found: list[np.ndarray]) -> None:
+    """Adds one to the cells for each time they are found; sorted first, so that memory is walked in order."""
+    cells = np.sort(np.concatenate([*found, np.zeros(0, np.uint32)]))
+    heads = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
+    counts[cells[heads]] += np.diff(np.append(heads, len(cells))).astype(np.uint32)
+
+
 def classes(sketch: DataFrame, cells: int, total: int) -> bytes:
     """One byte per cell: 0, or the binary logarithm of its count where that stands out from chance.
 
@@ -221,7 +233,7 @@ def read_lists(bucket: int, entry: np.ndarray) -> tuple[dict, dict]:
     order = np.lexsort((home, b, a))
     first = order[np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])] if len(a) else order
     zero = np.zeros(len(first), np.int32)
-    pairs = {"home": home[first], "a": a[first], "b": b[first], "x": (rank[i] // REGION)[first], "y": (rank[j] // REGION)[first], "z": zero}
+    pairs = {"home": home[first], "a": a[first], "b": b[first], "x": (rank[i] // PIVOT_REGION)[first], "y": (rank[j] // PIVOT_REGION)[first], "z": zero}
     part = split[heads][row]
     left_open = (size[row] > PIVOTS + 1) | part
     e = entry[left_open]
