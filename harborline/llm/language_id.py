@@ -82,21 +82,27 @@ class Model:
         return out / out.sum(axis=1, keepdims=True)
 
 
-def fit(features: np.ndarray, languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Kernel ridge regression, one language against the rest, over evenly spread landmarks."""
+def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Kernel ridge regression, one language against the rest, over evenly spread landmarks.
+
+    Only the landmarks' features are kept; of the other texts, their kernel with these.
+    """
+    def features(text: str) -> np.ndarray:
+        return grams(np.frombuffer(text.encode(), np.uint8), np.array([0]))
+
     names = sorted(set(languages))
     order = sorted(range(len(languages)), key=lambda i: (languages[i], i))
     picked = [order[i] for i in np.unique(np.linspace(0, len(order) - 1, min(landmarks, len(order))).astype(int))]
-    marks = features[picked].astype(np.float64)
-    values, vectors = np.linalg.eigh(marks @ marks.T)
+    marks = np.concatenate([features(texts[i]) for i in picked])
+    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    mapped = features.astype(np.float64) @ marks.T @ root
+    mapped = np.concatenate([features(text) @ marks.T for text in texts]).astype(np.float64) @ root
     target = np.array([[1.0 if x == name else -1.0 for name in names] for x in languages])
     balance = np.array([1.0 / max(1, languages.count(x)) for x in names])[[names.index(x) for x in languages]] * len(languages) / len(names)
     weighted = mapped * balance[:, None]
     solved = np.linalg.solve(mapped.T @ weighted + ridge * len(languages) * np.eye(mapped.shape[1]), weighted.T @ target)
-    return Model(names, marks.T.astype(np.float32), (root @ solved).astype(np.float32))
+    return Model(names, marks.T, (root @ solved).astype(np.float32))
 
 
 def learn(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
@@ -111,9 +117,7 @@ def learn(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | N
     sample = sorted((r.lang, r.piece) for r in sample if LETTER.search(r.piece))
     if not sample:
         return None
-    texts = [text.encode() for _, text in sample]
-    features = np.concatenate([grams(np.frombuffer(t, np.uint8), np.array([0])) for t in texts])
-    return fit(features, [lang for lang, _ in sample])
+    return fit([text for _, text in sample], [lang for lang, _ in sample])
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
