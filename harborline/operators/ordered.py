@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +41,10 @@ def _ranged(df: DataFrame, keys: Sequence[str], rows_per_range: int) -> tuple[Da
     Spark draws the bounds of the ranges from a sample of the first copy.
     """
     tied = df.withColumns({_TIE: F.xxhash64(*_comparable(df)), _PLACE: F.monotonically_increasing_id()})
-    rows, full = staged(tied, "input"), [*keys, _TIE, _PLACE]
+    written = Observation()  # counts the rows as they are written
+    rows, full = staged(tied.observe(written, F.count(F.lit(1)).alias("rows")), "input"), [*keys, _TIE, _PLACE]
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(tasks, -(-rows.count() // rows_per_range))
+    ranges = max(tasks, -(-written.get["rows"] // rows_per_range))
     at = F.monotonically_increasing_id()
     rows = rows.repartitionByRange(ranges, *full).sortWithinPartitions(*full).withColumn(_PLACE, at)
     rows = staged(rows, "ordered")
