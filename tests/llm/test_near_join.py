@@ -62,11 +62,10 @@ def corpus(seed=5):
     return [(i * 3 + 1, t) for i, t in enumerate(texts)]
 
 
-SETTINGS = [{}, {"cells": 1 << 14}, {"cells": 1 << 14, "split_class": 1}]
+SPLIT = {"cells": 1 << 14, "split_class": 1}
 
 
-@pytest.mark.parametrize("options", SETTINGS)
-@pytest.mark.parametrize("short", [64, 8])
+@pytest.mark.parametrize("options, short", [({}, 64), ({"cells": 1 << 14}, 8), (SPLIT, 64), (SPLIT, 8)])
 def test_components_are_exact(spark, monkeypatch, options, short):
     monkeypatch.setattr(near_join, "SHORT_LIST", short)
     rows = corpus()
