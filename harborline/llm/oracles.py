@@ -90,6 +90,24 @@ def _rules() -> str:
     from judged left join rates using (source)"""
 
 
+def _near_copies() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    with recursive texts as (select doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w from documents),
+    shingles as (select distinct doc_id, array_to_string(w[i:i+4], ' ') s from (
+        select doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) i from texts where len(w) > 0)),
+    sizes as (select doc_id, count(*) n from shingles group by doc_id),
+    links as (select x, y from (
+        select a.doc_id x, b.doc_id y, count(*) k from shingles a join shingles b using (s) where a.doc_id <> b.doc_id group by 1, 2)
+        join sizes p on x = p.doc_id join sizes q on y = q.doc_id where 100 * k >= 75 * (p.n + q.n - k)),
+    reached(doc_id, start) as (select doc_id, doc_id from sizes
+        union select y, start from reached join links on reached.doc_id = x),
+    least as (select doc_id, min(start) component_id from reached group by doc_id)
+    select doc_id, coalesce(n, 0) n_shingles, coalesce(component_id, doc_id) component_id
+    from texts left join sizes using (doc_id) left join least using (doc_id)"""
+
+
 def _licenses() -> str:
     rows = ", ".join(f"({i}, {quoted(n)}, {quoted(w)}, {t})" for i, n, w, t in licenses.template_rows())
     cue, word = quoted(licenses.CUE), quoted(licenses.NOT_WORD)
@@ -135,6 +153,7 @@ def _licenses() -> str:
 
 
 ORACLES = {
+    "op2_ngram_jaccard_join": _near_copies(),
     "op6_license_scans": _licenses(),
     "op8_secret_scans": _secrets(),
     "op9_chat_formatting": _chat(),
