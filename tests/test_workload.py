@@ -58,3 +58,15 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+
+
+ORDERED = ["check_mutually_exclusive_ranges", "check_mutually_exclusive_ranges_no_gaps", "check_sequential_values",
+           "check_sequential_dates", "lag_gap", "lead_next", "last_row_flag", "dense_identity", "job_payments", "job_other_charges",
+           "job_alerts", "job_pre_alerts", "job_sign_ups", "check_mutually_exclusive_ranges_gaps_required"]
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_ordered_queries_put_no_rows_into_one_task(spark, name):
+    lines = QUERIES[name](spark, str(DATA))._jdf.queryExecution().executedPlan().toString().splitlines()
+    fed = [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert all("Aggregate" in line for line in fed), fed
