@@ -1,6 +1,7 @@
 """Packing, decontamination and the trained classifiers against brute force, round trips and held-out rows."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -129,6 +130,68 @@ def test_verbatim_and_reparameterised_questions_are_found(spark):
     assert not {(2, 1), (2, 2), (4, 1), (5, 1), (6, 4), (7, 5)} & got
 
 
+WORD = re.compile(r"(?:[A-Za-z0-9]|[^\x00-\x7f]|(?<=[0-9])[.,](?=[0-9]))+")
+
+
+def brute_template(text):
+    """(shape, value, is slot) of every word, one by one."""
+    out, end = [], None
+    for m in WORD.finditer(text or ""):
+        word = "".join(c.lower() if c.isascii() or "\xc0" <= c <= "\xde" and c != "\xd7" else c for c in m.group())
+        opens = end is None or any(c in ".!?:\n\r" for c in text[end:m.start()])
+        number = m.group()[0] in "0123456789"
+        capital = m.group()[0] != word[0]
+        unit = bool(out) and out[-1][0] == "<number>" and not number and word in decontaminate.UNITS
+        shape = "<number>" if number else "<unit>" if unit else "<name>" if capital and not opens else word
+        out.append((shape, word, shape[0] == "<"))
+        end = m.end()
+    return out
+
+
+def brute_contaminated(docs, items):
+    found = set()
+    for item, item_text in items:
+        theirs = brute_template(item_text)
+        size = min(decontaminate.WINDOW, len(theirs))
+        if size < decontaminate.SHORTEST:
+            continue
+        windows = {}
+        for q in range(len(theirs) - size + 1):
+            if 2 * sum(w[2] for w in theirs[q:q + size]) <= size:
+                windows.setdefault(tuple(w[0] for w in theirs[q:q + size]), []).append(q)
+        for doc, text in docs:
+            ours, lines = brute_template(text), {}
+            for p in range(len(ours) - size + 1):
+                for q in windows.get(tuple(w[0] for w in ours[p:p + size]), []):
+                    lines.setdefault(p - q, set()).update(range(q, q + size))
+            covered, slots = set(), 0
+            for shift, words in lines.items():
+                pairs = {(theirs[w][1], ours[w + shift][1]) for w in words if theirs[w][2]}
+                if len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
+                    covered |= words
+                    slots = max(slots, len(pairs))
+            if covered and len(covered) >= decontaminate.LEAST_COVER * len(theirs):
+                found.add((doc, item, len(covered), len(theirs), slots))
+    return found
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = random.Random(3)
+    parts = ["Anna", "Bob", "Öl", "ÉCOLE", "12", "3.5", "1,000", "kg", "hours", "apples", "the", "of", "a", "b", "c", "x7", "É", "straße", "."]
+    items = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(2, 26)))) for i in range(12)] + ITEMS
+    docs = [(i, t) for i, t in enumerate(ODD)]
+    for i in range(100, 260):
+        words = [rng.choice(parts) for _ in range(rng.randrange(0, 20))] + (rng.choice(items)[1] or "").split()
+        for _ in range(rng.randrange(0, 4)):
+            if words:
+                words[rng.randrange(len(words))] = rng.choice(parts)
+        docs.append((i, rng.choice([" ", "\n", ". "]).join(words)))
+    got = decontaminate.contaminated(spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame(items, "item_id long, text string"))
+    rows = {(r.doc_id, r.item_id, r.covered, r.item_words, r.n_slots) for r in got.collect()}
+    want = brute_contaminated(docs, items)
+    assert rows == want and len(want) > 30 and any(w[4] for w in want)
+
+
 def test_slots_must_map_one_to_one(spark):
     items = [(1, "Mix 5 kg of flour with 5 kg of sugar and 2 litres of water before baking for 40 minutes")]
     docs = [(1, "Mix 8 kg of flour with 8 kg of sugar and 3 litres of water before baking for 50 minutes"),
