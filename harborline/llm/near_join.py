@@ -40,7 +40,7 @@ CELLS, CELL_BLOCK = 1 << 23, 1 << 14  # of the frequency sketch
 PIVOTS, SHORT_LIST, PIVOT_REGION, REGION = 4, 64, 256, 1024
 POSITION_BLOCK = 16
 SPLIT_CLASS = 17  # shingles of some 2**17 documents and more have their list dealt out over several tasks
-FLUSH = 1 << 19  # index entries packed at a time
+FLUSH = 1 << 18  # index entries packed at a time
 SLICE = 256  # rows of a batch taken into Python at a time
 _U = np.uint64
 
@@ -63,7 +63,7 @@ def survey(docs: DataFrame, cells: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, held = np.zeros(cells, np.uint32), [], 0
+        counts, waiting, held = np.zeros(cells, np.uint16), [], 0
         for batch in batches:
             sizes, names = [], []
             for values in shingle_sets(batch.column(1), WORDS):
@@ -78,7 +78,6 @@ def survey(docs: DataFrame, cells: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(names, pa.int64()),
                                               pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
         _count(counts, waiting)
-        counts = np.minimum(counts, 65535).astype(np.uint16)
         used = [b for b in range(-(-cells // CELL_BLOCK)) if counts[b * CELL_BLOCK:(b + 1) * CELL_BLOCK].any()]
         for a in range(0, len(used), 64):
             part = used[a:a + 64]
@@ -90,10 +89,11 @@ def survey(docs: DataFrame, cells: int) -> DataFrame:
 
 
 def _count(counts: np.ndarray, found: list[np.ndarray]) -> None:
-    """Adds one to the cells for each time they are found; sorted first, so that memory is walked in order."""
+    """Adds one to the cells for each time they are found, up to 65535; sorted first, so that memory is walked in order."""
     cells = np.sort(np.concatenate([*found, np.zeros(0, np.uint32)]))
     heads = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
-    counts[cells[heads]] += np.diff(np.append(heads, len(cells))).astype(np.uint32)
+    found_now = counts[cells[heads]] + np.diff(np.append(heads, len(cells)))
+    counts[cells[heads]] = np.minimum(found_now, 65535).astype(np.uint16)
 
 
 def classes(sketch: DataFrame, cells: int, total: int) -> bytes:
