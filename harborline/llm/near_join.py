@@ -38,7 +38,7 @@ from harborline.llm.shingles import mix, set_id, shingle_sets
 WORDS = 5
 CELLS, CELL_BLOCK = 1 << 23, 1 << 14  # of the frequency sketch
 PIVOTS, SHORT_LIST, PIVOT_REGION, REGION = 4, 64, 256, 1024
-POSITION_BLOCK = 16
+POSITION_BLOCK, LIST_PARTS = 16, 16
 SPLIT_CLASS = 17  # shingles of some 2**17 documents and more have their list dealt out over several tasks
 FLUSH = 1 << 18  # index entries packed at a time
 SLICE = 256  # rows of a batch taken into Python at a time
@@ -488,7 +488,14 @@ def labelled(opened: DataFrame, labels: DataFrame) -> DataFrame:
     tagged = written(tagged, "open-entries")
     mixed = tagged.groupBy(F.col("home").alias("_home")).agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high")
-    return written(tagged.join(mixed.select("_home", "size"), tagged["home"] == F.col("_home")).drop("_home"), "open-lists")
+    return written(with_list(tagged, mixed.select("_home", "size")), "open-lists")
+
+
+def with_list(entries: DataFrame, lists: DataFrame) -> DataFrame:
+    """Entries with what is known of their list (one row per ``_home``), a list's entries dealt over LIST_PARTS tasks."""
+    part = F.pmod(F.xxhash64("a"), F.lit(LIST_PARTS)).cast("int")
+    lists = lists.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(LIST_PARTS - 1))))
+    return entries.join(lists, (F.col("home") == F.col("_home")) & (part == F.col("_part"))).drop("_home", "_part")
 
 
 def pairs_of_short(lists: DataFrame) -> DataFrame:
@@ -523,7 +530,7 @@ def outsiders_of_long(lists: DataFrame) -> DataFrame:
     long = lists.where(F.col("size") > SHORT_LIST)
     per = long.groupBy("home", "label").agg(F.count("*").alias("c"))
     top = per.groupBy(F.col("home").alias("_home")).agg(F.max(F.struct("c", "label")).getField("label").alias("main"))
-    sets = long.join(top, long["home"] == F.col("_home")).select("main", "a", "label").distinct()
+    sets = with_list(long, top).select("main", "a", "label").distinct()
     sets = written(sets, "long-lists")
     outside = F.col("label") != F.col("main")
     sizes = sets.groupBy(F.col("main").alias("_main")).agg(
