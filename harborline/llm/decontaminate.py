@@ -6,9 +6,14 @@ those of the benchmark.  Hits of one document and item that lie on one diagonal
 one to one: equal values stay equal, different ones different.  A document is contaminated by an item when consistent
 hits cover at least ``least_cover`` of the item's words; a re-parameterised question is caught like a verbatim one.
 
-Rows: NULL and empty texts and items match nothing; items of fewer than SHORTEST words are left out, and so are
-windows with fewer than half of their words literal; repeated documents are found each once per id; extra columns are
-not carried; an empty table gives no rows.
+With ``literal``, windows of the lower-cased words themselves are joined beside the templates, and a word counts when
+either kind covers it: an unchanged copy, or one in other case, is found however many numbers and names it holds and
+whatever stands before it.
+
+Rows: NULL and empty texts and items match nothing; template windows with fewer than half of their words literal are
+left out.  Items of fewer than SHORTEST words have no template; with ``literal`` they are compared with the signs between
+their words, and a single word is no passage.  Repeated documents are found each once per id; extra columns are not
+carried; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,18 +30,22 @@ from harborline.llm.common import bitmap, bitmap_hits, in_arrow, without, writte
 from harborline.llm.shingles import chunks, mix, powers, word_hashes
 
 WINDOW, SHORTEST, LEAST_COVER = 8, 4, 0.5
+SHORTEST_LITERAL = 2  # a single word is no passage
+TEMPLATE, LITERAL = 0, 1  # kinds of windows
 # Words that are units when a number stands before them.
 UNITS = ("kg g mg km m cm mm l ml s ms min h hour hours day days week weeks month months year years minute minutes second "
          "seconds mile miles foot feet inch inches pound pounds ounce ounces ton tons liter liters litre litres meter "
          "meters metre metres gram grams degree degrees percent dollar dollars euro euros cent cents").split()
 _U = np.uint64
-NUMBER, NAME, UNIT = (mix(np.array([i], np.uint64))[0] for i in (101, 102, 103))
+NUMBER, NAME, UNIT, WORDS = (mix(np.array([i], np.uint64))[0] for i in (101, 102, 103, 104))
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:\n\r"]] = True
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def _folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,23 +57,29 @@ def _folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(accented, data + np.uint8(32), data), capital
 
 
+def _bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end byte of every word."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _WORD[data]
+    digit = _DIGIT[data]
+    if len(data) > 2:  # 4.0 and 1,000 are one word
+        inside[2:-2] |= digit[:-2] & digit[2:] & ((data[1:-1] == 46) | (data[1:-1] == 44))
+    start = inside[1:] & ~inside[:-1]
+    stop = inside[:-1] & ~inside[1:]
+    cut = offsets[1:-1]
+    cut = cut[(cut > 0) & (cut < len(data))]
+    cut = cut[inside[cut] & inside[cut + 1]]
+    start[cut] = stop[cut] = True
+    return np.flatnonzero(start), np.flatnonzero(stop)
+
+
 def templates(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per chunk: first row, end row, first word of each row, template hash, value hash and slot flag of each word."""
     units = np.sort(np.concatenate([h for h in map(_one_word, UNITS)]))
     for first, end, data, offsets in chunks(texts):
         low, capital = _folded(data)
-        inside = np.zeros(len(data) + 2, bool)
-        inside[1:-1] = _WORD[data]
         digit = _DIGIT[data]
-        if len(data) > 2:  # 4.0 and 1,000 are one word
-            inside[2:-2] |= digit[:-2] & digit[2:] & ((data[1:-1] == 46) | (data[1:-1] == 44))
-        start = inside[1:] & ~inside[:-1]
-        stop = inside[:-1] & ~inside[1:]
-        cut = offsets[1:-1]
-        cut = cut[(cut > 0) & (cut < len(data))]
-        cut = cut[inside[cut] & inside[cut + 1]]
-        start[cut] = stop[cut] = True
-        starts, ends = np.flatnonzero(start), np.flatnonzero(stop)
+        starts, ends = _bounds(data, offsets)
         rows = np.searchsorted(starts, offsets)
         values = word_hashes(low, starts, ends)
         if not len(starts):
@@ -107,25 +123,50 @@ def windows(shape: np.ndarray, slot: np.ndarray, rows: np.ndarray, size: int) ->
     return at, mix(rolled[at] + _U(size))
 
 
-HIT = "key long, hash long, at int, size int, words int, slots array<struct<t:int,v:long>>"
+def literal_words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per chunk: first row, end row, first word of each row, and of each word the hash of the lower-cased word and the
+    hash of the signs between it and the word before it (0 where a row begins)."""
+    for (first, end, rows, _, values, _), (_, _, data, offsets) in zip(templates(texts), chunks(texts)):
+        starts, ends = _bounds(data, offsets)
+        seen = np.concatenate([[0], np.cumsum(~_SPACE[data])])
+        between = np.zeros(len(starts), np.uint64)
+        between[1:] = word_hashes(data[~_SPACE[data]], seen[ends[:-1]], seen[starts[1:]])
+        between[rows[:-1][rows[:-1] < len(starts)]] = 0
+        yield first, end, rows, values, between
+
+
+HIT = "key long, hash long, at int, size int, words int, kind int, slots array<struct<t:int,v:long>>"
 _HIT = pa.schema([("key", pa.int64()), ("hash", pa.int64()), ("at", pa.int32()), ("size", pa.int32()), ("words", pa.int32()),
-                  ("slots", pa.list_(pa.struct([("t", pa.int32()), ("v", pa.int64())])))])
+                  ("kind", pa.int32()), ("slots", pa.list_(pa.struct([("t", pa.int32()), ("v", pa.int64())])))])
 
 
-def windowed(rows: DataFrame, key: str, text: str, sizes: list[int] | None, bits=None) -> DataFrame:
-    """Template windows of all rows: key, hash, at (first word), size, words of the row, slots (place, value).
+def windowed(rows: DataFrame, key: str, text: str, sizes: list[int] | None, bits=None, literal: bool = False) -> DataFrame:
+    """Windows of all rows: key, hash, at (first word), size, words of the row, kind, slots (place, value).
 
     ``sizes`` None: one size per row, WINDOW or the row's own words if it has fewer.  ``bits``: a broadcast bitmap of
-    the hashes that matter.
+    the hashes that matter.  ``literal``: also the windows of the lower-cased words, without slots.
     """
+    def kinds(texts: pa.Array) -> Iterator[tuple]:
+        for first, end, rows_, shape, values, slot in templates(texts):
+            yield first, rows_, shape, values, slot, TEMPLATE, None
+        if literal:
+            for first, end, rows_, values, between in literal_words(pc.utf8_lower(texts)):
+                yield first, rows_, values, values, np.zeros(len(values), bool), LITERAL, between
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, end, rows_, shape, values, slot in templates(batch.column(1)):
+            for first, rows_, shape, values, slot, kind, between in kinds(batch.column(1)):
                 counts = np.diff(rows_)
                 parts = []
-                for size in sizes or range(SHORTEST, WINDOW + 1):
+                for size in sizes or range(SHORTEST_LITERAL, WINDOW + 1):
+                    if size < SHORTEST and kind == TEMPLATE:
+                        continue
                     at, hashes = windows(shape, slot, rows_, size)
+                    if kind == LITERAL:
+                        hashes = mix(hashes ^ WORDS)
+                        for k in range(1, size if size < SHORTEST else 0):  # so few words count with the signs between them
+                            hashes = mix(hashes + between[at + k])
                     row = np.searchsorted(rows_, at, "right") - 1
                     if sizes is None:
                         fine = np.minimum(counts[row], WINDOW) == size
@@ -136,7 +177,7 @@ def windowed(rows: DataFrame, key: str, text: str, sizes: list[int] | None, bits
                     for a, h, r in zip(at.tolist(), hashes.view(np.int64).tolist(), row.tolist()):
                         places = np.flatnonzero(slot[a:a + size])
                         parts.append({"key": int(keys[first + r]), "hash": h, "at": a - int(rows_[r]), "size": size,
-                                      "words": int(counts[r]), "slots": [
+                                      "words": int(counts[r]), "kind": kind, "slots": [
                                           {"t": int(p), "v": int(values[a + p].view(np.int64))} for p in places]})
                     if len(parts) >= 10_000:
                         yield pa.RecordBatch.from_pylist(parts, schema=_HIT)
@@ -149,24 +190,24 @@ def windowed(rows: DataFrame, key: str, text: str, sizes: list[int] | None, bits
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-                 item_text: str = "text", least_cover: float = LEAST_COVER) -> DataFrame:
+                 item_text: str = "text", least_cover: float = LEAST_COVER, literal: bool = False) -> DataFrame:
     """Per contaminated document and item: doc_id, item_id, covered, item_words, cover, n_slots.
 
     The bitmap of benchmark hashes that every task gets has a fixed size; the windows that pass it, few unless the
     benchmark is huge, meet the benchmark's in a plain join that Spark may split.
     """
     spark = docs.sparkSession
-    known = written(windowed(benchmark, item, item_text, None), "benchmark-windows")
-    sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # WINDOW - SHORTEST + 1 values at most
+    known = written(windowed(benchmark, item, item_text, None, literal=literal), "benchmark-windows")
+    sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # WINDOW - 1 values at most
     bits = spark.sparkContext.broadcast(bitmap(known, F.col("hash")))
-    hits = written(windowed(docs, key, text, sizes or [WINDOW], bits), "document-windows")
-    pair = hits.join(known.select(F.col("hash"), F.col("key").alias("item"), F.col("at").alias("item_at"),
-                                  F.col("words").alias("item_words"), F.col("slots").alias("item_slots")), "hash")
-    pair = pair.select("key", "item", "item_words", "size", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"),
+    hits = written(windowed(docs, key, text, sizes or [WINDOW], bits, literal), "document-windows")
+    pair = hits.join(known.select("hash", "kind", F.col("key").alias("item"), F.col("at").alias("item_at"),
+                                  F.col("words").alias("item_words"), F.col("slots").alias("item_slots")), ["hash", "kind"])
+    pair = pair.select("key", "item", "item_words", "size", "kind", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"),
                        F.transform(F.arrays_zip("slots", "item_slots"), lambda z: F.struct(
                            z.item_slots.v.alias("theirs"), z.slots.v.alias("ours"))).alias("slots"))
     pair = written(pair, "window-pairs")
-    line = ["key", "item", "diagonal"]
+    line = ["key", "item", "diagonal", "kind"]
     values = pair.select(*line, F.explode("slots").alias("s")).groupBy(*line).agg(
         F.count_distinct("s").alias("pairs"), F.count_distinct("s.theirs").alias("theirs"),
         F.count_distinct("s.ours").alias("ours"))
@@ -184,5 +225,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no benchmark item contaminates; a document without id stays."""
-    found = written(contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
+    found = written(contaminated(docs, benchmark, literal=True).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
     return without(docs, found, "doc_id")

@@ -28,7 +28,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), literal=True)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

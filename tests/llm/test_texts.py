@@ -192,6 +192,23 @@ def test_decontamination_against_brute_force(spark):
     assert rows == want and len(want) > 30 and any(w[4] for w in want)
 
 
+def test_copies_are_found_in_any_case_and_slot_density(spark):
+    items = [(1, "Which river runs through Paris today"), (2, "12 + 7 = 19"), (3, "12 + 7 - 3 * 4 / 2 = 13, 9 - 4 = 5 and 8 * 8 = 64"),
+             (4, "Anna Bob Carla David Emil Frida Gustav Helga Ida Jonas Karl Lena"), (5, ITEMS[0][1]), (6, "paris"),
+             (7, "Ёлка стоит в лесу под Москвой у Волги")]
+    fill = "some other words go here, "
+    texts = [fill + change(text) + " and more of it" for _, text in items for change in (str, str.upper, str.lower)]
+    texts += [fill + "(1) " + text for _, text in items] + [fill + '7, "' + text for _, text in items] + ["12 7 19 is no sum, nor 12 - 7 = 19"]
+    got = decontaminate.contaminated(spark.createDataFrame(list(enumerate(texts)), DOCS),
+                                     spark.createDataFrame(items, "item_id long, text string"), literal=True)
+    found = {(r.doc_id, r.item_id): r.cover for r in got.collect()}
+    held = [i for i, _ in items for _ in range(3)] + 2 * [i for i, _ in items]
+    assert {(d, i) for d, i in enumerate(held) if i != 6} == set(found) and set(found.values()) == {1.0}
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    left = decontaminate.without_contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in left.collect()} == {d for d, i in enumerate(held) if i == 6} | {len(held)}
+
+
 def test_slots_must_map_one_to_one(spark):
     items = [(1, "Mix 5 kg of flour with 5 kg of sugar and 2 litres of water before baking for 40 minutes")]
     docs = [(1, "Mix 8 kg of flour with 8 kg of sugar and 3 litres of water before baking for 50 minutes"),
