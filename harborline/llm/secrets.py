@@ -26,6 +26,13 @@ WINDOW = 20
 CLASSES = [("^[0-9A-Fa-f]+$", 3.0), ("^[0-9A-Za-z]+$", 3.6), ("", 3.8)]  # bits per character that a window must reach
 ALLOWED = ["^[0-9]+$", "^[A-Za-z]+$", "(?i)example|sample|placeholder|dummy|x{6}|0123456789|abcdefgh",
            "^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$", "^[/_=+-]|//|--|=[^=]"]
+# A candidate is judged in pieces: '=' ends a name or pads the end, and base spans and rulers cut.  The last allow rule, on
+# whole candidates, is that of the SQL only; here a piece that it would drop must consist of words, as paths do.
+PIECE = r"(?=[A-Za-z0-9+/_=-]{20})[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?"
+LEAST_PIECE = 20
+RULER = r"([/_+-])\1{3,}"
+PATH_LIKE = "^[/_+-]|//|--"
+PATH_PART = "^(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+){0,8}[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+)?$"
 KINDS = [*BASE, "entropy"]
 SPAN = "array<struct<start:int,k:int,end:int>>"
 
@@ -92,26 +99,49 @@ def peak_entropy(run: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(run) - 1), zero, step, lambda acc: acc.peak)
 
 
-def looks_random(run: Column) -> Column:
-    """Whether some window of the run is as varied as its character class asks for, and nothing allows the run."""
+def of_words(run: Column) -> Column:
+    """Whether a run consists of words, numbers and UUIDs between '/', '_', '+' and '-', as paths and names do."""
+    parts = F.split(F.regexp_replace(run, ALLOWED[3].strip("^$"), ""), "[/_+=-]+")
+    return F.forall(parts, lambda part: (F.length(part) <= 40) & part.rlike(PATH_PART))
+
+
+def looks_random(run: Column, named: Column) -> Column:
+    """Whether some window of the run is as varied as its character class asks for, and nothing allows the run.
+
+    ``named``: whether '=' follows, so that the run may be the name of a value.
+    """
     least = F.lit(CLASSES[-1][1])
     for regex, bits in reversed(CLASSES[:-1]):
         least = F.when(run.rlike(regex), F.lit(bits)).otherwise(least)
     allowed = F.lit(False)
-    for regex in ALLOWED:
+    for regex in ALLOWED[:-1]:
         allowed = allowed | run.rlike(regex)
+    allowed = allowed | ((named | run.rlike(PATH_LIKE)) & of_words(run))
     return F.when(allowed, F.lit(False)).otherwise(F.round(peak_entropy(run), 9) >= least)
 
 
-def entropy_spans(text: Column, known: Column) -> Column:
-    """Spans of runs that look random and touch no known span."""
-    runs = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    spans = located(text, CANDIDATE, KINDS.index("entropy"))
-    kept = F.zip_with(spans, runs, lambda s, run: F.when(
-        ~F.exists(known, lambda b: (b.start < s.end) & (s.start < b.end)) & looks_random(run), s))
-    # A run without a digit is letters only and allowed, so a digit must be near before anything is computed.
-    return F.when(text.rlike(r"[0-9]") & text.rlike(CANDIDATE), F.filter(kept, lambda s: s.isNotNull())
-                  ).otherwise(F.array().cast(SPAN))
+def outside(span: Column, cuts: Column) -> Column:
+    """The parts of a span that no cut (sorted by start) overlaps."""
+    start = F.struct(span.start.alias("at"), F.array().cast(SPAN).alias("out"))
+
+    def upto(acc: Column, end: Column) -> Column:
+        part = F.struct(acc.at.alias("start"), span.k.alias("k"), end.alias("end"))
+        return F.when(end > acc.at, F.concat(acc.out, F.array(part))).otherwise(acc.out)
+
+    return F.aggregate(F.filter(cuts, lambda b: (b.start < span.end) & (span.start < b.end)), start, lambda acc, b: F.struct(
+        F.greatest(acc.at, b.end).alias("at"), upto(acc, b.start).alias("out")), lambda acc: upto(acc, span.end))
+
+
+def entropy_spans(text: Column, cuts: Column) -> Column:
+    """Spans of pieces, or what the cuts leave of them, that look random; cuts are sorted by start."""
+    runs = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+    after = F.slice(F.split(text, PIECE, -1), F.lit(2), F.size(runs))
+    runs = F.zip_with(runs, after, lambda run, gap: F.struct(run.alias("run"), gap.startswith("=").alias("named")))
+    spans = located(text, PIECE, KINDS.index("entropy"))
+    kept = F.zip_with(spans, runs, lambda s, r: F.filter(outside(s, cuts), lambda part: F.when(
+        part.end - part.start >= LEAST_PIECE, looks_random(
+            F.substring(r.run, part.start - s.start + 1, part.end - part.start), r.named & (part.end == s.end))).otherwise(F.lit(False))))
+    return F.when(text.rlike(PIECE), F.flatten(kept)).otherwise(F.array().cast(SPAN))
 
 
 def listed(spans: Column) -> Column:
@@ -129,7 +159,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     for kind in BASE:
         docs = docs.withColumn(f"_{kind}", base_spans(whole, kind))
     docs = docs.select("row", "whole", F.concat(*[F.col(f"_{kind}") for kind in BASE]).alias("base"))
-    return docs.select("row", "whole", F.array_sort(F.concat("base", entropy_spans(whole, F.col("base")))).alias("found"))
+    rulers = F.when(whole.rlike(RULER), located(whole, RULER, len(KINDS))).otherwise(F.array().cast(SPAN))
+    docs = docs.select("row", "whole", "base", F.array_sort(F.concat("base", rulers)).alias("cuts"))
+    return docs.select("row", "whole", F.array_sort(F.concat("base", entropy_spans(whole, F.col("cuts")))).alias("found"))
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
