@@ -10,6 +10,8 @@ With ``literal``, windows of the lower-cased words themselves are joined beside
 either kind covers it: an unchanged copy, or one in other case, is found however many numbers and names it holds and
 whatever stands before it.
 
+With ``least_run``, so many words in a row on one diagonal are enough too, however long the item is.
+
 Rows: NULL and empty texts and items match nothing; template windows with fewer than half of their words literal are
 left out.  Items of fewer than SHORTEST words have no template; with ``literal`` they are compared with the signs between
 their words, and a single word is no passage.  Repeated documents are found each once per id; extra columns are not
@@ -23,13 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm.common import bitmap, bitmap_hits, in_arrow, without, written
 from harborline.llm.shingles import chunks, mix, powers, word_hashes
 
 WINDOW, SHORTEST, LEAST_COVER = 8, 4, 0.5
+LEAST_RUN = 13  # words in a row that are a passage by themselves
 SHORTEST_LITERAL = 2  # a single word is no passage
 TEMPLATE, LITERAL = 0, 1  # kinds of windows
 # Words that are units when a number stands before them.
@@ -189,8 +192,20 @@ def windowed(rows: DataFrame, key: str, text: str, sizes: list[int] | None, bits
     return in_arrow(rows, cut, HIT)
 
 
+def longest_run(ats: Column, size: Column) -> Column:
+    """The most words in a row that windows of one size cover, from their sorted first words."""
+    start = F.struct(F.lit(0).alias("begin"), F.lit(-1).alias("end"), F.lit(0).alias("longest"))
+
+    def step(acc: Column, at: Column) -> Column:
+        begin = F.when(at <= acc.end, acc.begin).otherwise(at)
+        return F.struct(begin.alias("begin"), (at + size).alias("end"), F.greatest(acc.longest, at + size - begin).alias("longest"))
+
+    return F.aggregate(ats, start, step, lambda acc: acc.longest)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-                 item_text: str = "text", least_cover: float = LEAST_COVER, literal: bool = False) -> DataFrame:
+                 item_text: str = "text", least_cover: float = LEAST_COVER, literal: bool = False,
+                 least_run: int | None = None) -> DataFrame:
     """Per contaminated document and item: doc_id, item_id, covered, item_words, cover, n_slots.
 
     The bitmap of benchmark hashes that every task gets has a fixed size; the windows that pass it, few unless the
@@ -213,17 +228,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         F.count_distinct("s.ours").alias("ours"))
     lines = pair.join(values, line, "left").where(
         F.col("pairs").isNull() | ((F.col("pairs") == F.col("theirs")) & (F.col("pairs") == F.col("ours"))))
-    words = lines.select("key", "item", "item_words", F.coalesce("pairs", F.lit(0)).alias("pairs"), F.explode(
-        F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)).alias("word"))
-    cover = words.groupBy("key", "item", "item_words", "word").agg(F.max("pairs").alias("pairs")).groupBy(
-        "key", "item", "item_words").agg(F.count("*").alias("covered"), F.max("pairs").alias("n_slots"))
+    # Both kinds of one diagonal together; an item has windows of one size, so its first words tell what they cover.
+    lines = lines.groupBy("key", "item", "item_words", "size", "diagonal").agg(
+        F.max(F.coalesce("pairs", F.lit(0))).alias("pairs"), F.array_sort(F.collect_set("item_at")).alias("ats"))
+    words = lines.select("key", "item", "item_words", "pairs", longest_run(F.col("ats"), F.col("size")).alias("run"), F.explode(
+        F.array_distinct(F.flatten(F.transform("ats", lambda at: F.sequence(at, at + F.col("size") - 1))))).alias("word"))
+    cover = words.groupBy("key", "item", "item_words", "word").agg(
+        F.max("pairs").alias("pairs"), F.max("run").alias("run")).groupBy("key", "item", "item_words").agg(
+        F.count("*").alias("covered"), F.max("pairs").alias("n_slots"), F.max("run").alias("run"))
     cover = cover.withColumn("cover", F.round(F.col("covered") / F.col("item_words"), 6))
-    return cover.where(F.col("covered") >= least_cover * F.col("item_words")).select(
+    enough = F.col("covered") >= least_cover * F.col("item_words")
+    if least_run is not None:
+        enough = enough | (F.col("run") >= least_run)
+    return cover.where(enough).select(
         F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "covered", F.col("item_words").cast("long"), "cover",
         F.col("n_slots").cast("long"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no benchmark item contaminates; a document without id stays."""
-    found = written(contaminated(docs, benchmark, literal=True).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
+    found = written(contaminated(docs, benchmark, literal=True, least_run=LEAST_RUN).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
     return without(docs, found, "doc_id")

@@ -209,6 +209,17 @@ def test_copies_are_found_in_any_case_and_slot_density(spark):
     assert {r.doc_id for r in left.collect()} == {d for d, i in enumerate(held) if i == 6} | {len(held)}
 
 
+def test_a_long_run_of_a_longer_item_is_enough(spark):
+    item = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(250)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    texts = ["before " + " ".join(item[100:200]) + " after", "before " + " ".join(item[237:]), "before " + " ".join(item[20:32]) + " after",
+             "x ".join(" ".join(item[i:i + 8]) + " " for i in range(0, 40, 10))]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = decontaminate.contaminated(docs, items, literal=True, least_run=decontaminate.LEAST_RUN)
+    assert {(r.doc_id, r.covered) for r in got.collect()} == {(0, 100), (1, 13)}
+    assert {r.doc_id for r in decontaminate.without_contaminated(docs, items).collect()} == {2, 3}
+
+
 def test_slots_must_map_one_to_one(spark):
     items = [(1, "Mix 5 kg of flour with 5 kg of sugar and 2 litres of water before baking for 40 minutes")]
     docs = [(1, "Mix 8 kg of flour with 8 kg of sugar and 3 litres of water before baking for 50 minutes"),
