@@ -7,10 +7,10 @@ a hash of the row and its place in the input - so a hot group simply spans sever
 equal rows.  There is one plan for tables of every size: at least one range for each shuffle partition of the
 session, and more where a range would hold over ``rows_per_range`` rows.
 
-The input is evaluated once, into the shared folder, with its tie-breakers; a second written copy is partitioned and
-sorted by the complete order and carries each row's range and place in it.  Every later step reads that copy, so a
-lost executor recomputes the same ranges.  Writing both are jobs that run while the plan is built; the result itself
-is lazy.
+The input is evaluated once, into the shared folder, with its tie-breakers: the only job that runs while the plan is
+built, and the only copy.  Bounds of the ranges are drawn from that copy by a hash of each row's place, so every step and
+every recomputed task finds the same ones, and each row finds its range by binary search among them.  Rows then move
+once, by the number of their range, and the windows work inside the ranges.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from pyspark.sql import types as T
 from harborline.session import staged
 
 ROWS_PER_RANGE = 250_000
-PLACE_BITS = 33  # of monotonically_increasing_id(): the place within a partition, below the partition's number
+RANGES_PER_TASK, SAMPLE_PER_RANGE = 4, 20
+_CELLS = 1 << 30
 
-_RANGE, _SEAM, _TIE, _PLACE = "__range", "__seam", "__tie", "__place"
+_RANGE, _SEAM, _TIE, _PLACE, _BOUNDS = "__range", "__seam", "__tie", "__place", "__bounds"
 
 
 def _comparable(df: DataFrame) -> list[str]:
@@ -36,33 +37,45 @@ def _comparable(df: DataFrame) -> list[str]:
 
 
 def _ranged(df: DataFrame, keys: Sequence[str], rows_per_range: int) -> tuple[DataFrame, list[str]]:
-    """The rows with their range and place in it, written in the complete order, and the columns of that order.
-
-    Spark draws the bounds of the ranges from a sample of the first copy.
-    """
+    """The rows with the number of their range, and the columns of the complete order."""
     tied = df.withColumns({_TIE: F.xxhash64(*_comparable(df)), _PLACE: F.monotonically_increasing_id()})
     written = Observation()  # counts the rows as they are written
-    rows, full = staged(tied.observe(written, F.count(F.lit(1)).alias("rows")), "input"), [*keys, _TIE, _PLACE]
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(tasks, -(-written.get["rows"] // rows_per_range))
-    at = F.monotonically_increasing_id()
-    rows = rows.repartitionByRange(ranges, *full).sortWithinPartitions(*full).withColumn(_PLACE, at)
-    rows = staged(rows, "ordered")
-    return rows.withColumn(_RANGE, F.shiftright(_PLACE, PLACE_BITS)), full
+    rows, full = staged(tied.observe(written, F.count(F.lit(1)).alias("rows")), "ordered"), [*keys, _TIE, _PLACE]
+    tasks, count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), written.get["rows"]
+    ranges = max(RANGES_PER_TASK * tasks, -(-count // rows_per_range))
+    share = int(_CELLS * min(1.0, ranges * SAMPLE_PER_RANGE / max(count, 1)))
+    drawn = rows.filter(F.pmod(F.xxhash64(_PLACE), F.lit(_CELLS)) < share)
+    drawn = drawn.agg(F.sort_array(F.collect_list(F.struct(*full))).alias("all"))
+    bounds = drawn.select(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get(
+        "all", F.floor(i * F.size("all") / ranges).cast("int")))).scalar()
+    rows = rows.withColumns({_RANGE: F.lit(0), _BOUNDS: bounds})  # one subquery; the array is not copied into the rows
+    for step in [1 << b for b in reversed(range((ranges - 1).bit_length()))]:
+        beyond = (F.col(_RANGE) + step < ranges) & (F.get(_BOUNDS, F.col(_RANGE) + (step - 1)) <= F.struct(*full))
+        rows = rows.withColumn(_RANGE, F.col(_RANGE) + F.when(beyond, step).otherwise(0))
+    return rows.drop(_BOUNDS), full
+
+
+def in_ranges(df: DataFrame, order_by: Sequence[str], name: str = "range",
+              rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """The rows with the number of their range of the complete order, a range whole in one partition, ranges and rows
+    sorted there: what a pass over the sorted rows with a bounded state needs.  A partition may hold several ranges."""
+    ranged, full = _ranged(df, order_by, rows_per_range)
+    ranged = ranged.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _RANGE)
+    return ranged.sortWithinPartitions(_RANGE, *full).withColumnRenamed(_RANGE, name).drop(_TIE, _PLACE)
 
 
 def dense_ids(df: DataFrame, order_by: Sequence[str], name: str, start: int = 1,
               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``name`` = start, start+1, ... without gaps, in the order of the given columns."""
-    ranged, _ = _ranged(df, order_by, rows_per_range)
+    ranged, full = _ranged(df, order_by, rows_per_range)
     # One row per range, so the window below is over as many rows as there are ranges.
     earlier = F.sum("n").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
     offsets = (ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n"))
                .select(F.col(_RANGE).alias("__of"), F.coalesce(earlier, F.lit(0)).alias("__before")))
-    place = F.col(_PLACE).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    return (ranged.join(offsets, F.col(_RANGE) == F.col("__of"))
-            .withColumn(name, (place + F.col("__before") + start).cast("bigint"))
-            .drop(_RANGE, _TIE, _PLACE, "__of", "__before"))
+    place = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*full))
+    return (ranged.withColumn("__in", place).join(offsets, F.col(_RANGE) == F.col("__of"))
+            .withColumn(name, (F.col("__in") + F.col("__before") + (start - 1)).cast("bigint"))
+            .drop(_RANGE, _TIE, _PLACE, "__of", "__before", "__in"))
 
 
 def _neighbour(df: DataFrame, values: Sequence[str], order_by: Sequence[str], partition_by: Sequence[str],

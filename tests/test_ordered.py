@@ -99,12 +99,31 @@ def wide_exchanges(df):
 
 @pytest.mark.parametrize("rows", [3, 5000])
 def test_no_size_puts_the_rows_into_one_task(spark, rows):
-    """Only one row per range goes to a single task: what feeds it is the aggregate by range."""
+    """Only one row per range goes to a single task: what feeds it is the aggregate by range, or of the bounds' sample."""
     df = spark.range(rows).select((F.col("id") % 3).alias("g"), "id")
     for result in (ordered.with_previous(df, ["id"], ["id"], ["g"]), ordered.with_next(df, ["id"], ["id"]),
                    ordered.dense_ids(df, ["id"], "n")):
         fed = wide_exchanges(result)
-        assert len(fed) == 1 and "HashAggregate" in fed[0] or "SortAggregate" in fed[0], fed
+        assert fed and all("HashAggregate" in line or "SortAggregate" in line for line in fed), fed
+
+
+def test_rows_are_written_once_and_move_once(spark):
+    """The only exchange of rows is by the number of their range; the other ones follow an aggregate by range."""
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), "id")
+    for result in (ordered.with_previous(df, ["id"], ["id"], ["g"]), ordered.with_next(df, ["id"], ["id"]),
+                   ordered.dense_ids(df, ["id"], "n")):
+        lines = result._jdf.queryExecution().executedPlan().toString().splitlines()
+        after = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(__range" in line]
+        assert sum("Aggregate" not in line for line in after) == 1, after
+
+
+def test_in_ranges_keeps_a_range_whole_and_sorted(spark):
+    data = hot_rows()
+    df = spark.createDataFrame(data, "g string, v int").repartition(6)
+    got = ordered.in_ranges(df, ["g", "v"], "at", rows_per_range=40).withColumn("p", F.spark_partition_id()).collect()
+    assert len({(r["at"], r["p"]) for r in got}) == len({r["at"] for r in got}) > 10
+    by_range = [(r.g, r.v) for r in sorted(got, key=lambda r: r["at"])]
+    assert by_range == sorted(data)  # a stable sort: rows of a range come in their order
 
 
 @pytest.mark.parametrize("kind", ["binary", "timestamp", "timestamp_ntz", "string", "decimal(20,4)"])
