@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harborline.llm import chat, licenses, quality_rules, secrets
+from harborline.llm import chat, collocations, licenses, quality_rules, secrets
 
 
 def quoted(text: str) -> str:
@@ -152,10 +152,35 @@ def _licenses() -> str:
     from files left join own using (path) left join above using (dir)"""
 
 
+def _collocations() -> str:
+    q, upper = collocations, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    with pieces as (select row_number() over () r, lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\\x0A-\\x0D]')) piece
+        from (select coalesce(lang, 'und') lang, text from documents)),
+    words as (select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') w from pieces),
+    grams as (select lang, k, array_to_string(w[i:i + k - 1], ' ') p, count(*) f from (
+        select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) i from words, (values (1), (2), (3)) as s(k)
+        where len(w) >= k) group by all),
+    sums as (select lang, sum(f) n from grams where k = 1 group by lang),
+    candidates as (select lang, k size, p, string_split(p, ' ') w, f a from grams where k > 1 and f >= {q.LEAST}),
+    cuts as (select lang, size, p, a, w, c, array_to_string(w[:c], ' ') p1, array_to_string(w[c + 1:], ' ') p2
+        from (select *, unnest(generate_series(1, size - 1)) c from candidates)),
+    scored as (select x.*, g.f l, h.f r, ({q.SCALE}::hugeint * a * a) // (g.f::hugeint * h.f) score
+        from cuts x join grams g on g.lang = x.lang and g.p = p1 join grams h on h.lang = x.lang and h.p = p2),
+    least as (select * from scored qualify row_number() over (partition by lang, p order by score, c) = 1),
+    longer as (select lang, p2 p, max(a) a from (select lang, a, unnest([p1, p2]) p2 from cuts where size = 3) group by all),
+    kept as (select t.* from least t left join longer o using (lang, p) where coalesce(100 * o.a < {q.SHARE_PCT} * t.a, true)),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(p)) rank from kept)
+    select lang, rank, p phrase, a, l, r, n::bigint n, score::bigint score from ranked join sums using (lang)
+    where rank <= {q.TOP}"""
+
+
 ORACLES = {
     "op2_ngram_jaccard_join": _near_copies(),
     "op6_license_scans": _licenses(),
     "op8_secret_scans": _secrets(),
     "op9_chat_formatting": _chat(),
     "op10_quality_rules": _rules(),
+    "op13_collocations": _collocations(),
 }

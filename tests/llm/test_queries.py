@@ -21,6 +21,9 @@ COLUMNS = {
     "op8": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op10": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op11": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op12": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op13": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
 }
 
 
