@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harborline.llm import chat, collocations, licenses, quality_rules, secrets
+from harborline.llm import chat, collocations, licenses, prefix_trie, quality_rules, secrets
 
 
 def quoted(text: str) -> str:
@@ -152,6 +152,33 @@ def _licenses() -> str:
     from files left join own using (path) left join above using (dir)"""
 
 
+def _trie() -> str:
+    q = prefix_trie
+    bit = "list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)"
+    crc = f"""xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(
+        string_split(conv::varchar, ''), lambda x: ascii(x)::bigint)), lambda a, b: {bit}))"""
+    return f"""
+    with turns as (select conv_id::bigint conv, turn, coalesce(role, '') as role, coalesce(text, '') as text
+        from conversations where conv_id is not null),
+    own as (select conv, list(struct_pack(role := role, text := text) order by turn nulls first, role, text) seq
+        from turns group by conv),
+    headed as (select conv, seq, {crc} % {q.HEADS} h from own),
+    rebuilt as (select a.conv, list_concat(coalesce(b.seq[1:h], []), a.seq[h + 1:]) seq
+        from headed a left join own b on b.conv = a.conv - a.conv % {q.SHARERS}),
+    paths as (select conv, seq[1:depth] as key, depth, depth = len(seq) as ended
+        from (select conv, seq, unnest(generate_series(0, len(seq))) depth from rebuilt)),
+    nodes as (select key, depth, min(conv) conv_id, count(*) n_convs,
+        sha256(coalesce(string_agg(conv::varchar, ',' order by conv) filter (ended), '')) ends_sha256 from paths group by key, depth),
+    tied as (select n.*, p.conv_id parent_conv_id, case when n.depth = 0 then 0 else (n.n_convs - 1) * strlen(n.key[n.depth].text) end saved
+        from nodes n left join nodes p on n.depth = p.depth + 1 and n.key[1:n.depth - 1] = p.key),
+    children as (select key[1:depth - 1] as key, depth - 1 depth, count(*) n_children from nodes where depth > 0 group by 1, 2),
+    counted as (select t.*, coalesce(n_children, 0) n_children from tied t left join children using (key, depth)),
+    below as (select key[1:d] as key, d depth, sum(saved) saved_tokens, sum((n_children = 0)::int) n_leaves
+        from (select *, unnest(generate_series(0, depth)) d from counted) group by 1, 2)
+    select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves::bigint n_leaves, saved_tokens::bigint saved_tokens, ends_sha256
+    from counted join below using (key, depth)"""
+
+
 def _collocations() -> str:
     q, upper = collocations, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return f"""
@@ -182,5 +209,6 @@ ORACLES = {
     "op8_secret_scans": _secrets(),
     "op9_chat_formatting": _chat(),
     "op10_quality_rules": _rules(),
+    "op11_prefix_trie": _trie(),
     "op13_collocations": _collocations(),
 }

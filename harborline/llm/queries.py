@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import (chat, collocations, decontaminate, language_id, licenses, near_join, packing, quality_model,
-                            quality_rules, secrets, token_files, toxicity)
+from harborline.llm import (chat, collocations, decontaminate, language_id, licenses, near_join, packing, prefix_trie,
+                            quality_model, quality_rules, secrets, token_files, toxicity)
 from harborline.llm.common import table
 from harborline.session import staging_path
 
@@ -65,6 +65,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), path)
@@ -77,4 +81,4 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in [
     op1_quality_classifier, op2_ngram_jaccard_join, op3_packing, op4_decontamination, op5_toxicity, op6_license_scans,
-    op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules, op12_token_files, op13_collocations]}
+    op7_language_id, op8_secret_scans, op9_chat_formatting, op10_quality_rules, op11_prefix_trie, op12_token_files, op13_collocations]}
