@@ -81,13 +81,17 @@ class Words:
 
 
 def counted(fp: np.ndarray, second: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple:
-    """One entry per (fp, second): with its count, and the pointer of the occurrence of the smallest key found."""
-    order = np.lexsort((key, second, fp))
-    fp, second, key, at = fp[order], second[order], key[order], at[order]
+    """One entry per (fp, second), with its count and the pointer of one occurrence."""
+    order = np.argsort(fp)
     new = np.ones(len(fp), bool)
-    new[1:] = (fp[1:] != fp[:-1]) | (second[1:] != second[:-1])
+    new[1:] = fp[order[1:]] != fp[order[:-1]]
+    group = np.cumsum(new) - 1
+    if (second[order] != second[order[new]][group]).any():  # a fingerprint of several phrases
+        order = np.lexsort((second, fp))
+        new[1:] = (fp[order[1:]] != fp[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
     first = np.flatnonzero(new)
-    return fp[first], second[first], np.diff(np.append(first, len(fp))), key[first], at[first]
+    some = order[first]
+    return fp[some], second[some], np.diff(np.append(first, len(fp))), key[some], at[some]
 
 
 def as_batch(columns: tuple) -> pa.RecordBatch:
@@ -230,30 +234,36 @@ def recounted(keyed: DataFrame, mixed: DataFrame, least: int, bits: int, longest
 
 
 def parts_of(phrases: DataFrame, bits: int) -> DataFrame:
-    """The phrases with ``cuts``: per place of cutting the fingerprints and words of the first part and of the rest, and
-    ``every``: the fingerprint of all words of the language."""
-    cut = pa.struct([("k", pa.int32()), ("left_fp", pa.int64()), ("left", pa.string()), ("right_fp", pa.int64()), ("right", pa.string())])
+    """The phrases with ``cuts``: the fingerprints of the first part and of the rest per place of cutting, and ``every``:
+    the fingerprint that all words of the language share."""
     names = phrases.columns
-    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in phrases.schema.fields)
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in phrases.schema.fields)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts, every = [], []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
-                data = np.frombuffer(phrase.encode(), np.uint8)
-                words, hashed = Words(data, np.array([0, len(data)])), np.array([language_hash(lang)])
-                parts, n = phrase.split(" "), len(words.start)
-
-                def of(i: int, size: int) -> int:
-                    return int(_masked(words.prints(np.array([i]), size, hashed), bits).view(np.int64)[0])
-
-                cuts.append([{"k": k, "left_fp": of(0, k), "left": " ".join(parts[:k]), "right_fp": of(k, n - k),
-                              "right": " ".join(parts[k:])} for k in range(1, n)])
-                every.append(int(_masked(mix(hashed), bits).view(np.int64)[0]))
-            columns = [*batch.columns, pa.array(cuts, pa.list_(cut)), pa.array(every, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "cuts", "every"])
-
-    return in_arrow(phrases, split, f"{out}, cuts array<struct<k:int,left_fp:long,left:string,right_fp:long,right:string>>, every long")
+            langs = batch.column("lang").dictionary_encode()
+            langs = np.array([language_hash(x) for x in langs.dictionary.to_pylist()], _U)[langs.indices.to_numpy()]
+            for first, end, data, offsets in chunks(batch.column("phrase")):
+                words, hashes = Words(data, offsets), langs[first:end]
+                start, n = words.first[:-1], np.diff(words.first)
+                cuts = [[] for _ in range(end - first)]
+                for k in range(1, int(n.max(initial=1))):
+                    row = np.flatnonzero(n > k)
+                    left = _masked(words.prints(start[row], k, hashes[row]), bits).view(np.int64)
+                    right = np.zeros(len(row), np.int64)
+                    for rest in range(1, int(n.max()) - k + 1):
+                        some = n[row] == k + rest
+                        right[some] = _masked(words.prints(start[row[some]] + k, rest, hashes[row[some]]), bits).view(np.int64)
+                    for i, a, b in zip(row.tolist(), left.tolist(), right.tolist()):
+                        cuts[i].append({"k": k, "left_fp": a, "right_fp": b})
+                every = _masked(mix(hashes), bits).view(np.int64)
+                columns = [*batch.slice(first, end - first).columns, pa.array(cuts, _CUTS), pa.array(every)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "cuts", "every"])
+
+    return in_arrow(phrases, split, f"{kept}, cuts array<struct<k:int,left_fp:long,right_fp:long>>, every long")
+
+
+_CUTS = pa.list_(pa.struct([("k", pa.int32()), ("left_fp", pa.int64()), ("right_fp", pa.int64())]))
 
 
 def _looked_up(rows: DataFrame, counts: DataFrame, sizes: Column, fp: str, phrase: Column, name: str) -> DataFrame:
@@ -269,6 +279,24 @@ def exact(c: str) -> Column:
     return F.col(c).cast("decimal(15,0)")
 
 
+def not_below_top(scored: DataFrame, top: int) -> DataFrame:
+    """The rows that may be among the first ``top`` of their language.
+
+    A language's scores are counted in a thousand steps; rows of the steps below the one that holds the row of rank
+    ``top`` go before anything is sorted.  Of the others each part of a language keeps its first ``top``.
+    """
+    at = F.floor(F.col("score") / (SCALE // 1000)).cast("int")
+    held = scored.groupBy("lang", at.alias("at")).count()
+    above = F.sum("count").over(Window.partitionBy("lang").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1))
+    lowest = held.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < top)
+    lowest = lowest.groupBy(F.col("lang").alias("_lang")).agg(F.min("at").alias("_least"))
+    kept = scored.join(lowest, (F.col("lang") == F.col("_lang")) & (at >= F.col("_least"))).drop("_lang", "_least")
+    parts = shuffle_partitions(scored.sparkSession)
+    kept = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    order = Window.partitionBy("lang", "part").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    return kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("part", "rank")
+
+
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int | None = TOP,
          bits: int = 64, longest: int = LONGEST) -> DataFrame:
     """Per language the phrases by score: lang, rank, phrase, a, l, r, n, score.
@@ -294,8 +322,9 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     phrases = written(parts_of(phrases.select("size", "fp", "lang", "phrase", "f"), bits), "phrases")
     counts = written(counts, "phrase-counts")
     cut = phrases.select("lang", "phrase", "every", "size", F.col("f").alias("a"), F.explode("cuts").alias("c")).select("*", "c.*").drop("c")
-    cut = _looked_up(cut, counts, F.col("k"), "left_fp", F.col("left"), "l")
-    cut = _looked_up(cut, counts, F.col("size") - F.col("k"), "right_fp", F.col("right"), "r")
+    split, k = F.split("phrase", " "), F.col("k")
+    cut = _looked_up(cut, counts, k, "left_fp", F.array_join(F.slice(split, F.lit(1), k), " "), "l")
+    cut = _looked_up(cut, counts, F.col("size") - k, "right_fp", F.array_join(F.slice(split, k + 1, F.size(split)), " "), "r")
     score = (F.lit(SCALE).cast("decimal(7,0)") * (exact("a") * exact("a")))
     cut = cut.withColumns({"above": score, "below": exact("l") * exact("r")}).withColumn("score", F.expr("above div below"))
     best = cut.groupBy("lang", "phrase", "every").agg(
@@ -307,12 +336,10 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     inner = inner.select("lang", F.explode(sizes).alias("phrase"), "longer").groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     best = best.join(inner, ["lang", "phrase"], "left").where(
         F.coalesce(100 * F.col("longer") < SHARE_PCT * F.col("a"), F.lit(True)))
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    if top:  # the first of each part of a language, then the first of those
-        parts = shuffle_partitions(docs.sparkSession)
-        best = best.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
-        best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
-    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    best = written(best, "phrases-scored")
+    if top:
+        best = not_below_top(best, top)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))))
     best = written(best.where(F.col("rank") <= top) if top else best, "phrases-ranked")
     best = _looked_up(best, counts, F.lit(1), "every", F.lit(""), "n")
     return best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
