@@ -21,20 +21,36 @@ def _located(kind: str, regex: str, group: int, least: int) -> str:
       where length(val) >= {least}"""
 
 
+def _blanked(text: str, regex: str, group: int, least: int) -> str:
+    r = quoted(regex)
+    mark = f"case when length(vals[i]) >= {least} then repeat(' ', length(hits[i])) else hits[i] end"
+    return f"""select doc_id, array_to_string(list_transform(generate_series(1, len(gaps)),
+        lambda i: gaps[i] || coalesce({mark}, '')), '') t from (select doc_id, string_split_regex(t, {r}) gaps,
+        regexp_extract_all(t, {r}, 0) hits, regexp_extract_all(t, {r}, {group}) vals from {text})"""
+
+
 def _secrets() -> str:
     base = "\n union all ".join(_located(k, secrets.pattern(k), g, n) for k, (_, g, n) in secrets.BASE.items())
+    kinds = [*((secrets.pattern(k), g, n) for k, (_, g, n) in secrets.BASE.items()), (secrets.RULER, 0, 0)]
+    rest = ",\n    ".join(f"rest{i} as ({_blanked(f'rest{i - 1}' if i else 'texts', *kind)})" for i, kind in enumerate(kinds))
     allowed = " or ".join(f"regexp_matches(run, {quoted(a)})" for a in secrets.ALLOWED)
+    parts = f"string_split_regex(regexp_replace(run, {quoted(secrets.UUID)}, '', 'g'), '[/_+-]+')"
+    wordy = f"""len(list_filter({parts}, lambda x: length(x) > {secrets.LONGEST_PART}
+        or not regexp_matches(x, {quoted(secrets.PATH_PART)}))) = 0"""
     least = "case " + " ".join(f"when regexp_matches(run, {quoted(c)}) then {b}" for c, b in secrets.CLASSES) + " end"
     w = secrets.WINDOW
     name = "[" + ", ".join(quoted(k) for k in secrets.KINDS) + "][k + 1]"
     listed = f"string_agg({name} || ':' || s || ':' || e, ',' order by s, k)"
+    runs = _located("entropy", secrets.RUN, 0, 0).replace("from texts", f"from rest{len(kinds) - 1}").replace(
+        "hit run from (", "hit run, after from (", 1).replace("vals[i] val,", "vals[i] val, gaps[i + 1] after,")
     return f"""
     with texts as (select doc_id, coalesce(text, '') t from documents),
     base as ({base}),
-    runs as ({_located("entropy", secrets.CANDIDATE, 0, 0)}),
+    {rest},
+    runs as ({runs}),
     varied as (
       select doc_id, k, s, e from runs r where not ({allowed})
-      and not exists (select 1 from base b where b.doc_id = r.doc_id and b.s < r.e and r.s < b.e)
+      and not ((starts_with(after, '=') or regexp_matches(run, {quoted(secrets.PATH_LIKE)})) and {wordy})
       and list_max(list_transform(generate_series(1, length(run) - {w - 1}),
           lambda i: round(list_aggregate(string_split(substr(run, i, {w}), ''), 'entropy'), 9))) >= {least}),
     spans as (select doc_id, k, s, e from base union all select * from varied),
@@ -84,9 +100,10 @@ def _rules() -> str:
     moments as (select avg(k / n) m, var_pop(k / n) v, avg(1.0::double / n) inv from hosts),
     prior as (select m, case when m * (1 - m) > 0 then
         greatest(m * (1 - m) / greatest(v - m * (1 - m) * inv, m * (1 - m) / 1e6::double) - 1, 1.0) else 1.0 end z from moments),
-    rates as (select source, (k + m * z) / (n + z) rate from hosts, prior)
+    rates as (select source, (k + m * z) / (n + z) rate, least(greatest({q.LOWEST_LIMIT}, {q.FAR} * m,
+        m + {q.FAR} * sqrt(m * (1 - m) / (z + 1))), {q.HIGHEST_LIMIT}) lim from hosts, prior)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(rate, 9) host_rate,
-      not base_failed and coalesce(rate, 0) < {q.HOST_LIMIT} kept
+      not base_failed and coalesce(round(rate, 9) < round(lim, 9), true) kept
     from judged left join rates using (source)"""
 
 

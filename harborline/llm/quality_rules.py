@@ -1,8 +1,9 @@
 """Rules for single texts, and a verdict per host from the failures of its documents.
 
 A document fails by its own text (too few words, or too much of it in repeated windows).  Hosts differ in size, so
-their failure rates are shrunk towards a beta prior fitted to all hosts by moments; a host whose shrunk rate is at
-least ``host_limit`` loses all its documents.
+their failure rates are shrunk towards a beta prior fitted to all hosts by moments.  A host whose shrunk rate is far
+above the others loses all its documents: at least FAR times the prior's mean and FAR of its standard deviations above
+it, not below LOWEST_LIMIT, and never above HIGHEST_LIMIT.
 
 Rows: a NULL or empty text has no words and fails; a NULL host is judged by the document's own rules only; repeated
 rows count each; an empty table gives no rows; extra columns are not carried.
@@ -10,6 +11,8 @@ rows count each; an empty table gives no rows; extra columns are not carried.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +20,8 @@ from harborline.llm.common import SPACES, written
 
 SYMBOLS = "#*$%&|<>"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
-MIN_WORDS, MAX_REPEAT_PCT, HOST_LIMIT = 50, 50, 0.9
+MIN_WORDS, MAX_REPEAT_PCT = 50, 50
+FAR, LOWEST_LIMIT, HIGHEST_LIMIT = 3, 0.3, 0.9  # of the limit for hosts
 
 
 def words(text: Column) -> Column:
@@ -60,7 +64,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def host_rates(judged: DataFrame, host: str = "source") -> DataFrame:
-    """Per host: documents n, failures k, and the rate shrunk towards the beta prior of all hosts.
+    """Per host: documents n, failures k, the rate shrunk towards the beta prior of all hosts, and the limit for it.
 
     The prior has the mean of the host rates and, by moments, their variance less what chance alone explains; hosts
     that agree better than chance give the strongest prior (``1e6`` documents).  Its two numbers are fetched by a job.
@@ -73,11 +77,12 @@ def host_rates(judged: DataFrame, host: str = "source") -> DataFrame:
     spread = mean * (1 - mean)
     if spread > 0:
         size = max(spread / max(found["var"] - spread * found["inverse"], spread / 1e6) - 1, 1.0)
-    return hosts.select("host", "n", "k", ((F.col("k") + F.lit(mean * size)) / (F.col("n") + F.lit(size))).alias("rate"))
+    limit = min(max(LOWEST_LIMIT, FAR * mean, mean + FAR * math.sqrt(spread / (size + 1))), HIGHEST_LIMIT)
+    return hosts.select("host", "n", "k", ((F.col("k") + F.lit(mean * size)) / (F.col("n") + F.lit(size))).alias("rate"),
+                        F.lit(limit).alias("limit"))
 
 
-def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-          host_limit: float = HOST_LIMIT) -> DataFrame:
+def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """Per row: key, the measures, base_failed, host_rate and kept.
 
     The measured rows are written once; hosts are aggregated from them before the shuffle and joined back, the side
@@ -86,7 +91,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = measures(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(host).alias("host")), "text")
     judged = written(judged.select("key", "host", *names), "quality-rules")
-    rates = written(host_rates(judged, "host"), "host-rates").withColumnRenamed("host", "_host").select("_host", "rate")
+    rates = written(host_rates(judged, "host"), "host-rates").withColumnRenamed("host", "_host").select("_host", "rate", "limit")
     out = judged.join(rates, judged["host"] == rates["_host"], "left")
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("rate"), F.lit(0.0)) < host_limit)
+    kept = ~F.col("base_failed") & F.coalesce(F.round("rate", 9) < F.round("limit", 9), F.lit(True))
     return out.select(F.col("key").alias(key), *names, F.round("rate", 9).alias("host_rate"), kept.alias("kept"))

@@ -1,7 +1,9 @@
 """Secrets in whole texts: three fixed patterns, and strings of high entropy.
 
-Everything is Spark SQL: a text is split at its matches, so that the running sum of the lengths of gaps and matches
-gives each span in code points; entropy is followed along a window by counts that change by one character in and one out.
+Everything is Spark SQL.  A text is split at its matches, so that running sums of the lengths of gaps and matches give
+each span in code points; sums are made in lots of LOT matches, so a text with very many takes time in proportion.  Then
+the base matches and rulers are blanked, kind by kind, and what is left of key-like runs is judged run by run: entropy is
+followed along a window by counts that change by one character in and one out.
 
 Rows: a NULL or empty text has no spans; repeated rows and ties give the same spans each; extra columns stay as they
 are, whatever their names.
@@ -19,20 +21,19 @@ BASE = {
     "access": ("AKIA[A-Z0-9]+", 0, 20),
     "hex": ("[0-9a-f]{24,}", 0, 24),  # runs are maximal, so shorter ones need not be matched first
 }
-# What entropy looks at: runs of key-like characters, judged by the narrowest class that holds the whole run.
-CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+# What entropy looks at: key-like runs between '=', base matches and rulers, judged by the narrowest class that holds the run.
+RUN = "[A-Za-z0-9+/_-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 CLASSES = [("^[0-9A-Fa-f]+$", 3.0), ("^[0-9A-Za-z]+$", 3.6), ("", 3.8)]  # bits per character that a window must reach
-ALLOWED = ["^[0-9]+$", "^[A-Za-z]+$", "(?i)example|sample|placeholder|dummy|x{6}|0123456789|abcdefgh",
-           "^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$", "^[/_=+-]|//|--|=[^=]"]
-# A candidate is judged in pieces: '=' ends a name or pads the end, and base spans and rulers cut.  The last allow rule, on
-# whole candidates, is that of the SQL only; here a piece that it would drop must consist of words, as paths do.
-PIECE = r"(?=[A-Za-z0-9+/_=-]{20})[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?"
-LEAST_PIECE = 20
-RULER = r"([/_+-])\1{3,}"
+UUID = "[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}"
+ALLOWED = ["^[0-9]+$", "^[A-Za-z]+$", "(?i)example|sample|placeholder|dummy|x{6}|0123456789|abcdefgh", f"^{UUID}$"]
+RULER = r"/{4,}|_{4,}|\+{4,}|-{4,}"
+# A run that '=' follows may be the name of a value, and one with these signs a path: both are allowed if they consist of words.
 PATH_LIKE = "^[/_+-]|//|--"
 PATH_PART = "^(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+){0,8}[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+)?$"
+LONGEST_PART = 40
+LOT = 512
 KINDS = [*BASE, "entropy"]
 SPAN = "array<struct<start:int,k:int,end:int>>"
 
@@ -45,18 +46,52 @@ def pattern(kind: str) -> str:
     return BASE[kind][0].replace("{keywords}", any_case(KEYWORDS))
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is looked at."""
+    return F.transform(F.array(value), use)[0]
+
+
 def located(text: Column, regex: str, kind: int) -> Column:
     """Spans of all leftmost, non-overlapping matches."""
-    found = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    gaps = F.split(text, regex, -1)
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found,
-                       lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    walk = F.aggregate(steps, start, lambda acc, s: F.struct(
-        (acc.at + s.gap + s.hit).alias("at"),
-        F.concat(acc.out, F.array(F.struct((acc.at + s.gap).alias("start"), F.lit(kind).alias("k"),
-                                           (acc.at + s.gap + s.hit).alias("end")))).alias("out")), lambda acc: acc.out)
-    return F.when(F.size(found) > 0, walk).otherwise(F.array().cast(SPAN))
+    none = F.array().cast(SPAN)
+    matched = F.struct(F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("hits"), F.split(text, regex, -1).alias("gaps"))
+
+    def sized(m: Column) -> Column:
+        return F.zip_with(F.slice(m.gaps, F.lit(1), F.size(m.hits)), m.hits, lambda gap, hit: F.struct(
+            F.length(gap).alias("gap"), F.length(hit).alias("hit")))
+
+    def lots(steps: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / LOT).cast("int")), lambda i: F.slice(steps, i * LOT + 1, LOT))
+
+    def placed(parts: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,lot:array<struct<gap:int,hit:int>>>>").alias("out"))
+        return F.aggregate(parts, begin, lambda acc, lot: F.struct(
+            F.aggregate(lot, acc.at, lambda sum_, s: sum_ + s.gap + s.hit).alias("at"),
+            F.concat(acc.out, F.array(F.struct(acc.at.alias("at"), lot.alias("lot")))).alias("out")), lambda acc: acc.out)
+
+    def spans(part: Column) -> Column:
+        begin = F.struct(part.at.alias("at"), none.alias("out"))
+        return F.aggregate(part.lot, begin, lambda acc, s: F.struct(
+            (acc.at + s.gap + s.hit).alias("at"),
+            F.concat(acc.out, F.array(F.struct((acc.at + s.gap).alias("start"), F.lit(kind).alias("k"),
+                                               (acc.at + s.gap + s.hit).alias("end")))).alias("out")), lambda acc: acc.out)
+
+    whole = bound(matched, lambda m: bound(sized(m), lambda steps: F.when(F.size(steps) > 0, F.flatten(
+        F.transform(placed(lots(steps)), spans))).otherwise(none)))
+    return F.when(text.rlike(regex), whole).otherwise(none)
+
+
+def blanked(text: Column, regex: str, group: int = 0, least: int = 0) -> Column:
+    """The text with blanks in place of its matches, those whose group is long enough."""
+    matched = F.struct(F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("hits"), F.split(text, regex, -1).alias("gaps"),
+                       F.regexp_extract_all(text, F.lit(regex), F.lit(group)).alias("values"))
+
+    def covered(m: Column) -> Column:
+        marks = F.zip_with(m.hits, m["values"], lambda hit, value: F.when(
+            F.length(value) >= least, F.repeat(F.lit(" "), F.length(hit))).otherwise(hit))
+        return F.array_join(F.zip_with(m.gaps, marks, lambda gap, mark: F.concat(gap, F.coalesce(mark, F.lit("")))), "")
+
+    return F.when(text.rlike(regex), bound(matched, covered)).otherwise(text)
 
 
 def base_spans(text: Column, kind: str) -> Column:
@@ -101,8 +136,8 @@ def peak_entropy(run: Column) -> Column:
 
 def of_words(run: Column) -> Column:
     """Whether a run consists of words, numbers and UUIDs between '/', '_', '+' and '-', as paths and names do."""
-    parts = F.split(F.regexp_replace(run, ALLOWED[3].strip("^$"), ""), "[/_+=-]+")
-    return F.forall(parts, lambda part: (F.length(part) <= 40) & part.rlike(PATH_PART))
+    parts = F.split(F.regexp_replace(run, UUID, ""), "[/_+-]+")
+    return F.forall(parts, lambda part: (F.length(part) <= LONGEST_PART) & part.rlike(PATH_PART))
 
 
 def looks_random(run: Column, named: Column) -> Column:
@@ -114,34 +149,19 @@ def looks_random(run: Column, named: Column) -> Column:
     for regex, bits in reversed(CLASSES[:-1]):
         least = F.when(run.rlike(regex), F.lit(bits)).otherwise(least)
     allowed = F.lit(False)
-    for regex in ALLOWED[:-1]:
+    for regex in ALLOWED:
         allowed = allowed | run.rlike(regex)
     allowed = allowed | ((named | run.rlike(PATH_LIKE)) & of_words(run))
     return F.when(allowed, F.lit(False)).otherwise(F.round(peak_entropy(run), 9) >= least)
 
 
-def outside(span: Column, cuts: Column) -> Column:
-    """The parts of a span that no cut (sorted by start) overlaps."""
-    start = F.struct(span.start.alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def upto(acc: Column, end: Column) -> Column:
-        part = F.struct(acc.at.alias("start"), span.k.alias("k"), end.alias("end"))
-        return F.when(end > acc.at, F.concat(acc.out, F.array(part))).otherwise(acc.out)
-
-    return F.aggregate(F.filter(cuts, lambda b: (b.start < span.end) & (span.start < b.end)), start, lambda acc, b: F.struct(
-        F.greatest(acc.at, b.end).alias("at"), upto(acc, b.start).alias("out")), lambda acc: upto(acc, span.end))
-
-
-def entropy_spans(text: Column, cuts: Column) -> Column:
-    """Spans of pieces, or what the cuts leave of them, that look random; cuts are sorted by start."""
-    runs = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
-    after = F.slice(F.split(text, PIECE, -1), F.lit(2), F.size(runs))
-    runs = F.zip_with(runs, after, lambda run, gap: F.struct(run.alias("run"), gap.startswith("=").alias("named")))
-    spans = located(text, PIECE, KINDS.index("entropy"))
-    kept = F.zip_with(spans, runs, lambda s, r: F.filter(outside(s, cuts), lambda part: F.when(
-        part.end - part.start >= LEAST_PIECE, looks_random(
-            F.substring(r.run, part.start - s.start + 1, part.end - part.start), r.named & (part.end == s.end))).otherwise(F.lit(False))))
-    return F.when(text.rlike(PIECE), F.flatten(kept)).otherwise(F.array().cast(SPAN))
+def entropy_spans(rest: Column) -> Column:
+    """Spans of the runs that look random in a text without its base matches and rulers."""
+    runs = F.regexp_extract_all(rest, F.lit(RUN), F.lit(0))
+    after = F.slice(F.split(rest, RUN, -1), F.lit(2), F.size(runs))
+    found = F.zip_with(runs, after, lambda run, gap: looks_random(run, gap.startswith("=")))
+    spans = F.zip_with(located(rest, RUN, KINDS.index("entropy")), found, lambda s, fine: F.when(fine, s))
+    return F.when(rest.rlike(RUN), F.filter(spans, lambda s: s.isNotNull())).otherwise(F.array().cast(SPAN))
 
 
 def listed(spans: Column) -> Column:
@@ -158,22 +178,50 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     whole = F.coalesce("whole", F.lit(""))
     for kind in BASE:
         docs = docs.withColumn(f"_{kind}", base_spans(whole, kind))
-    docs = docs.select("row", "whole", F.concat(*[F.col(f"_{kind}") for kind in BASE]).alias("base"))
-    rulers = F.when(whole.rlike(RULER), located(whole, RULER, len(KINDS))).otherwise(F.array().cast(SPAN))
-    docs = docs.select("row", "whole", "base", F.array_sort(F.concat("base", rulers)).alias("cuts"))
-    return docs.select("row", "whole", F.array_sort(F.concat("base", entropy_spans(whole, F.col("cuts")))).alias("found"))
+    rest = whole
+    for kind, (_, group, least) in BASE.items():
+        rest = blanked(rest, pattern(kind), group, least)
+        docs = docs.withColumn("rest", rest)
+        rest = F.col("rest")
+    docs = docs.withColumn("rest", blanked(rest, RULER))
+    docs = docs.withColumn("found", F.array_sort(F.concat(*[F.col(f"_{kind}") for kind in BASE], entropy_spans(F.col("rest")))))
+    return docs.select("row", "whole", "found")
+
+
+def merged(spans: Column) -> Column:
+    """Sorted spans as lots of intervals that do not overlap, with the end of the lot before."""
+    lots = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / LOT).cast("int")), lambda i: F.slice(spans, i * LOT + 1, LOT))
+    kind = "array<struct<start:int,end:int>>"
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<at:int,all:{kind},end:int>>").alias("out"))
+
+    def lot(acc: Column, part: Column) -> Column:
+        start = F.struct(acc.at.alias("at"), F.array().cast(kind).alias("out"))
+        inner = F.aggregate(part, start, lambda a, s: F.when(s.end <= a.at, a).otherwise(F.struct(
+            s.end.alias("at"), F.concat(a.out, F.array(F.struct(F.greatest(s.start, a.at).alias("start"), s.end.alias("end")))).alias("out"))))
+        return bound(inner, lambda x: F.struct(x.at.alias("at"), F.concat(acc.out, F.array(F.struct(
+            acc.at.alias("at"), x.out.alias("all"), x.at.alias("end")))).alias("out")))
+
+    return F.aggregate(lots, begin, lot, lambda acc: acc.out)
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The same rows with every span of the text replaced by a mark; overlapping spans become one mark."""
+    """The same rows with every span of the text replaced by a mark; what two spans share gets the mark of the first."""
     whole = F.col("whole")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cut = F.aggregate("found", start, lambda acc, s: F.when(s.start >= acc.at, F.struct(
-        s.end.alias("at"), F.concat(acc.out, F.substring(whole, acc.at + 1, s.start - acc.at), F.lit(mark)).alias("out"))
-    ).otherwise(F.struct(F.greatest(acc.at, s.end).alias("at"), acc.out.alias("out"))), lambda acc: F.concat(
-        acc.out, F.substring(whole, acc.at + 1, F.length(whole))))
-    cleaned = F.when(F.size("found") > 0, cut).otherwise(whole)
-    return scan(docs, text).select(*[(cleaned if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+    def cleaned(part: Column) -> Column:
+        """The text of a lot, from the end of the one before: cut out once, then cut at its intervals."""
+        piece = F.substring(whole, part.at + 1, part.end - part.at)
+        return bound(piece, lambda body: F.aggregate(
+            part.all, F.struct(part.at.alias("at"), F.array().cast("array<string>").alias("out")), lambda acc, s: F.struct(
+                s.end.alias("at"), F.concat(acc.out, F.array(
+                    F.substring(body, acc.at - part.at + 1, s.start - acc.at),
+                    F.when((s.start > acc.at) | (acc.at == 0), F.lit(mark)).otherwise(F.lit("")))).alias("out")),
+            lambda acc: F.array_join(acc.out, "")))
+
+    parts = bound(merged(F.col("found")), lambda lots: F.concat(
+        F.array_join(F.transform(lots, cleaned), ""), F.substring(whole, F.element_at(lots, -1).end + 1, F.length(whole))))
+    out = F.when(F.size("found") > 0, parts).otherwise(whole)
+    return scan(docs, text).select(*[(out if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def of_kind(kind: int):
