@@ -67,7 +67,8 @@ def ship_code(spark: SparkSession) -> None:
 def in_arrow(df: DataFrame, function, schema) -> DataFrame:
     """mapInArrow with this package at hand in the tasks, and in batches of BATCH_BYTES at most.
 
-    The size of batches is a setting of the session; it is lowered, since texts are long, and never raised.
+    The size of batches is a setting of the session; it is lowered, since texts are long, and never raised, and it stays
+    lowered: the frame that is returned runs later, and reads the setting then.
     """
     ship_code(df.sparkSession)
     conf, setting = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -76,28 +77,34 @@ def in_arrow(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is not among those of ``gone`` (a written table with the one column ``_gone``).
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """row (all columns as a struct) and key (a number of its own for every row), written: ids may repeat or lack, and
+    columns may have any name."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return written(docs.select(row, F.monotonically_increasing_id().alias("key")), label)
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows (of ``numbered``, as they were before) whose key is not in ``gone`` (a written table with the column key).
 
     Rows outside a bitmap of fixed size stay where they are; only the others, the gone ones and a few beside them, are
-    shuffled for the exact join.  A NULL key stays.
+    shuffled for the exact join.
     """
     import pandas as pd  # only here: the tasks of the other operators do without it
 
     spark = rows.sparkSession
     ship_code(spark)
-    bits = spark.sparkContext.broadcast(bitmap(gone, F.xxhash64("_gone")))
+    bits = spark.sparkContext.broadcast(bitmap(gone, F.xxhash64("key")))
 
     def may_be_gone(hashes: pd.Series) -> pd.Series:
         return pd.Series(bitmap_hits(bits.value, hashes.to_numpy(np.int64).view(np.uint64)))
 
     may_be_gone.__annotations__ = {"hashes": pd.Series, "return": pd.Series}
     may_be_gone = F.pandas_udf(may_be_gone, "boolean")
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    marked = rows.select(*columns, may_be_gone(F.xxhash64(F.col(f"`{key}`"))).alias("_may_be_gone"))
-    stay = marked.where(~F.col("_may_be_gone")).select(*columns)
-    rest = marked.where("_may_be_gone").join(gone, marked[key] == gone["_gone"], "left_anti").select(*columns)
-    return stay.union(rest)
+    marked = rows.select("row", "key", may_be_gone(F.xxhash64("key")).alias("maybe"))
+    rest = marked.where("maybe").join(gone.select("key"), "key", "left_anti")
+    kept = marked.where("NOT maybe").select("row").union(rest.select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in rows.schema["row"].dataType.names])
 
 
 def sampled(rows: DataFrame, key: str, group: str, per_group: int) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import bitmap, bitmap_hits, in_arrow, without, written
+from harborline.llm.common import bitmap, bitmap_hits, in_arrow, numbered, without, written
 from harborline.llm.shingles import chunks, mix, powers, word_hashes
 
 WINDOW, SHORTEST, LEAST_COVER = 8, 4, 0.5
@@ -246,6 +246,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that no benchmark item contaminates; a document without id stays."""
-    found = written(contaminated(docs, benchmark, literal=True, least_run=LEAST_RUN).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
-    return without(docs, found, "doc_id")
+    """The rows that no benchmark item contaminates, whatever ids they have."""
+    rows = numbered(docs, "decontamination-input")
+    texts = rows.select(F.col("key").alias("doc_id"), F.col("row").getField("text").alias("text"))
+    found = contaminated(texts, benchmark, literal=True, least_run=LEAST_RUN).select(F.col("doc_id").alias("key")).distinct()
+    return without(rows, written(found, "contaminated"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import bitmap, bitmap_hits, in_arrow, shuffle_partitions, without, written
+from harborline.llm.common import bitmap, bitmap_hits, in_arrow, shuffle_partitions, numbered, without, written
 from harborline.llm.components import components
 from harborline.llm.shingles import mix, set_id, shingle_sets
 
@@ -586,6 +586,8 @@ def near_components(docs: DataFrame, cells: int = CELLS, split_class: int = SPLI
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """The documents that name their component, and those without an id."""
-    copies = near_components(docs).where(F.col("component_id") != F.col("doc_id"))
-    return without(docs, written(copies.select(F.col("doc_id").alias("_gone")).distinct(), "near-copies"), "doc_id")
+    """The first row of each component, whatever ids the rows have."""
+    rows = numbered(docs, "near-join-input")
+    found = near_components(rows.select(F.col("key").alias("doc_id"), F.col("row").getField("text").alias("text")))
+    copies = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("key"))
+    return without(rows, written(copies, "near-copies"))

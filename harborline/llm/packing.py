@@ -5,7 +5,7 @@ is dealt into groups of bounded size by hash; in a group the pieces go, longest
 fill most tightly.  That sequence is found in a segment tree over remaining capacity.
 
 Rows: a NULL or empty text is its end token alone; repeated rows are packed each; an empty table gives no rows; ties
-are taken by document and start; extra columns are not carried.
+are taken by document, start and row; extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ SEQUENCE = 1024
 GROUP_ROWS = 50_000
 LONG_RUN = 20_000  # texts with longer unbroken runs go to the slower library, whose merges stay cheap there
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+ROW = "row long"  # which input row a piece is of; ids may repeat or lack
 _encoders: dict[str, object] = {}
 
 
@@ -65,20 +66,21 @@ def pieces_of(doc_id, ids: np.ndarray, size: int) -> Iterator[tuple]:
 
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int, size: int) -> DataFrame:
-    """The pieces of all documents: whole texts to ids, the end id after each."""
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
+    """The pieces of all documents with the number of their row: whole texts to ids, the end id after each."""
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "row")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text, row in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 ids = np.array([*encode(text.as_py() or ""), end_id], "<u4")
-                rows.extend(pieces_of(doc_id, ids, size))
-            columns = list(zip(*rows)) or [()] * 5
+                rows.extend((*piece, row) for piece in pieces_of(doc_id, ids, size))
+            columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), cut, PIECE)
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id().alias("row"))
+    return in_arrow(docs, cut, f"{PIECE}, {ROW}")
 
 
 class Capacities:
@@ -139,14 +141,14 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k", end_id: int = 0, siz
     """
     pieces = written(tokenized(docs, vocabulary, end_id, size), "pieces")
     groups = max(1, -(-pieces.count() // group_rows))
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("row", "start"), F.lit(groups)))
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
+        group = group.sort_values(["length", "doc_id", "start", "row"], ascending=[False, True, True, True], kind="stable")
         sequence, offset = best_fit(group["length"].to_numpy(), size)
         filled = np.bincount(sequence, group["length"].to_numpy()).astype(np.int64)
         padding = np.where(filled & (filled - 1), size - filled, 0)  # a power of two is left as it is
-        return group.drop(columns="part").assign(
+        return group.drop(columns=["part", "row"]).assign(
             sequence_id=(group["part"].to_numpy() << 32) + sequence, offset=offset, padding=padding[sequence])
 
     return pieces.groupBy("part").applyInPandas(place, f"{PIECE}, sequence_id long, offset long, padding long")

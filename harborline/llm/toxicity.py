@@ -3,7 +3,8 @@
 A word enters as an embedding of the word, if the vocabulary has it, and hashed embeddings of its character
 trigrams.  The vocabulary holds the words that several documents of the training sample share, so that a rare word is
 known by its characters only and labels cannot be memorised by it; in training some words are hidden for the same end.
-The network reads windows of WINDOW words that overlap; a document's score is that of its most toxic window, over the whole
+The network reads windows of WINDOW words, one every STRIDE words, so that a passage of up to WINDOW - STRIDE words
+lies whole in one of them; a document's score is that of its most toxic window, over the whole
 text.  It is trained the same way: in every epoch the window of a document that scores highest carries its label.
 
 Rows: a NULL text, or one without words, scores 0; repeated rows score alike; repeated labels count each; with fewer
@@ -12,8 +13,10 @@ than two labelled classes every score is the share of toxic rows; extra columns
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +26,13 @@ from pyspark.sql import functions as F
 from harborline.llm.common import in_arrow, sampled
 from harborline.llm.shingles import chunks, word_hashes, words
 
-WINDOW, STRIDE = 64, 48
+WINDOW, STRIDE = 64, 32
 VOCABULARY, LEAST_DOCS, HIDDEN_WORDS = 8000, 4, 0.3  # words at most, documents a word is in, share hidden in training
 CHAR_BITS, WIDTH, HIDDEN, ATTENTION = 15, 10, 8, 8
-SAMPLE_PER_CLASS, SAMPLE_CHARS = 1500, 6000  # bounds of the training sample: rows of a class, characters of a row
+# Bounds of the training sample: rows of a class, windows of a row, letters of a word.
+SAMPLE_PER_CLASS, SAMPLE_WINDOWS, SAMPLE_LETTERS = 1500, 48, 64
 EPOCHS, BATCH, RATE, DECAY, SEED = 14, 48, 0.02, 0.02, 7
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _START, _END = np.uint32(94), np.uint32(36)
@@ -256,15 +261,33 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     return net
 
 
+def excerpt(text: str, seed: int) -> str:
+    """The text, or of a text of more than SAMPLE_WINDOWS windows that many, drawn over all of it, one after the other."""
+    found = [word[:SAMPLE_LETTERS] for word in WORD.findall(text)]
+    if len(found) <= SAMPLE_WINDOWS * WINDOW:
+        return " ".join(found)
+    rng = np.random.default_rng(seed)
+    first = int(rng.integers(WINDOW))  # so that no place is always a seam
+    drawn = np.sort(rng.permutation((len(found) - first) // WINDOW)[:SAMPLE_WINDOWS])
+    return " ".join(" ".join(found[first + i * WINDOW:first + (i + 1) * WINDOW]) for i in drawn.tolist())
+
+
 def learn(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic",
           per_class: int = SAMPLE_PER_CLASS) -> Network | float:
-    """Trains on a bounded sample: of each class the ``per_class`` rows with the smallest id hash, among the labelled
-    rows of at most SAMPLE_CHARS characters.  With one class or none: the share of class 1."""
+    """Trains on a bounded sample: of each class the ``per_class`` rows with the smallest id hash, of any length, with an
+    excerpt of the long ones.  With one class or none: the share of class 1."""
     marked = labels.where(F.col(label).isin(0, 1) & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
-    short = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id").join(marked, "doc_id")
-    picked = F.broadcast(sampled(short, "doc_id", "label", per_class))  # 2 * per_class ids at most
-    sample = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(picked, "doc_id")
-    rows = sorted((r.doc_id, r.text, r.label) for r in sample.collect() if r.text.strip(" \t\n\x0b\x0c\r"))
+    known = docs.where("text IS NOT NULL").select("doc_id").join(marked, "doc_id")
+    picked = F.broadcast(sampled(known, "doc_id", "label", per_class))  # 2 * per_class ids at most
+    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(picked, "doc_id").select("doc_id", "text", "label")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            cuts = pa.array([excerpt(t, crc32(str(i).encode())) for i, t in zip(ids, texts)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), cuts, batch.column(2)], names=["doc_id", "text", "label"])
+
+    rows = sorted((r.doc_id, r.text, r.label) for r in in_arrow(sample, cut, sample.schema).collect() if r.text)
     if len({r[2] for r in rows}) < 2:
         return float(np.mean([r[2] for r in rows])) if rows else 0.0
     return train([r[1] for r in rows], [r[2] for r in rows])

@@ -88,7 +88,7 @@ def test_entry_point_lives_without_this_folder(tmp_path):
                "class Gone:\n"
                "    def find_spec(self, name, *a):\n"
                "        if name.startswith('harborline.llm') or name == 'corpus_pipeline':\n"
-               "            raise ModuleNotFoundError(name)\n"
+               "            raise ModuleNotFoundError(name, name=name)\n"
                "sys.meta_path.insert(0, Gone())\n"
                f"sys.path.insert(0, {str(tmp_path)!r})\n"
                f"sys.path.insert(0, {str(package)!r})\n"

@@ -13,8 +13,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from harborline.llm import decontaminate, language_id, packing, quality_model, toxicity
-from harborline.llm.common import bitmap, bitmap_hits, sampled, without
+from harborline.llm import decontaminate, language_id, near_join, packing, quality_model, toxicity
+from harborline.llm.common import bitmap, bitmap_hits, numbered, sampled, without
 from harborline.llm.queries import fold
 
 DOCS = "doc_id long, text string"
@@ -260,11 +260,32 @@ def test_bitmap_loses_nothing(spark):
     assert not bitmap_hits(bitmap(ids.limit(0), F.xxhash64("id")), hashes).any()
 
 
-def test_without_is_an_anti_join(spark):
-    rows = spark.createDataFrame([(i if i % 5 else None, i) for i in range(60)], "k long, _gone int")
-    gone = spark.createDataFrame([(i,) for i in range(0, 60, 2)] + [(None,)], "_gone long")
-    got = without(rows, gone, "k").collect()
-    assert sorted(r._gone for r in got) == [i for i in range(60) if i % 5 == 0 or i % 2]
+def test_without_is_an_anti_join_by_row(spark):
+    columns = ["k", "_gone", "_may_be_gone", "row", "key", "a.b"]
+    rows = numbered(spark.range(60).selectExpr("if(id % 5 = 0, null, id) k", "id _gone", "1 _may_be_gone", "2 row", "3 key", "4 `a.b`"), "t")
+    gone = rows.where("row._gone % 2 = 0").select("key")
+    got = without(rows, gone)
+    assert got.columns == columns and sorted(r._gone for r in got.collect()) == list(range(1, 60, 2))
+
+
+def test_rows_without_ids_of_their_own(spark):
+    """Of rows with one text one stays whatever their ids; a benchmark passage goes whatever its id."""
+    text, odd = " ".join(f"q{i}" for i in range(40)), " ".join(f"z{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text), (None, text), (1, odd), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 _gone", "2 _may_be_gone", "3 row", "4 key").repartition(3)
+    kept = near_join.one_per_component(docs)
+    assert kept.columns == docs.columns
+    assert sorted(Counter(r.text for r in kept.collect()).items(), key=str) == sorted({None: 2, text: 1, odd: 1}.items(), key=str)
+    items = spark.createDataFrame([(7, " ".join(f"q{i}" for i in range(5, 35)))], "item_id long, text string")
+    clean = decontaminate.without_contaminated(docs, items)
+    assert clean.columns == docs.columns and sorted((r.text for r in clean.collect()), key=str) == [None, None, odd]
+
+
+def test_packing_groups_rows_without_ids(spark):
+    docs = spark.range(6_000).selectExpr("cast(null as long) doc_id", "'one two three' text", "id row")
+    packed = packing.pack(docs, group_rows=500)
+    groups = {r[0]: r[1] for r in packed.groupBy((F.col("sequence_id") / 2**32).cast("long")).count().collect()}
+    assert len(groups) == 12 and max(groups.values()) < 700 and sum(groups.values()) == 6_000
 
 
 def test_sample_is_bounded_and_even(spark):
@@ -432,3 +453,33 @@ def test_labels_of_held_out_rows_are_not_learned(spark):
     turned.loc[held, "toxic"] = 1 - turned.loc[held, "toxic"]
     scores = [sorted(map(tuple, toxicity.classify(docs, spark.createDataFrame(t), fold(4, 2)).collect())) for t in (labels, turned)]
     assert scores[0] == scores[1]
+
+
+def test_toxicity_learns_from_long_rows_only(spark):
+    """Labels lie on rows of some 4000 words only, the toxic passage anywhere in them; short rows are scored."""
+    rng = random.Random(8)
+    mild = [f"w{i}" for i in range(300)]
+    bad = ["vile", "scum", "trash", "filth", "rotten"]
+
+    def text(n, toxic):
+        out = rng.choices(mild, k=n)
+        for _ in range(max(1, n // 100) if toxic else 0):
+            at = rng.randrange(n)
+            out[at:at] = rng.choices(bad, k=6)
+        return " ".join(out)
+
+    rows = [(i, text(4000, i % 2), i % 2) for i in range(160)] + [(1000 + i, text(40, i % 2), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 1000], "doc_id long, toxic int")
+    score = {r.doc_id: r.score for r in toxicity.classify(docs, labels, fold(4, 2)).collect()}
+    wrong = sum((score[i] >= 0.5) != bool(y) for i, _, y in rows if i >= 1000)
+    assert wrong <= 3
+    assert len(toxicity.excerpt(text(4000, 0), 1).split()) == toxicity.SAMPLE_WINDOWS * toxicity.WINDOW
+    assert toxicity.excerpt("a  b\nc " + "x" * 100, 1) == "a b c " + "x" * toxicity.SAMPLE_LETTERS
+
+
+def test_a_passage_across_any_seam_lies_whole_in_a_window():
+    rows = np.array([0, 500])
+    start, length, _ = toxicity.windows(rows)
+    for at in range(500 - 32):
+        assert any(s <= at and at + 32 <= s + n for s, n in zip(start.tolist(), length.tolist()))
