@@ -9,38 +9,38 @@ id, some SEGMENT ids each, with the code, the document ids and where each docume
 each range.  Both go through Spark's writer, so a lost executor leaves no half-written segment.
 
 Rows: a NULL or empty text is its end id alone; NULL ids come first; repeated ids are stored each, in an order that
-depends on their tokens; a document never spans segments; extra columns are not carried; an empty table gives an empty
+depends on their texts; a document never spans segments; extra columns are not carried; an empty table gives an empty
 store.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harborline.llm.common import in_arrow
-from harborline.operators.ordered import in_ranges
+from harborline.llm.common import in_arrow, shuffle_partitions
 
 SEGMENT = 1 << 18  # ids after which a segment is closed
 BLOCK = 512  # bits between two entries of a rank directory
-CACHED, LONGEST_CACHED = 400_000, 64
+CACHED, LONGEST_CACHED = 600_000, 64
 MAGIC = b"DAC8"
 _encoders: dict[str, Callable] = {}
 
 
-def encoder(name: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids (unsigned 32-bit, as bytes) with a public tokenizer whose tokens end at white space; kept per process.
+def encoder(name: str) -> Callable[[pa.Array], list[bytes]]:
+    """A function from texts to their ids (unsigned 32-bit, as bytes) with a public tokenizer; kept per process.
 
-    White space is dropped and letters are lower-cased by the vocabulary's own rules, and stops after a letter or digit
-    are tokens apart.  So a text is encoded word by word, in lower case and without its last stops, and frequent words
-    only once; tests hold this against encoding texts whole.
+    White space is dropped and letters are lower-cased by the vocabulary's own rules, and symbols after a letter or
+    digit are tokens apart.  So texts are encoded word by word, in lower case, and each word only once while it is remembered;
+    new words of letters alone are one stretch of tokens each and go to the library many at a time.  Tests hold this
+    against encoding texts whole.
     """
     if name not in _encoders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has given the cores out already
@@ -48,28 +48,65 @@ def encoder(name: str) -> Callable[[list[str]], list[bytes]]:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        words, apart = re.compile(r"[^\x20\t\n\r]+").findall, re.compile(r"([^\W_])([.,;:!?]+)(?![^\x20\t\n\r])").sub
-        as_it_is = re.compile(r"<\||[\u0300-\u036f]").search  # special tokens; marks that join the letter before
-        lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-        known: dict[str, bytes] = {}
-
-        def plain(text: str) -> str:
-            return text if as_it_is(text) else apart(r"\1 \2", text.encode().translate(lower).decode())
-
-        def encode(texts: list[str]) -> list[bytes]:
-            parts = [words(plain(text)) for text in texts]
+        suffix = whole.model.end_of_word_suffix
+        closes = np.zeros(whole.get_vocab_size(), bool)  # the tokens that end a stretch
+        closes[[i for token, i in whole.get_vocab().items() if token.endswith(suffix)]] = True
+        symbols = bytes(b for b in range(128) if not chr(b).isalnum() and not chr(b).isspace())
+        known: dict[bytes, bytes] = {b"": b""}
+
+        def learn(words: list[bytes]) -> None:
+            for word, found in zip(words, whole.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
+                known[word] = array("I", found.ids).tobytes()
+
+        def learn_letters(words: list[bytes]) -> None:
+            lots = [b" ".join(words[at:at + 64]).decode() for at in range(0, len(words), 64)]
+            found = [array("I", e.ids) for e in whole.encode_batch_fast(lots, add_special_tokens=False)]
+            ids = np.concatenate([np.frombuffer(f, np.uint32) for f in found])
+            ends = np.flatnonzero(closes[ids]) + 1
+            if len(ends) != len(words):  # a letter that falls apart in lower case
+                return learn(words)
+            data, at = ids.tobytes(), 0
+            for word, end in zip(words, (4 * ends).tolist()):
+                known[word] = data[at:end]
+                at = end
+
+        def learn_all(new: set[bytes]) -> None:
+            stems = {}
+            for word in new:
+                if word.isalpha() or b"<|" in word:
+                    continue
+                stem = word.rstrip(symbols)
+                if stem and stem != word and (stem[-1:].isalnum() or not stem.isascii() and stem.decode()[-1].isalpha()):
+                    stems[word] = stem, word[len(stem):]
+            single = {word for word in new if word not in stems}
+            single.update(part for both in stems.values() for part in both if part not in known)
+            letters = {word for word in single if word.isalpha() or not word.isascii() and word.decode().isalpha()}
+            if letters:
+                learn_letters(list(letters))
+            learn(list(single - letters))
+            for word, (stem, stops) in stems.items():
+                known[word] = known[stem] + known[stops]
+
+        def encode(texts: pa.Array) -> list[bytes]:
+            texts = texts.fill_null("")
+            as_it_is = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[\u0300-\u036f]"))
+            texts = pc.if_else(as_it_is, texts, pc.ascii_lower(texts))
+            words = pc.ascii_split_whitespace(texts)
+            flat = words.flatten().dictionary_encode()
+            distinct = flat.dictionary.cast(pa.binary()).to_pylist()
             if len(known) > CACHED:
                 known.clear()
-            new = list(set().union(*parts) - known.keys())
-            for at in range(0, len(new), 4096):
-                some = new[at:at + 4096]
-                for word, found in zip(some, whole.encode_batch_fast(some, add_special_tokens=False)):
-                    known[word] = array("I", found.ids).tobytes()
-            out = [b"".join([known[word] for word in part]) for part in parts]
-            for word in new:
+                known[b""] = b""
+            learn_all({word for word in distinct if word not in known})
+            ids = pa.array([known[word] for word in distinct], pa.large_binary()).take(flat.indices)
+            for word in distinct:
                 if len(word) > LONGEST_CACHED:
-                    del known[word]
-            return out
+                    known.pop(word, None)
+            if not len(ids):
+                return [b""] * len(texts)
+            ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:][words.offsets.to_numpy() - words.offsets[0].as_py()]
+            data = memoryview(ids.buffers()[2] or b"")
+            return [bytes(data[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
         _encoders[name] = encode
     return _encoders[name]
@@ -155,28 +192,14 @@ class Code:
         return out
 
 
-def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit) of every row, the end id after each text."""
-    end = np.array([end_id], "<u4").tobytes()
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(vocabulary)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [ids + end for ids in ids_of([t or "" for t in part.column(1).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), encode, "doc_id long, ids binary")
-
-
 SEGMENT_SCHEMA = "range int, seq int, first long, n_ids long, doc_ids array<long>, ends binary, code binary"
 _ARROW = pa.schema([("range", pa.int32()), ("seq", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()),
                     ("doc_ids", pa.list_(pa.int64())), ("ends", pa.binary()), ("code", pa.binary())])
 
 
-def segments(ordered: DataFrame, size: int) -> DataFrame:
-    """Segments of some ``size`` ids of rows (range, doc_id, ids) that come sorted; ``first``: ids of the range before."""
+def segments(ordered: DataFrame, vocabulary: str, end_id: int, size: int) -> DataFrame:
+    """Segments of some ``size`` ids of rows (range, doc_id, text) that come sorted; ``first``: ids of the range before."""
+    closing = np.array([end_id], "<u4").tobytes()
 
     def close(held: list[tuple], at: int, seq: int, first: int) -> pa.RecordBatch:
         ids = np.frombuffer(b"".join(h[1] for h in held), "<u4")
@@ -185,32 +208,40 @@ def segments(ordered: DataFrame, size: int) -> DataFrame:
                                             "doc_ids": [h[0] for h in held], "code": pack(ids)}], schema=_ARROW)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = encoder(vocabulary)
         held, now, seq, first, n = [], None, 0, 0, 0
         for batch in batches:
-            for at, doc_id, ids in zip(*(batch.column(c).to_pylist() for c in ("range", "doc_id", "ids"))):
-                if held and (at != now or n + len(ids) // 4 > size):
-                    yield close(held, now, seq, first)
-                    held, seq, first, n = [], seq + 1, first + n, 0
-                if at != now:
-                    now, seq, first = at, 0, 0
-                held.append((doc_id, ids))
-                n += len(ids) // 4
+            for some in (batch.slice(at, 4096) for at in range(0, batch.num_rows, 4096)):
+                found = ids_of(some.column("text"))
+                for at, doc_id, ids in zip(some.column("range").to_pylist(), some.column("doc_id").to_pylist(), found):
+                    if held and (at != now or n + len(ids) // 4 >= size):
+                        yield close(held, now, seq, first)
+                        held, seq, first, n = [], seq + 1, first + n, 0
+                    if at != now:
+                        now, seq, first = at, 0, 0
+                    held.append((doc_id, ids + closing))
+                    n += len(ids) // 4 + 1
         if held:
             yield close(held, now, seq, first)
 
-    return in_arrow(ordered.select("range", "doc_id", "ids"), cut, SEGMENT_SCHEMA)
+    return in_arrow(ordered.select("range", "doc_id", "text"), cut, SEGMENT_SCHEMA)
 
 
 def write(docs: DataFrame, path: str, vocabulary: str = "word_bpe_49k", end_id: int = 1, size: int = SEGMENT,
-          **ranges) -> None:
+          ranges: int | None = None) -> None:
     """Encodes all documents and writes them as a store, in ascending order of their ids.
 
-    Texts stay where they are; their ids are written once and move once.  The directory has one row per range.
+    Texts move once, to ``ranges`` ranges (as many as shuffle partitions) of the order by id, text and place in the
+    input, so that neither a repeated id nor a repeated row is tied to one task.  The directory has one row per range.
     """
     spark = docs.sparkSession
-    segments(in_ranges(encoded(docs, vocabulary, end_id), ["doc_id"], **ranges), size).write.parquet(f"{path}/segments")
-    stored = spark.read.schema(SEGMENT_SCHEMA).parquet(f"{path}/segments")
-    totals = stored.groupBy("range").agg(F.sum("n_ids").alias("n"))
+    order = ["doc_id", "tie", "place"]
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = rows.withColumns({"tie": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange(ranges or shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    rows = rows.withColumn("range", F.spark_partition_id())
+    segments(rows, vocabulary, end_id, size).write.parquet(f"{path}/segments")
+    totals = spark.read.schema(SEGMENT_SCHEMA).parquet(f"{path}/segments").groupBy("range").agg(F.sum("n_ids").alias("n"))
     before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     totals.select("range", F.coalesce(before, F.lit(0)).alias("start")).write.parquet(f"{path}/directory")
 
