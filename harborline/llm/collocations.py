@@ -290,6 +290,7 @@ def not_below_top(scored: DataFrame, top: int) -> DataFrame:
     above = F.sum("count").over(Window.partitionBy("lang").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1))
     lowest = held.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < top)
     lowest = lowest.groupBy(F.col("lang").alias("_lang")).agg(F.min("at").alias("_least"))
+    lowest = written(lowest, "phrases-least")  # read from a table, so that its size is known before the rows move
     kept = scored.join(lowest, (F.col("lang") == F.col("_lang")) & (at >= F.col("_least"))).drop("_lang", "_least")
     parts = shuffle_partitions(scored.sparkSession)
     kept = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
