@@ -39,14 +39,14 @@ def width_bucket(value: Column, low, high, buckets: int, compat: bool = False) -
     """Equal-width bucket 1..n of ``value``; 0 below ``low`` and n+1 from ``high`` on.
 
     ``compat`` counts as a formula does that some databases use: buckets end with their upper edge and one is added
-    where the value itself, not its distance from ``low``, is a multiple of the width.
+    where the value itself, not its distance from ``low``, is a multiple of the width, above the last bucket too.
     """
     low, high = (b if isinstance(b, Column) else F.lit(float(b)) for b in (low, high))
     if compat:
         width = (high - low).cast("double") / buckets
         place = (value.cast("double") - low) / width
         edge = F.when(value.cast("double") % width == 0, F.lit(1)).otherwise(F.lit(0))
-        return F.least(F.ceil(place).cast("int") + edge, F.lit(buckets + 1)).cast("int")
+        return (F.least(F.ceil(place).cast("int"), F.lit(buckets + 1)) + edge).cast("int")
     return F.width_bucket(value.cast("double"), low.cast("double"), high.cast("double"), F.lit(buckets))
 
 

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,11 +48,19 @@ def _ranged(df: DataFrame, keys: Sequence[str], rows_per_range: int) -> tuple[Da
     drawn = drawn.agg(F.sort_array(F.collect_list(F.struct(*full))).alias("all"))
     bounds = drawn.select(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get(
         "all", F.floor(i * F.size("all") / ranges).cast("int")))).scalar()
-    rows = rows.withColumns({_RANGE: F.lit(0), _BOUNDS: bounds})  # one subquery; the array is not copied into the rows
-    for step in [1 << b for b in reversed(range((ranges - 1).bit_length()))]:
-        beyond = (F.col(_RANGE) + step < ranges) & (F.get(_BOUNDS, F.col(_RANGE) + (step - 1)) <= F.struct(*full))
-        rows = rows.withColumn(_RANGE, F.col(_RANGE) + F.when(beyond, step).otherwise(0))
-    return rows.drop(_BOUNDS), full
+    return place_among(rows, bounds, ranges - 1, full, _RANGE), full
+
+
+def place_among(rows: DataFrame, bounds: Column, count: int, key: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``: how many of ``count`` sorted bounds are not above the row's key, by binary search.
+
+    ``bounds``: an array of structs like the key, as a scalar subquery; it is not copied into the rows.
+    """
+    rows = rows.withColumns({name: F.lit(0), _BOUNDS: bounds})
+    for step in [1 << b for b in reversed(range(count.bit_length()))]:
+        beyond = (F.col(name) + step <= count) & (F.get(_BOUNDS, F.col(name) + (step - 1)) <= F.struct(*key))
+        rows = rows.withColumn(name, F.col(name) + F.when(beyond, step).otherwise(0))
+    return rows.drop(_BOUNDS)
 
 
 def in_ranges(df: DataFrame, order_by: Sequence[str], name: str = "range",

@@ -145,11 +145,11 @@ def test_width_bucket(spark):
 
 
 def test_width_bucket_by_formula(spark):
-    probes = [(100000.0, 0), (250000.0, 1), (700000.0, 5), (300000.0, 2), (200000.0, 1)]
+    probes = [(100000.0, 0), (250000.0, 1), (700000.0, 6), (650000.0, 5), (300000.0, 2), (200000.0, 1)]
     df = spark.createDataFrame(probes, "v double, want int")
     got = df.select("v", numbers.width_bucket(F.col("v"), 200000, 600000, 4, compat=True).alias("b")).collect()
     # Below the lowest bound the formula goes down by whole buckets; multiples of the width count one more.
-    assert {r.v: r.b for r in got} == {100000.0: 0, 250000.0: 1, 700000.0: 5, 300000.0: 2, 200000.0: 1}
+    assert {r.v: r.b for r in got} == {100000.0: 0, 250000.0: 1, 700000.0: 6, 650000.0: 5, 300000.0: 2, 200000.0: 1}
 
 
 def test_combine_takes_any_clock(spark):

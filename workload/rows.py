@@ -282,6 +282,16 @@ def width_bucket_hist(t: Tables) -> DataFrame:
     return t.lineitem.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+@query("""
+    select o_orderkey, least(ceil((cast(round(o_totalprice / 500) * 500 as double) - 20000) / 30000), 7)
+               + (case when cast(round(o_totalprice / 500) * 500 as bigint) % 30000 = 0 then 1 else 0 end) as bucket
+    from orders""")
+def width_bucket_by_formula(t: Tables) -> DataFrame:
+    """Prices rounded to 500, many of them on an edge and beyond the last bucket."""
+    price = F.round(F.col("o_totalprice") / 500) * 500
+    return t.orders.select("o_orderkey", numbers.width_bucket(price, 20000, 200000, 6, compat=True).cast("double").alias("bucket"))
+
+
 @query("""
     select o.o_orderkey, round(2 * 3961 * asin(sqrt(least(1.0, power(sin(radians((s.lat - c.lat) / 2)), 2)
                + cos(radians(c.lat)) * cos(radians(s.lat)) * power(sin(radians((s.lon - c.lon) / 2)), 2)))), 4) as miles,
