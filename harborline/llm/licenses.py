@@ -1,12 +1,15 @@
-"""Licence scans: notices matched to templates by TF-IDF cosine, then inherited along directories.
+"""Licence scans: whole files and notices matched to templates by TF-IDF cosine, then inherited along directories.
 
-A notice is a line with a cue word.  It becomes a sparse vector of its words, weighted by how rare each template word is
-among all documents; any other word weighs like the rarest.  The nearest template above ``least_cosine`` is the file's
-own licence.  A file whose notices are at least half of its text is a licence file and speaks for its directory; files
-without a notice take the licence of the nearest ancestor directory that has one.
+What is compared with the templates, as sparse vectors of words: the whole text of a file with a cue word, each of its
+blocks (lines up to a line without letters or digits) with one, and each line with one, alone and joined with its
+neighbours, so that wrapped notices and comment headers are read whole.  Template words are weighted by how rare they are
+among all files; any other word weighs like the rarest.  The nearest template above ``least_cosine`` is the file's own
+licence; a text that two licences match about alike names none.  A file speaks for its directory if it has a licence file's
+name and a licence, or if its whole text is close to a template; files without a licence take that of the nearest
+ancestor directory for which a file speaks.
 
 Rows: a NULL or empty text has no notice and may inherit; a NULL path neither speaks nor inherits; files with the same
-path are one file, with its best notice; several licence files in a directory: the best match, then the first name; extra
+path are one file, with its best match; several licence files in a directory: the best match, then the first name; extra
 columns are not carried; an empty table gives no rows.
 """
 
@@ -19,26 +22,80 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import written
 
-# Notices by which licences are commonly named.
+# Public licence texts, the openings of the long ones, and the notices by which licences are named.
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions:"""
+_MIT_REST = """The above copyright notice and this permission notice shall be included in all copies or substantial portions
+of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+_BSD_REST = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF
+ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License."""
+
+
+def _gnu(name: str, version: int) -> str:
+    return f"""This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as
+published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."""
+
+
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
-                   "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."],
-    "BSD-3-Clause": ["Released under the BSD 3-Clause License.",
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", _APACHE, _APACHE.split("Unless")[0], _APACHE.split(" You may obtain")[0],
+                   "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", f"{_BSD} {_BSD_REST}"],
+    "BSD-3-Clause": ["Released under the BSD 3-Clause License.", f"{_BSD} {_BSD_THIRD} {_BSD_REST}",
                      "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC0-1.0": ["Released into the public domain under CC0 1.0."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.",
+    "CC0-1.0": ["Released into the public domain under CC0 1.0.", "Creative Commons Legal Code CC0 1.0 Universal"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _gnu("General Public License", 2),
+                "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _gnu("General Public License", 3),
+                "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "ISC": ["Released under the ISC License.", _ISC],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _gnu("Lesser General Public License", 3),
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", f"{_MIT} {_MIT_REST}", _MIT,
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+                """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""", "Mozilla Public License Version 2.0"],
 }
-CUE = r"(?i)licen[sc]e|copyright|public domain|permission is hereby granted"
-LEAST_COSINE = 0.6
+CUE = r"(?i)licen[sc]e|copyright|public domain|permission is hereby granted|permission to use|redistribution and use|legal code"
+FILE_NAME = r"(?i)(^|/)(licen[sc]e|copying|unlicen[sc]e)([._-][^/]*)?$"
+LEAST_COSINE, FILE_COSINE = 0.6, 0.8
+CLEAR = 0.75  # the best licence lacks less than this share of what the second best lacks of a full match
 NOT_WORD = "[^a-z0-9]+"
+BETWEEN_BLOCKS = r"\n(?:[^A-Za-z0-9\n]*\n)+"
+JOINED = [(0, 1), (-1, 2), (0, 2), (-1, 3), (0, 4)]  # lines that are read together: from where, and how many
 
 
 def template_rows() -> list[tuple[int, str, str, int]]:
@@ -70,15 +127,22 @@ def word_weights(files: DataFrame) -> DataFrame:
 
 
 def notices(files: DataFrame) -> DataFrame:
-    """path, place, line, share of every line with a cue; share: what part of the text all such lines are."""
-    cued = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(CUE))
-    found = files.where(F.col("text").rlike(CUE)).select("path", "text", cued.alias("lines"))
-    size = F.aggregate("lines", F.lit(0), lambda acc, x: acc + F.length(x))
-    return found.select("path", (size / F.length("text")).alias("share"), F.posexplode("lines").alias("place", "line"))
+    """path, whole (whether it is the text of the file), text: all that is compared with the templates."""
+    lines = F.split("text", "\n")
+    cued = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(CUE))
+    joined = F.flatten(F.transform("cued", lambda i: F.array(*[F.array_join(F.slice(
+        F.col("lines"), F.greatest(i + (at + 1), F.lit(1)), F.lit(n)), " ") for at, n in JOINED])))
+    blocks = F.filter(F.split("text", BETWEEN_BLOCKS), lambda x: x.rlike(CUE))
+    parts = F.array_distinct(F.concat(blocks, joined))
+    found = files.where(F.col("text").rlike(CUE)).select("path", "text", lines.alias("lines"))
+    found = found.select("path", "text", "lines", cued.alias("cued")).select("path", "text", parts.alias("parts"))
+    units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("text"))), F.transform("parts", lambda x: F.struct(
+        F.lit(False).alias("whole"), x.alias("text"))))
+    return found.select("path", F.inline(units))
 
 
 def matched(files: DataFrame, least_cosine: float = LEAST_COSINE) -> DataFrame:
-    """path, licence, cosine, is_file: the best template of each file with a notice close enough to one."""
+    """path, licence, cosine, is_file: the best template of each file with a text close enough to one."""
     spark = files.sparkSession
     weights = written(word_weights(files), "word-weights")
     values = ", ".join(f"({i}, '{name}', '{word}', {times})" for i, name, word, times in template_rows())
@@ -86,19 +150,23 @@ def matched(files: DataFrame, least_cosine: float = LEAST_COSINE) -> DataFrame:
     templates = templates.withColumn("w", F.col("times") * F.col("weight"))
     norms = templates.groupBy("template").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
     templates = written(templates.join(norms, "template").select("template", "licence", "word", "w", "norm"), "templates")
-    lines = written(notices(files), "notices")
-    unit = ["path", "place", "hash"]
-    spoken = lines.select("path", "place", F.xxhash64("line").alias("hash"), "share", F.explode(words(F.col("line"))).alias("word"))
-    spoken = spoken.groupBy(*unit, "word").agg(F.count("*").alias("times"), F.max("share").alias("share"))
     other = weights.where("word = ''").first()["weight"]
+    unit = ["path", "whole", "hash"]
+    spoken = notices(files).select("path", "whole", F.xxhash64("text").alias("hash"), words(F.col("text")).alias("words")).distinct()
+    spoken = spoken.select(*unit, F.explode("words").alias("word")).groupBy(*unit, "word").agg(F.count("*").alias("times"))
     spoken = spoken.join(weights, "word", "left").withColumn("v", F.col("times") * F.coalesce("weight", F.lit(other)))
-    spoken = written(spoken.select(*unit, "word", "v", "share"), "notice-words")
-    length = spoken.groupBy(*unit).agg(F.sqrt(F.sum(F.col("v") ** 2)).alias("length"), F.max("share").alias("share"))
+    spoken = written(spoken.select(*unit, "word", "v"), "notice-words")
+    length = spoken.groupBy(*unit).agg(F.sqrt(F.sum(F.col("v") ** 2)).alias("length"))
     dots = spoken.join(templates, "word").groupBy(*unit, "template", "licence", "norm").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
-    scored = dots.join(length, unit).select("path", "licence", "share", F.round(F.col("dot") / (F.col("length") * F.col("norm")), 9).alias("cosine"))
-    best = scored.where(F.col("cosine") >= least_cosine).groupBy("path").agg(
-        F.min(F.struct((-F.col("cosine")).alias("less"), "licence")).alias("b"), F.max("share").alias("share"))
-    return best.select("path", "b.licence", (-F.col("b.less")).alias("cosine"), (F.col("share") >= 0.5).alias("is_file"))
+    scored = dots.join(length, unit).select(*unit, "licence", F.round(F.col("dot") / (F.col("length") * F.col("norm")), 9).alias("cosine"))
+    scored = scored.where(F.col("cosine") >= least_cosine).groupBy(*unit, "licence").agg(F.max("cosine").alias("cosine"))
+    # As many entries as there are licences; what two of them match about alike names neither.
+    best = scored.groupBy(*unit).agg(F.sort_array(F.collect_list(F.struct((-F.col("cosine")).alias("less"), "licence"))).alias("all"))
+    missing = [1 + F.get("all", F.lit(i))["less"] for i in (0, 1)]  # what the two best lack of a full match
+    best = best.where((F.size("all") == 1) | (missing[0] < CLEAR * missing[1]))
+    best = best.select("path", "whole", F.get("all", F.lit(0)).alias("b")).groupBy("path").agg(
+        F.min("b").alias("b"), F.max(F.col("whole") & (-F.col("b.less") >= FILE_COSINE)).alias("is_file"))
+    return best.select("path", "b.licence", (-F.col("b.less")).alias("cosine"), (F.col("is_file") | F.col("path").rlike(FILE_NAME)).alias("is_file"))
 
 
 def folder(path: Column) -> Column:

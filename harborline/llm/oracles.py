@@ -128,6 +128,7 @@ def _near_copies() -> str:
 def _licenses() -> str:
     rows = ", ".join(f"({i}, {quoted(n)}, {quoted(w)}, {t})" for i, n, w, t in licenses.template_rows())
     cue, word = quoted(licenses.CUE), quoted(licenses.NOT_WORD)
+    joined = ", ".join(f"array_to_string(lines[greatest(i + {at + 1}, 1):greatest(i + {at + 1}, 1) + {n - 1}], ' ')" for at, n in licenses.JOINED)
 
     def split(text: str) -> str:
         return f"list_filter(string_split_regex(lower({text}), {word}), lambda w: w <> '')"
@@ -143,22 +144,27 @@ def _licenses() -> str:
         from (select distinct word from terms) left join held using (word), total),
     vectors as (select template, licence, word, times * weight w from terms join weights using (word)),
     norms as (select template, sqrt(sum(w * w)) norm from vectors group by template),
-    cued as (select path, t, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {cue})) lines
-        from files where regexp_matches(t, {cue})),
-    notices as (select path, place, lines[place] line,
-        list_sum(list_transform(lines, lambda x: length(x))) / length(t) share
-        from (select *, unnest(generate_series(1, len(lines))) place from cued)),
-    spoken as (select path, place, word, count(*) * any_value(coalesce(weight, ln(n + 1) + 1)) v, any_value(share) share
-        from (select path, place, share, unnest({split("line")}) word from notices) left join weights using (word), total
-        group by path, place, word),
-    lengths as (select path, place, sqrt(sum(v * v)) length, max(share) share from spoken group by path, place),
-    scored as (select path, licence, share, round(sum(v * w) / (any_value(length) * any_value(norm)), 9) cosine
-        from (select path, place, word, v from spoken) join vectors using (word) join norms using (template)
-        join lengths using (path, place) group by path, place, template, licence, share),
-    own as (select path, licence own_licence, cosine, share >= 0.5 is_file from (
-        select path, licence, cosine, max(share) over (partition by path) share,
-          row_number() over (partition by path order by cosine desc, licence) r
-        from scored where cosine >= {licenses.LEAST_COSINE}) where r = 1),
+    cued as (select path, t, string_split(t, chr(10)) lines from files where regexp_matches(t, {cue})),
+    placed as (select path, lines, list_filter(range(len(lines)), lambda i: regexp_matches(lines[i + 1], {cue})) places from cued),
+    units as (select path, true whole, t x from cued
+        union select path, false, x from (select path, unnest(string_split_regex(t, {quoted(licenses.BETWEEN_BLOCKS)})) x from cued)
+            where regexp_matches(x, {cue})
+        union select path, false, unnest([{joined}]) from (select path, lines, unnest(places) i from placed)),
+    spoken as (select path, whole, x, word, count(*) * any_value(coalesce(weight, ln(n + 1) + 1)) v
+        from (select path, whole, x, unnest({split("x")}) word from units) left join weights using (word), total
+        group by path, whole, x, word),
+    lengths as (select path, whole, x, sqrt(sum(v * v)) length from spoken group by path, whole, x),
+    cosines as (select path, whole, x, licence, round(sum(v * w) / (any_value(length) * any_value(norm)), 9) cosine
+        from spoken join vectors using (word) join norms using (template) join lengths using (path, whole, x)
+        group by path, whole, x, template, licence),
+    scored as (select path, whole, x, licence, max(cosine) cosine from cosines where cosine >= {licenses.LEAST_COSINE}
+        group by path, whole, x, licence),
+    best as (select *, row_number() over (partition by path, whole, x order by cosine desc, licence) r,
+        coalesce(1 - cosine < {licenses.CLEAR} * (1 - lead(cosine) over (partition by path, whole, x order by cosine desc, licence)), true) clear
+        from scored),
+    own as (select path, licence own_licence, cosine, whole_file or regexp_matches(path, {quoted(licenses.FILE_NAME)}) is_file from (
+        select path, licence, cosine, bool_or(whole and cosine >= {licenses.FILE_COSINE}) over (partition by path) whole_file,
+          row_number() over (partition by path order by cosine desc, licence) q from best where r = 1 and clear) where q = 1),
     speaks as (select dir origin, arg_min(own_licence, row(-cosine, path)) licence
         from own join files using (path) where is_file group by dir),
     up as (select distinct dir, unnest([dir, split_part(dir, '/', 1), '']) origin from files),

@@ -4,6 +4,7 @@ import hashlib
 import re
 import time
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -220,3 +221,37 @@ def test_licences_match_and_are_inherited(spark):
     assert got["z/w.txt"][0].licence is None and got["z/own.txt"][0].own_licence == "Apache-2.0"
     assert not got["z/own.txt"][0].is_licence_file and got["z/odd.txt"][0].own_licence is None
     assert got["e"][0].licence is None and got[None][0].licence is None
+
+
+COMMON = Path("/usr/share/common-licenses")
+
+
+def full_texts():
+    """Licence texts as they are shipped: those this machine has, and the short ones."""
+    mit = "The MIT License (MIT)\n\nCopyright (c) 2021 Some Person\n\n" + licenses._MIT + "\n\n" + licenses._MIT_REST + "\n"
+    texts = {"MIT": mit, "ISC": "Copyright (c) 2020, A. Person\n\n" + licenses._ISC,
+             "BSD-3-Clause": f"Copyright 2011 The Group. All rights reserved.\n\n{licenses._BSD}\n{licenses._BSD_THIRD}\n\n{licenses._BSD_REST}",
+             "BSD-2-Clause": f"Copyright 2011 The Group.\n\n{licenses._BSD}\n\n{licenses._BSD_REST}"}
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0")):
+        if (COMMON / file).exists():
+            texts[name] = (COMMON / file).read_text()
+    return texts
+
+
+def test_licence_files_headers_and_wrapped_notices(spark):
+    prose = "Some other words that say nothing at all about it. " * 30
+    files, want = [], {}
+    for i, (name, text) in enumerate(full_texts().items()):
+        file = ["LICENSE", "COPYING", "LICENCE.txt", "license.md"][i % 4]
+        files += [(f"{name}/{file}", text), (f"{name}/src/x.py", prose)]
+        want |= {f"{name}/{file}": (name, True, name), f"{name}/src/x.py": (None, False, name)}
+    header = "/*\n * " + licenses._APACHE.replace("\n", "\n * ") + "\n */\nint main() { return 0; }\n" + "int x;\n" * 200
+    wrapped = prose + "\nThis work is licensed under the GNU General Public\nLicense, version 3.\n" + prose
+    bare = "GNU GENERAL PUBLIC LICENSE"
+    files += [("b/h.c", header), ("b/y.c", "int y;"), ("w/w.txt", wrapped), ("g/COPYING", bare), ("g/z.c", "int z;"),
+              ("m/anything", full_texts()["MIT"]), ("m/n.c", "int n;"), ("n/readme", prose + "\nReleased under the MIT License.\n" + prose), ("n/n.c", "int n;")]
+    want |= {"b/h.c": ("Apache-2.0", False, "Apache-2.0"), "b/y.c": (None, False, None), "w/w.txt": ("GPL-3.0", False, "GPL-3.0"),
+             "g/COPYING": (None, False, None), "g/z.c": (None, False, None), "m/anything": ("MIT", True, "MIT"), "m/n.c": (None, False, "MIT"),
+             "n/readme": ("MIT", False, "MIT"), "n/n.c": (None, False, None)}
+    got = licenses.scan(spark.createDataFrame(files, "path string, text string").selectExpr("*", "1 whole", "2 hash")).collect()
+    assert {r.path: (r.own_licence, r.is_licence_file, r.licence) for r in got} == want
