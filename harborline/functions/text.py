@@ -90,3 +90,8 @@ def slugify_name(name: str | None) -> str:
     """The same clean-up for one column name."""
     plain = re.sub("[^a-z0-9_]+", "", re.sub("[ -]+", "_", (name or "").lower()))
     return f"_{plain}" if plain[:1].isdigit() else plain
+
+
+def collated(c: Column, collation: str = "UNICODE_CI_RTRIM") -> Column:
+    """Text that compares, joins and groups without case and trailing blanks, and keeps its spelling."""
+    return F.collate(c, collation)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from harborline.functions.text import ci_key, slugify_name
 from harborline.operators.project import columns_except
+from harborline.session import staged
 
 COMPARE: dict[str, Callable] = {
     "=": eq, "<>": ne, "!=": ne, "<": lt, "<=": le, ">": gt, ">=": ge,
@@ -40,6 +41,26 @@ def column_values(df: DataFrame, column: str, where: str | Column | None = None,
     return (ranked if max_records is None else ranked.limit(max_records)).select("value")
 
 
+def top_values(df: DataFrame, column: str, k: int, cells: int = 1 << 16) -> DataFrame:
+    """The ``k`` most frequent values (NULL is one) as ``value`` and ``n``, exact; ties go to the smaller value.
+
+    For a column with very many values: rows are first counted by ``cells`` cells of their hash.  The values of the ``k``
+    fullest cells are counted, and the k-th of their counts bounds the k-th of all from below; a cell that holds fewer rows
+    holds no value of the result, so only values of the other cells are counted.  Writes the counts of the cells.
+    """
+    rows = df.select(F.col(f"`{column}`").alias("value"))
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("value"), F.lit(cells)))
+    held = staged(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")), "cells")
+
+    def counted(some: DataFrame) -> DataFrame:
+        return rows.join(some.select("cell"), "cell", "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+    fullest = counted(held.orderBy(F.desc("rows"), "cell").limit(k))
+    found = [r["n"] for r in fullest.orderBy(F.desc("n")).limit(k).select("n").collect()]
+    least = found[-1] if len(found) == k else 0
+    return counted(held.filter(F.col("rows") >= least)).orderBy(F.desc("n"), F.asc_nulls_first("value")).limit(k)
+
+
 def value_list(df: DataFrame, column: str, max_values: int = 1000, default: list | None = None, **kwargs) -> list:
     """``column_values`` on the driver, to name pivot columns; fails beyond ``max_values``."""
     found = [r.value for r in column_values(df, column, **kwargs).take(max_values + 1)]

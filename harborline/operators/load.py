@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from harborline.operators.joins import any_null, find_missing, keep_known, key_hash, require_unique
 from harborline.operators.ordered import dense_ids
 from harborline.operators.project import conform
-from harborline.session import staging_path
 
 
 def merge_by_key(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
@@ -170,7 +170,7 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(_version(root, complete[-1])) if complete else None
 
 
-PENDING = "_merge_pending"  # readers skip names that begin with an underscore
+PENDING, MERGED = "_merge_pending", "_merged"  # readers skip names that begin with an underscore
 
 
 def merge_touched_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -179,7 +179,7 @@ def merge_touched_partitions(spark: SparkSession, path: str, source: DataFrame,
 
     The partition column must belong to the key, so a row never moves.  The values it takes in the source are
     fetched, one per partition that is rewritten, so that the scan of the target is pruned by constants.  The merged
-    partitions are written to the shared folder first, and a note beside the table names them until they are in place:
+    partitions are written to a folder beside the table first, and a note names them until they are in place:
     a job that dies in between is finished by the next one, or by ``finish_merge``, before anything else is read.
     """
     if partition_column not in keys:
@@ -193,7 +193,7 @@ def merge_touched_partitions(spark: SparkSession, path: str, source: DataFrame,
         inside = inside | F.col(partition_column).isNull()
     # The folders are listed again for these partitions alone.
     touched = target.filter(inside)
-    merged = staging_path(spark, "merge")
+    merged = f"{path}/{MERGED}-{uuid.uuid4().hex}"  # beside the table: it stays as long as the note does
     merge_by_key(touched, source, keys).write.parquet(merged)
     _write_note(spark, f"{path}/{PENDING}", f"{partition_column}\n{merged}")
     finish_merge(spark, path)
@@ -212,6 +212,7 @@ def finish_merge(spark: SparkSession, path: str) -> bool:
     rows = spark.read.parquet(merged).hint("rebalance", column)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
     fs.delete(where, False)
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(merged), True)
     return True
 
 

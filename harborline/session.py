@@ -33,11 +33,13 @@ def build_session(app_name: str = "harborline", master: str | None = None, **con
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for tables that must be written between two steps of a job.
 
-    A cluster names it in ``spark.checkpoint.dir``; where that is unset it is a folder beside the warehouse's tables.
-    Each application has a folder of its own under it.
+    A cluster names it in ``spark.checkpoint.dir``, and must; in local mode, where that is unset, it is a folder beside
+    the warehouse's tables.  Each application has a folder of its own under it.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
     return f"{base.rstrip('/')}/harborline-{spark.sparkContext.applicationId}"
 

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.operators import check_state, indexed, setops
+from harborline.operators.aggregate import top_values
 from harborline.operators.load import read_current
 from harborline.operators.suite import Check, run_suite
+from harborline.sources.tables import like_tables
 
 SCHEMA = "k long, s string, v int"
 
@@ -105,3 +107,26 @@ def test_difference_by_checksum(spark):
     assert setops.difference_by_checksum(empty, empty).count() == 0
     nulls = spark.createDataFrame([(None, "x", 1)], SCHEMA), spark.createDataFrame([(1, "x", None)], SCHEMA)
     assert setops.difference_by_checksum(*nulls).count() == 2
+
+
+def test_top_values_are_exact(spark):
+    rng = random.Random(2)
+    values = [None] * 30 + ["hot"] * 200 + [f"v{rng.randrange(400)}" for _ in range(3000)] + ["a", "b"]
+    df = spark.createDataFrame([(v,) for v in values], "c string").repartition(4)
+    count = {v: values.count(v) for v in set(values)}
+    want = sorted(count.items(), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))
+    for k, cells in ((1, 64), (5, 4096), (12, 8), (1000, 16)):
+        assert [tuple(r) for r in top_values(df, "c", k, cells).collect()] == want[:k]
+    assert top_values(df.limit(0), "c", 3).collect() == []
+
+
+def test_like_tables_take_one_scan_per_schema(spark, tmp_path):
+    for i in range(12):
+        df = spark.range(i, i + 3).withColumn("s", F.lit(str(i))) if i % 3 else spark.range(i, i + 2)
+        df.repartition(2).write.parquet(str(tmp_path / f"day {i}.parquet"))
+    got = like_tables(spark, str(tmp_path), "DAY%", exclude="%11")
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    want = sorted((f"day {i}", j, str(i) if i % 3 else None) for i in range(11) for j in range(i, i + (3 if i % 3 else 2)))
+    assert sorted((r.source_relation, r.id, r.s) for r in got.collect()) == want
+    with pytest.raises(ValueError):
+        like_tables(spark, str(tmp_path), "none%")

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harborline.functions.text import collated
 from harborline.operators import check_state, indexed
+from harborline.operators.aggregate import top_values
 from harborline.operators.setops import difference_by_checksum
 from harborline.operators.suite import Check
 from harborline.session import staging_path
-from workload.registry import Tables, query
+from harborline.sources.tables import like_tables
+from workload.jobs import packages_job
+from workload.registry import ENTRIES, Tables, query
 
 
 @query("""
@@ -91,3 +95,47 @@ def checksum_difference(t: Tables) -> DataFrame:
         F.when(key % 991 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
     changed = reduce(DataFrame.union, [changed, orders.filter(key % 500 == 11)])
     return difference_by_checksum(orders, changed)
+
+
+@query("""
+    select 'late_' || (l_orderkey % 4) as source_relation, l_orderkey, l_quantity,
+           case when l_orderkey % 4 = 3 then l_tax end as l_tax
+    from lineitem where l_orderkey % 4 <> 0""")
+def like_tables_one_scan(t: Tables) -> DataFrame:
+    """Four stored tables, one left out by its name, one with a column more: two scans."""
+    root = staging_path(t.spark, "like-tables")
+    for part in range(4):
+        names = ["l_orderkey", "l_quantity", *(["l_tax"] if part == 3 else [])]
+        rows = t.lineitem.filter(F.col("l_orderkey") % 4 == part).select(*names)
+        rows.write.parquet(f"{root}/{'early' if part == 0 else 'late'}_{part}.parquet")
+    return like_tables(t.spark, root, "LATE%")
+
+
+@query("""
+    select lower(rtrim(o.o_orderpriority)) as priority, count(*) as n_orders, sum(p.rank)::bigint as ranks
+    from orders o join (select o_orderpriority, row_number() over (order by o_orderpriority) as rank
+                        from (select distinct o_orderpriority from orders)) p on lower(rtrim(o.o_orderpriority)) = lower(rtrim(p.o_orderpriority))
+    group by 1""")
+def collated_keys(t: Tables) -> DataFrame:
+    """A join and a grouping on collated text: spellings differ in case and trailing blanks on both sides."""
+    spelled = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lower("o_orderpriority"), F.lit("  "))).when(
+        F.col("o_orderkey") % 3 == 1, F.upper("o_orderpriority")).otherwise(F.col("o_orderpriority"))
+    orders = t.orders.select(collated(spelled).alias("priority"))
+    names = t.orders.select("o_orderpriority").distinct().withColumn("rank", F.rank().over(Window.orderBy("o_orderpriority")))
+    names = names.select(collated(F.upper("o_orderpriority")).alias("name"), "rank")
+    joined = orders.join(names, F.col("priority") == F.col("name")).groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum("rank").cast("bigint").alias("ranks"))
+    return joined.withColumn("priority", F.lower(F.rtrim(F.col("priority").cast("string"))))
+
+
+@query("""
+    select l_extendedprice as value, count(*) as n from lineitem group by 1 order by n desc, value limit 25""")
+def top_values_wide(t: Tables) -> DataFrame:
+    """The most frequent prices, of nearly as many prices as lines."""
+    return top_values(t.lineitem, "l_extendedprice", 25, cells=4096)
+
+
+@query(ENTRIES["job_packages"].sql)
+def job_packages_stored_key(t: Tables) -> DataFrame:
+    """As ``job_packages``, the target keeping the key of its packages, so that a range of it is read."""
+    return packages_job(t, stored_key="PackageKey")

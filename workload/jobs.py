@@ -94,13 +94,20 @@ PACKAGES_SQL = f"select {columns(PACKAGES)} from orders"
     """)
 def job_packages(t: Tables) -> DataFrame:
     """Orders from 1996 on are the known packages; those of 1999 are loaded already."""
+    return packages_job(t)
+
+
+def packages_job(t: Tables, stored_key: str | None = None) -> DataFrame:
     landing = t.orders.selectExpr(*PACKAGES)
     known = landing.filter("created_at >= timestamp_ntz '1996-01-01'").select(F.upper("PackageNumber").alias("PackageNumber"))
     loaded = landing.filter("year(created_at) = 1999").select("PackageNumber")
+    if stored_key:
+        loaded = loaded.withColumn(stored_key, F.lower(F.rtrim("PackageNumber")))
     customers = t.customer.selectExpr(
         "c_custkey as CustomerAccountNumber", "case when c_mktsegment = 'FURNITURE' then 'XYZ' else 'bsl' end "
         "as CustomerAgentPrefix", "if(c_acctbal > 5000, 1, 0) as CustomerAvailableSaturday")
-    rows = packages.load_packages(landing, known, customers, loaded)
+    rows = packages.load_packages(landing, known, customers, loaded, stored_key=stored_key)
+    rows = rows.drop(stored_key) if stored_key else rows
     return rows.withColumn("PackageLocationLastStorageId", F.col("PackageLocationLastStorageId").cast("bigint"))
 
 
