@@ -15,7 +15,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,17 @@ def _files(spark: SparkSession, path: str, files: Sequence[str], schema: T.Struc
     return spark.read.schema(schema).parquet(*[f"{path}/data/{f}" for f in files])
 
 
-def _load_rows(manifest: DataFrame) -> list[Row]:
-    return manifest.filter("file IS NULL").orderBy("load").collect()
+def _split(manifest: DataFrame) -> tuple[list[Row], list[Row]]:
+    """The manifest's rows on the driver: those of loads, in order, and those of files."""
+    rows = manifest.collect()
+    return sorted((r for r in rows if r["file"] is None), key=lambda r: r["load"]), [r for r in rows if r["file"] is not None]
+
+
+def _counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The rows, written, and their number."""
+    seen = Observation()
+    rows = staged(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return rows, seen.get["rows"]
 
 
 def _schema(loads: Sequence[Row]) -> T.StructType:
@@ -46,11 +55,11 @@ def _schema(loads: Sequence[Row]) -> T.StructType:
 
 
 def _commit(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], kept: DataFrame | None, loads: Sequence[Row],
-            batch: str | None, written: int, rows_per_file: int, last: int | None) -> None:
-    """Writes ``rows`` as new files in ranges of the key, then the manifest that names them beside the ``kept`` files."""
-    schema, folder = rows.schema, uuid.uuid4().hex
-    count = rows.count()
-    rows.repartitionByRange(max(1, -(-count // rows_per_file)), *keys).sortWithinPartitions(*keys).write.parquet(f"{path}/data/{folder}")
+            batch: str | None, written: int, count: int, rows_per_file: int, last: int | None) -> None:
+    """Writes the ``count`` rows as new files in ranges of the key, then the manifest that names them beside the ``kept``."""
+    schema, folder, files = rows.schema, uuid.uuid4().hex, -(-count // rows_per_file)
+    rows = rows.repartitionByRange(files, *keys) if files > 1 else rows.coalesce(1)
+    rows.sortWithinPartitions(*keys).write.parquet(f"{path}/data/{folder}")
     key = F.struct(*keys)
     held = F.when(~F.greatest(*[F.isnull(k) for k in keys], F.lit(False)), key)  # a NULL key matches nothing
     name = F.substring_index("_metadata.file_path", "/", -2)
@@ -66,17 +75,15 @@ def _commit(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str]
 
 def create(df: DataFrame, path: str, keys: Sequence[str], rows_per_file: int = ROWS_PER_FILE, batch: str | None = None) -> DataFrame:
     """Writes ``df`` as a table indexed by ``keys``, and gives it back."""
-    spark, rows = df.sparkSession, staged(df, "indexed-input")
-    _commit(spark, path, rows, keys, None, [], batch, rows.count(), rows_per_file, None)
+    spark, (rows, count) = df.sparkSession, _counted(df, "indexed-input")
+    _commit(spark, path, rows, keys, None, [], batch, count, count, rows_per_file, None)
     return read(spark, path)
 
 
 def read(spark: SparkSession, path: str, files: Sequence[str] | None = None) -> DataFrame:
     """The table as of its newest manifest, or only some of its files."""
-    manifest = _manifest(spark, path)
-    if files is None:
-        files = [r["file"] for r in manifest.filter("file IS NOT NULL").select("file").collect()]
-    return _files(spark, path, files, _schema(_load_rows(manifest)))
+    loads, stored = _split(_manifest(spark, path))
+    return _files(spark, path, [r["file"] for r in stored] if files is None else files, _schema(loads))
 
 
 def touched_files(spark: SparkSession, path: str, source: DataFrame) -> list[str]:
@@ -111,10 +118,11 @@ def _any_between(sorted_numbers: Sequence[int], low: int, high: int) -> bool:
 def batch_rows(spark: SparkSession, path: str, batch: str) -> int | None:
     """How many rows a batch wrote; None if it is not in the table."""
     manifest = _manifest(spark, path)
-    if manifest is None:
-        return None
-    found = manifest.filter(F.col("file").isNull() & (F.col("batch") == batch)).select("rows").first()
-    return found["rows"] if found else None
+    return None if manifest is None else _written(_split(manifest)[0], batch)
+
+
+def _written(loads: Sequence[Row], batch: str | None) -> int | None:
+    return next((r["rows"] for r in loads if batch is not None and r["batch"] == batch), None)
 
 
 def merge(spark: SparkSession, path: str, source: DataFrame, batch: str | None = None,
@@ -123,15 +131,15 @@ def merge(spark: SparkSession, path: str, source: DataFrame, batch: str | None =
 
     A batch that the table has already changes nothing.
     """
-    if batch is not None and batch_rows(spark, path, batch) is not None:
-        return read(spark, path)
     manifest = _manifest(spark, path)
-    loads, keys = _load_rows(manifest), manifest.schema["low"].dataType.names
-    source = staged(conform(source, _schema(loads)), "indexed-source")
-    files = touched_files(spark, path, source)
-    merged = staged(merge_by_key(_files(spark, path, files, _schema(loads)), source, keys), "indexed-merged")
-    kept = manifest.filter(F.col("file").isNotNull() & ~F.col("file").isin(files))
-    _commit(spark, path, merged, keys, kept, loads, batch, source.count(), rows_per_file, loads[-1]["last"])
+    (loads, stored), keys = _split(manifest), manifest.schema["low"].dataType.names
+    schema = _schema(loads)
+    if _written(loads, batch) is None:
+        source, given = _counted(conform(source, schema), "indexed-source")
+        files = touched_files(spark, path, source)
+        merged, count = _counted(merge_by_key(_files(spark, path, files, schema), source, keys), "indexed-merged")
+        kept = manifest.filter(F.col("file").isNotNull() & ~F.col("file").isin(files))
+        _commit(spark, path, merged, keys, kept, loads, batch, given, count, rows_per_file, loads[-1]["last"])
     return read(spark, path)
 
 
@@ -142,20 +150,18 @@ def append(spark: SparkSession, path: str, source: DataFrame, batch: str | None
     ``number`` names a column of the table that counts on, in the order of ``order_by``, from the last number of the
     loads before.  A batch that the table has already changes nothing, whatever its keys.
     """
-    if batch is not None and batch_rows(spark, path, batch) is not None:
-        return read(spark, path)
     manifest = _manifest(spark, path)
-    loads, keys = _load_rows(manifest), manifest.schema["low"].dataType.names
+    (loads, stored), keys = _split(manifest), manifest.schema["low"].dataType.names
     schema = _schema(loads)
-    source = staged(source, "indexed-source")
-    files = [r["file"] for r in manifest.filter("file IS NOT NULL").select("file").collect()] if null_safe else touched_files(spark, path, source)
-    slim = T.StructType([f for f in schema.fields if f.name != number])
-    fresh = new_rows(_files(spark, path, files, schema).select(*slim.names), source, keys, null_safe)
-    last = next((r["last"] for r in reversed(loads) if r["last"] is not None), 0)
-    if number is not None:
-        fresh = dense_ids(fresh, order_by or keys, number, start=last + 1)
-    fresh = staged(conform(fresh, schema), "indexed-fresh")
-    written = fresh.count()
-    kept = manifest.filter("file IS NOT NULL")
-    _commit(spark, path, fresh, keys, kept, loads, batch, written, rows_per_file, last + written if number is not None else loads[-1]["last"])
+    if _written(loads, batch) is None:
+        source = staged(source, "indexed-source")
+        files = [r["file"] for r in stored] if null_safe else touched_files(spark, path, source)
+        slim = [f.name for f in schema.fields if f.name != number]
+        fresh = new_rows(_files(spark, path, files, schema).select(*slim), source, keys, null_safe)
+        last = loads[-1]["last"] or 0
+        if number is not None:
+            fresh = dense_ids(fresh, order_by or keys, number, start=last + 1)
+        fresh, count = _counted(conform(fresh, schema), "indexed-fresh")
+        last = last + count if number is not None else loads[-1]["last"]
+        _commit(spark, path, fresh, keys, manifest.filter("file IS NOT NULL"), loads, batch, count, count, rows_per_file, last)
     return read(spark, path)
