@@ -29,7 +29,7 @@ from harborline.llm.shingles import _BACK, _BYTE, _STEP, chunks, mix, powers
 _U = np.uint64
 CUTS, GAPS = ".,;:!?\n\x0b\x0c\r", " \t"  # what ends a piece; what parts words
 LONGEST, LEAST, SHARE_PCT, SCALE, TOP = 3, 10, 50, 1_000_000, 2000
-BLOCK = 3_000_000  # occurrences that a task counts at a time
+BLOCK = 2_000_000  # occurrences that a task counts at a time
 BITS = 1 << 24  # of the bitmap of frequent fingerprints
 PARTIAL = "fp long, second long, n long, key long, at long"
 _CUT = np.zeros(256, bool)
