@@ -14,7 +14,8 @@ With ``least_run``, so many words in a row on one diagonal are enough too, howev
 
 Rows: NULL and empty texts and items match nothing; template windows with fewer than half of their words literal are
 left out.  Items of fewer than SHORTEST words have no template; with ``literal`` they are compared with the signs between
-their words, and a single word is no passage.  Repeated documents are found each once per id; extra columns are not
+their words, and a single word is no passage.  Repeated documents are found each once per id, those without an id not at
+all; ``without_contaminated`` decides by row, whatever the ids, and keeps all columns.  Else extra columns are not
 carried; an empty table gives no rows.
 """
 
