@@ -6,6 +6,9 @@ number it gave.  A load writes new files first and the next version of the manif
 written to its end, so a load that dies leaves the table as it was, a batch that is loaded again changes nothing, and
 numbers go on without a gap.  Files that no manifest names any more stay until someone deletes them.
 
+The manifest also keeps the schema of each load.  A later source may have columns more, or wider types (``on_change``, see
+``drift``); files are read with the newest schema, in which a column that a file lacks is NULL.
+
 The driver reads the manifest: one row per file.  Loads of one table must not run at the same time.
 """
 
@@ -19,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harborline.operators.drift import evolve
 from harborline.operators.load import merge_by_key, new_rows, read_current, write_version
 from harborline.operators.ordered import dense_ids, place_among
 from harborline.operators.project import conform
@@ -126,15 +130,15 @@ def _written(loads: Sequence[Row], batch: str | None) -> int | None:
 
 
 def merge(spark: SparkSession, path: str, source: DataFrame, batch: str | None = None,
-          rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+          rows_per_file: int = ROWS_PER_FILE, on_change: str = "ignore") -> DataFrame:
     """Merges ``source`` by key; only the files that may hold one of its keys are read, and written anew.
 
-    A batch that the table has already changes nothing.
+    A batch that the table has already changes nothing.  ``on_change`` says what becomes of new columns and wider types.
     """
     manifest = _manifest(spark, path)
     (loads, stored), keys = _split(manifest), manifest.schema["low"].dataType.names
-    schema = _schema(loads)
     if _written(loads, batch) is None:
+        schema = evolve(_schema(loads), source.schema, on_change, keys)
         source, given = _counted(conform(source, schema), "indexed-source")
         files = touched_files(spark, path, source)
         merged, count = _counted(merge_by_key(_files(spark, path, files, schema), source, keys), "indexed-merged")
@@ -144,16 +148,18 @@ def merge(spark: SparkSession, path: str, source: DataFrame, batch: str | None =
 
 
 def append(spark: SparkSession, path: str, source: DataFrame, batch: str | None = None, null_safe: bool = False,
-           number: str | None = None, order_by: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+           number: str | None = None, order_by: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE,
+           on_change: str = "ignore") -> DataFrame:
     """Appends the rows whose key the table lacks; only the files that may hold one of the keys are read.
 
     ``number`` names a column of the table that counts on, in the order of ``order_by``, from the last number of the
-    loads before.  A batch that the table has already changes nothing, whatever its keys.
+    loads before.  A batch that the table has already changes nothing, whatever its keys.  ``on_change`` says what becomes
+    of new columns and wider types.
     """
     manifest = _manifest(spark, path)
     (loads, stored), keys = _split(manifest), manifest.schema["low"].dataType.names
-    schema = _schema(loads)
     if _written(loads, batch) is None:
+        schema = evolve(_schema(loads), source.schema, on_change, keys)
         source = staged(source, "indexed-source")
         files = [r["file"] for r in stored] if null_safe else touched_files(spark, path, source)
         slim = [f.name for f in schema.fields if f.name != number]

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.functions.text import collated
-from harborline.operators import check_state, indexed
+from harborline.operators import bucketed, check_state, indexed
 from harborline.operators.aggregate import top_values
 from harborline.operators.setops import difference_by_checksum
 from harborline.operators.suite import Check
 from harborline.session import staging_path
 from harborline.sources.tables import like_tables
+from harborline.streaming.incremental import stream_append_batches
 from workload.jobs import packages_job
 from workload.registry import ENTRIES, Tables, query
 
@@ -75,6 +77,56 @@ def check_state_increments(t: Tables) -> DataFrame:
     return check_state.checked(t.spark, root, checks)
 
 
+@query("""
+    select case when o_orderstatus <> 'F' then o_orderkey end as o_orderkey, o_custkey,
+           case when o_orderstatus <> 'F' and o_orderkey % 50 = 3 then null else o_totalprice end as o_totalprice, o_orderpriority
+    from orders
+    union all
+    select -o_orderkey - 1, o_custkey, null, 'late' from orders where o_orderstatus <> 'F' and o_orderkey % 50 = 3""")
+def bucketed_merge(t: Tables) -> DataFrame:
+    """Orders in buckets of their key, those without one beside them; a merge that keeps the priority of known orders."""
+    name = f"orders_{uuid.uuid4().hex}"
+    orders = t.orders.select(F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")).alias("o_orderkey"), "o_custkey",
+                             "o_totalprice", "o_orderpriority")
+    bucketed.create(orders, name, ["o_orderkey", "o_custkey"], 8)
+    some = orders.filter(F.col("o_orderkey") % 50 == 3).withColumns({"o_totalprice": F.lit(None), "o_orderpriority": F.lit("late")})
+    source = some.union(some.withColumn("o_orderkey", -F.col("o_orderkey") - 1))
+    return bucketed.merge(t.spark, name, source, keep=["o_orderpriority"])
+
+
+@query("""
+    select c_custkey, case when c_custkey % 3 = 0 then cast(c_nationkey as bigint) else c_nationkey + 3000000000 end as code,
+           cast(c_acctbal as decimal(12,2))::double * case when c_custkey % 3 = 0 then 1 else 0.5 end as balance,
+           case when c_custkey % 3 = 2 then c_mktsegment end as segment
+    from customer""")
+def schema_drift_versions(t: Tables) -> DataFrame:
+    """Three loads: the second has wider types, the third a column more; the files of the first stay as they are."""
+    path, key = staging_path(t.spark, "customers-drift"), F.col("c_custkey")
+    balance = F.col("c_acctbal").cast("decimal(12,2)")
+    first = t.customer.select("c_custkey", "c_nationkey", balance.alias("balance")).withColumnRenamed("c_nationkey", "code")
+    wide = t.customer.select("c_custkey", (F.col("c_nationkey") + F.lit(3_000_000_000)).alias("code"),
+                             (balance * F.lit(0.5).cast("decimal(2,1)")).cast("decimal(16,4)").alias("balance"),
+                             F.col("c_mktsegment").alias("segment"))
+    indexed.create(first.filter(key % 3 == 0), path, ["c_custkey"])
+    indexed.append(t.spark, path, wide.filter(key % 3 == 1).drop("segment"), batch="wider", on_change="add")
+    out = indexed.append(t.spark, path, wide.filter(key % 3 == 2), batch="more", on_change="add")
+    return out.withColumn("balance", F.col("balance").cast("double"))
+
+
+@query("""
+    select event_id, case when event_type <> 'error' then user_id end as user_id, row_number() over (order by event_id) as row_id
+    from events""")
+def stream_append_ledger(t: Tables) -> DataFrame:
+    """Events, some without a key, from landing files into an indexed table by a stream, in numbered order."""
+    landing, path, checkpoint = (staging_path(t.spark, f"events-{label}") for label in ("landing", "indexed", "checkpoint"))
+    rows = t.events.select("event_id", F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"))
+    rows.write.parquet(landing)
+    indexed.create(rows.withColumn("row_id", F.lit(0).cast("bigint")).limit(0), path, ["event_id", "user_id"])
+    for _ in range(2):  # the second run finds no new file
+        stream_append_batches(t.spark, landing, rows.schema, path, checkpoint, number="row_id", order_by=["event_id"]).awaitTermination()
+    return indexed.read(t.spark, path)
+
+
 _CHANGED = """
     select o_orderkey, case when o_orderkey % 983 = 5 then null else o_custkey end as o_custkey,
            case when o_orderkey % 991 = 7 then o_totalprice + 1 else o_totalprice end as o_totalprice
