@@ -12,6 +12,9 @@ whatever stands before it.
 
 With ``least_run``, so many words in a row on one diagonal are enough too, however long the item is.
 
+A line that many items share, such as an instruction, makes no pairs of all documents and all items that hold it: only
+items that consist of such lines for the most part, or hold a whole passage of them, are looked up by those.
+
 Rows: NULL and empty texts and items match nothing; template windows with fewer than half of their words literal are
 left out.  Items of fewer than SHORTEST words have no template; with ``literal`` they are compared with the signs between
 their words, and a single word is no passage.  Repeated documents are found each once per id, those without an id not at
@@ -35,6 +38,7 @@ from harborline.llm.shingles import chunks, mix, powers, word_hashes
 WINDOW, SHORTEST, LEAST_COVER = 8, 4, 0.5
 LEAST_RUN = 13  # words in a row that are a passage by themselves
 SHORTEST_LITERAL = 2  # a single word is no passage
+COMMON = 64  # items that share a window before it is looked up by the pairs of others only
 TEMPLATE, LITERAL = 0, 1  # kinds of windows
 # Words that are units when a number stands before them.
 UNITS = ("kg g mg km m cm mm l ml s ms min h hour hours day days week weeks month months year years minute minutes second "
@@ -204,25 +208,55 @@ def longest_run(ats: Column, size: Column) -> Column:
     return F.aggregate(ats, start, step, lambda acc: acc.longest)
 
 
+def stock(known: DataFrame, least_cover: float, least_run: int | None) -> DataFrame:
+    """The benchmark's windows, with ``stock`` where they bring no document and item together by themselves.
+
+    Those are windows that more than COMMON items share, such as a line of instructions, in items of which such windows
+    cover too little to be a passage: a document that holds a passage of the item then holds another window of it too.
+    """
+    rows = known.withColumn("window", F.struct("hash", "kind"))
+    common = rows.groupBy("window").agg(F.count_distinct("key").alias("items")).where(F.col("items") > COMMON)
+    spread = rows.join(common.select("window"), "window", "left_semi")
+    ats = spread.groupBy("key", "size", "words").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    run = longest_run(F.col("ats"), F.col("size"))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda at: F.sequence(at, at + F.col("size") - 1)))))
+    enough = covered >= least_cover * F.col("words")
+    if least_run is not None:
+        enough = enough | (run >= least_run)
+    short = ats.groupBy("key").agg(F.bool_or(enough).alias("enough")).where("NOT enough").select("key")
+    marked = spread.select("key", "window").distinct().join(short, "key").withColumn("found", F.lit(True))
+    return rows.join(marked, ["key", "window"], "left").withColumn("stock", F.coalesce("found", F.lit(False))).drop("found", "window")
+
+
+def _aligned(pairs: DataFrame) -> DataFrame:
+    """Windows of documents beside the items' windows of the same hash: their diagonal, and the slots of both."""
+    return pairs.select("key", "item", "item_words", "size", "kind", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"),
+                        F.transform(F.arrays_zip("slots", "item_slots"), lambda z: F.struct(
+                            z.item_slots.v.alias("theirs"), z.slots.v.alias("ours"))).alias("slots"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
                  item_text: str = "text", least_cover: float = LEAST_COVER, literal: bool = False,
                  least_run: int | None = None) -> DataFrame:
     """Per contaminated document and item: doc_id, item_id, covered, item_words, cover, n_slots.
 
     The bitmap of benchmark hashes that every task gets has a fixed size; the windows that pass it, few unless the
-    benchmark is huge, meet the benchmark's in a plain join that Spark may split.
+    benchmark is huge, meet the benchmark's in a plain join that Spark may split.  Windows that many items share are
+    looked up only for documents and items that another window has brought together (``stock``).
     """
     spark = docs.sparkSession
     known = written(windowed(benchmark, item, item_text, None, literal=literal), "benchmark-windows")
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # WINDOW - 1 values at most
     bits = spark.sparkContext.broadcast(bitmap(known, F.col("hash")))
     hits = written(windowed(docs, key, text, sizes or [WINDOW], bits, literal), "document-windows")
-    pair = hits.join(known.select("hash", "kind", F.col("key").alias("item"), F.col("at").alias("item_at"),
-                                  F.col("words").alias("item_words"), F.col("slots").alias("item_slots")), ["hash", "kind"])
-    pair = pair.select("key", "item", "item_words", "size", "kind", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"),
-                       F.transform(F.arrays_zip("slots", "item_slots"), lambda z: F.struct(
-                           z.item_slots.v.alias("theirs"), z.slots.v.alias("ours"))).alias("slots"))
-    pair = written(pair, "window-pairs")
+    known = written(stock(known, least_cover, least_run).select(
+        "hash", "kind", "stock", F.col("key").alias("item"), F.col("at").alias("item_at"), F.col("words").alias("item_words"),
+        F.col("slots").alias("item_slots")), "benchmark-stock")
+    near = written(_aligned(hits.join(known.where("NOT stock"), ["hash", "kind"])), "window-pairs")
+    shared = known.where("stock")
+    pairs = near.select("key", "item").join(shared.select("item"), "item", "left_semi").distinct()
+    pair = near.union(_aligned(pairs.join(shared, "item").join(hits, ["key", "hash", "kind"])))
+    pair = written(pair, "all-window-pairs")
     line = ["key", "item", "diagonal", "kind"]
     values = pair.select(*line, F.explode("slots").alias("s")).groupBy(*line).agg(
         F.count_distinct("s").alias("pairs"), F.count_distinct("s.theirs").alias("theirs"),

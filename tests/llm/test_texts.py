@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from harborline.llm import decontaminate, language_id, near_join, packing, quality_model, toxicity
-from harborline.llm.common import bitmap, bitmap_hits, numbered, sampled, without
+from harborline.llm.common import bitmap, bitmap_hits, numbered, sampled, without, written
 from harborline.llm.queries import fold
 
 DOCS = "doc_id long, text string"
@@ -175,7 +175,9 @@ def brute_contaminated(docs, items):
     return found
 
 
-def test_decontamination_against_brute_force(spark):
+@pytest.mark.parametrize("common", [decontaminate.COMMON, 1])
+def test_decontamination_against_brute_force(spark, monkeypatch, common):
+    monkeypatch.setattr(decontaminate, "COMMON", common)
     rng = random.Random(3)
     parts = ["Anna", "Bob", "Öl", "ÉCOLE", "12", "3.5", "1,000", "kg", "hours", "apples", "the", "of", "a", "b", "c", "x7", "É", "straße", "."]
     items = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(2, 26)))) for i in range(12)] + ITEMS
@@ -220,6 +222,32 @@ def test_a_long_run_of_a_longer_item_is_enough(spark):
     assert {r.doc_id for r in decontaminate.without_contaminated(docs, items).collect()} == {2, 3}
 
 
+def test_a_line_of_many_items_makes_no_pairs_by_itself(spark, monkeypatch):
+    rng, line = random.Random(9), "please answer the next question with one short word only"
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    items = [(i, line + " " + " ".join(word() for _ in range(30))) for i in range(200)]
+    items += [(1000 + i, line + " " + word()) for i in range(100)] + [(1, items[1][1].replace("only", "only " + word()))]  # mostly the line; an id twice
+    docs = [(i, word() + " " + line + " " + word()) for i in range(150)] + [(200 + i, items[i][1]) for i in range(5)]
+    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    counts = {}
+
+    def counted(df, label):
+        out = written(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "written", counted)
+    results, pairs = [], []
+    for common in (decontaminate.COMMON, 10**9):  # the second one looks up everything
+        monkeypatch.setattr(decontaminate, "COMMON", common)
+        found = decontaminate.contaminated(*frames, literal=True, least_run=decontaminate.LEAST_RUN)
+        results.append(sorted(map(tuple, found.collect())))
+        pairs.append(counts["all-window-pairs"])
+    assert results[0] == results[1] and len(results[0]) == 155 * 100 + 6  # all hold most of the last hundred; five copies, one of both items 1
+    of_line = 2 * 3  # windows of the line, of both kinds
+    assert pairs[1] - pairs[0] >= of_line * 149 * 200  # none of these for the first two hundred
+
+
 def test_slots_must_map_one_to_one(spark):
     items = [(1, "Mix 5 kg of flour with 5 kg of sugar and 2 litres of water before baking for 40 minutes")]
     docs = [(1, "Mix 8 kg of flour with 8 kg of sugar and 3 litres of water before baking for 50 minutes"),
