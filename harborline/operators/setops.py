@@ -70,31 +70,32 @@ def difference_by_checksum(a: DataFrame, b: DataFrame, columns: Sequence[str] |
 
     Rows fall into ``fanout`` parts by a hash of all columns, and each part into as many again.  A part has a checksum
     that does not depend on the order of its rows: their number and three sums of two further hashes.  Parts are summed
-    where the rows are, those that differ are split once more, and the rows of the unequal small parts are compared one
-    by one; equal tables are read once and nothing but checksums moves.  Repeated rows make a part unequal at most.
+    where the rows are, those of ``b`` with the other sign: one sum for both tables, zero where they are equal.  Parts that
+    differ are split once more, and the rows of the unequal small parts are compared one by one; equal tables are read once
+    and nothing but checksums moves.  Repeated rows make a part unequal at most.
     Writes the unequal parts, by jobs that run at once.
     """
     columns = list(columns or a.columns)
     known = [F.isnull(F.col(f"`{c}`")) for c in columns]  # a hash passes over NULLs
     hashed = F.xxhash64(*[F.col(f"`{c}`") for c in columns], *known)
     second = F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in columns], *known)
-    sides = [t.select(*[F.col(f"`{c}`") for c in columns], F.pmod(hashed, F.lit(fanout)).alias("__part"),
-                      F.pmod(F.shiftright(hashed, 32), F.lit(fanout)).alias("__small"), second.alias("__sum")) for t in (a, b)]
+    part, small = F.pmod(hashed, F.lit(fanout)), F.pmod(F.shiftright(hashed, 32), F.lit(fanout))
+    sides = [t.select(*[F.col(f"`{c}`") for c in columns], part.alias("__part"), (part * fanout + small).alias("__small"),
+                      second.alias("__sum")) for t in (a, b)]
 
-    def unequal(tables: Sequence[DataFrame], parts: list[str], label: str) -> DataFrame:
+    def unequal(tables: Sequence[DataFrame], part: str, label: str) -> DataFrame:
         low, high = F.col("__sum").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned("__sum", 32)
-        summed = [t.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), F.sum(low).alias("x"), F.sum(high).alias("y"),
-                                        F.bit_xor("__sum").alias("z")) for t in tables]
-        both = summed[0].select(*parts, F.struct("n", "x", "y", "z").alias("sum"), F.lit(1).alias("side")).union(
-            summed[1].select(*parts, F.struct("n", "x", "y", "z").alias("sum"), F.lit(2).alias("side")))
-        both = both.groupBy(*parts).agg(F.count(F.lit(1)).alias("sides"), F.count_distinct("sum").alias("sums"))
-        return staged(both.filter((F.col("sides") < 2) | (F.col("sums") > 1)).select(*parts), label)
-
-    for parts in (["__part"], ["__part", "__small"]):
-        differ = unequal(sides, parts, "unequal-parts")
+        signed = [t.select(part, F.lit(sign).alias("n"), (low * sign).alias("x"), (high * sign).alias("y"), F.col("__sum").alias("z"))
+                  for t, sign in zip(tables, (1, -1), strict=True)]
+        summed = reduce(DataFrame.union, signed).groupBy(part).agg(
+            F.sum("n").alias("n"), F.sum("x").alias("x"), F.sum("y").alias("y"), F.bit_xor("z").alias("z"))
+        return staged(summed.filter("n <> 0 or x <> 0 or y <> 0 or z <> 0").select(part), label)
+
+    for part in ("__part", "__small"):
+        differ = unequal(sides, part, "unequal-parts")
         if differ.isEmpty():
             return symmetric_difference(a.select(*columns).limit(0), b.select(*columns).limit(0), columns)
-        sides = [t.join(differ, parts, "left_semi") for t in sides]
+        sides = [t.join(differ, part, "left_semi") for t in sides]
     return symmetric_difference(*[t.select(*[F.col(f"`{c}`") for c in columns]) for t in sides], columns)
 
 

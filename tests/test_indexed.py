@@ -109,6 +109,28 @@ def test_difference_by_checksum(spark):
     assert setops.difference_by_checksum(*nulls).count() == 2
 
 
+def test_checksums_of_both_tables_are_one_sum(spark, monkeypatch):
+    """A task that merges the checksums holds one hash table of them; several would lie in its memory at once."""
+    a = spark.createDataFrame([(i, f"s{i % 5}", i % 3) for i in range(500)] + [(None, "x", 1)] * 2, SCHEMA).repartition(3)
+    b = a.withColumn("v", F.expr("if(k % 99 = 7, null, v)")).union(a.filter("k % 50 = 0"))
+    plans, staged = [], setops.staged
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return staged(df, label)
+
+    monkeypatch.setattr(setops, "staged", seen)
+    got = setops.difference_by_checksum(a, b, fanout=4)
+    assert table_of_diff(got) == table_of_diff(setops.symmetric_difference(a, b)) and got.count() == 10
+    assert [plan.count("HashAggregate(") for plan in plans] == [2, 2]  # where the rows are, and where their sums meet
+    turned = setops.difference_by_checksum(b, a, fanout=4)
+    assert table_of_diff(turned) == table_of_diff(setops.symmetric_difference(b, a))
+
+
+def table_of_diff(rows):
+    return sorted(map(str, rows.collect()))
+
+
 def test_top_values_are_exact(spark):
     rng = random.Random(2)
     values = [None] * 30 + ["hot"] * 200 + [f"v{rng.randrange(400)}" for _ in range(3000)] + ["a", "b"]
